@@ -109,11 +109,22 @@ def _lags_sql(lags=DEFAULT_LAGS) -> str:
 
 
 def _rolling_sql(windows=DEFAULT_WINDOWS) -> str:
+    """Shifted rolling mean and sample std.
+
+    The std is written as sqrt((n*sum(x^2) - sum(x)^2) / (n*(n-1))) over
+    exact integer window sums instead of ``stddev_samp``: the latter's
+    streaming updates differ from the exact value in the last bits, and
+    PSI bin edges (quantiles of these values) are sensitive to single ulps.
+    """
     parts = []
     for w in windows:
-        frame = f"{W} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING"
-        parts.append(f"avg(demand) OVER ({frame}) AS demand_roll_mean_{w}h")
-        parts.append(f"stddev_samp(demand) OVER ({frame}) AS demand_roll_std_{w}h")
+        frame = f"OVER ({W} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        n, s1, s2 = f"count(demand) {frame}", f"sum(demand) {frame}", f"sum(CAST(demand AS BIGINT) * demand) {frame}"
+        parts.append(f"avg(demand) {frame} AS demand_roll_mean_{w}h")
+        parts.append(
+            f"CASE WHEN {n} >= 2 THEN sqrt(greatest(CAST({n} * {s2} - {s1} * {s1} AS DOUBLE) "
+            f"/ CAST({n} * ({n} - 1) AS DOUBLE), 0.0)) END AS demand_roll_std_{w}h"
+        )
     return ", ".join(parts)
 
 

@@ -250,6 +250,456 @@ register(
 )(lambda spark, sf: round_doubles(bt.summarize_folds(_baseline_backtest(spark, sf))))
 
 
+# ---- zone lookup ------------------------------------------------------------------
+from zonecast.operators import diagnostics as dg  # noqa: E402
+from zonecast.operators import eda  # noqa: E402
+from zonecast.operators import intervals as iv  # noqa: E402
+from zonecast.operators import monitoring as mon  # noqa: E402
+from zonecast.operators import sampling as smp  # noqa: E402
+from zonecast.operators import zones as zn  # noqa: E402
+from zonecast.functions import metrics as M  # noqa: E402
+from zonecast.functions.status import classify_performance_regression  # noqa: E402
+from zonecast.sources.trips import month_windows  # noqa: E402
+from zonecast.functions.timecols import ntz_literal  # noqa: E402
+
+
+def _lookup(spark, sf):
+    return zn.normalize_zone_lookup(dt.zone_lookup_raw(spark, sf), validate=False)
+
+
+register("zone_lookup_normalize", O.with_ctes("SELECT * FROM zone_lookup", "zone_lookup"))(_lookup)
+
+register(
+    "zone_lookup_violations",
+    O.with_ctes(
+        """
+SELECT count(*) AS lookup_rows,
+       (SELECT count(*) FROM (SELECT LocationID FROM zone_raw WHERE LocationID IS NOT NULL
+                               GROUP BY LocationID HAVING count(*) > 1)) AS duplicate_ids,
+       count(*) FILTER (WHERE LocationID IS NULL OR NOT (LocationID BETWEEN 1 AND 265)) AS invalid_ids
+FROM zone_raw""",
+        "zone_raw",
+    ),
+)(lambda spark, sf: zn.zone_lookup_violations(dt.zone_lookup_raw(spark, sf)))
+
+
+def _onehot_sql() -> str:
+    from zonecast.schemas import safe_name
+
+    parts = [f"CAST(coalesce(l.borough, 'Unknown') = '{b}' AS TINYINT) AS borough_{safe_name(b)}" for b in dt.DRIVER_BOROUGHS]
+    parts += [
+        f"CAST(coalesce(l.service_zone, 'Unknown') = '{z}' AS TINYINT) AS service_zone_{safe_name(z)}"
+        for z in dt.DRIVER_SERVICE_ZONES
+    ]
+    return ", ".join(parts)
+
+
+register(
+    "zone_one_hots",
+    O.with_ctes(
+        f"SELECT m.timestamp, m.zone_id, m.demand, {_onehot_sql()} FROM mart m LEFT JOIN zone_lookup l ON m.zone_id = l.zone_id",
+        "mart",
+        "zone_lookup",
+    ),
+)(
+    lambda spark, sf: zn.add_zone_features(
+        _mart(spark, sf), _lookup(spark, sf), boroughs=dt.DRIVER_BOROUGHS, service_zones=dt.DRIVER_SERVICE_ZONES
+    )
+)
+
+# ---- month windows and merged marts -------------------------------------------------
+MERGE_SPLIT = "2024-01-16 00:00:00"
+
+
+@register(
+    "month_windows",
+    O.with_ctes(
+        """
+SELECT strftime(ms, '%Y-%m') AS month, ms AS window_start, ms + INTERVAL 1 MONTH AS window_end,
+       (SELECT count(*) FROM trips t WHERE t.tpep_pickup_datetime >= ms
+          AND t.tpep_pickup_datetime < ms + INTERVAL 1 MONTH) AS input_rows
+FROM (SELECT unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP), CAST(date_trunc('month', hi) AS TIMESTAMP),
+                                    INTERVAL 1 MONTH)) AS ms
+      FROM (SELECT min(tpep_pickup_datetime) AS lo, max(tpep_pickup_datetime) AS hi FROM trips))""",
+        "trips",
+    ),
+)
+def _month_windows(spark, sf):
+    trips = _trips(spark, sf)
+    pickup = F.col("tpep_pickup_datetime")
+    bounds = trips.agg(F.min(pickup).alias("lo"), F.max(pickup).alias("hi"))
+    months = month_windows(bounds)
+    per_month = trips.filter(pickup.isNotNull()).groupBy(
+        F.make_timestamp_ntz(F.year(pickup), F.month(pickup), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("window_start")
+    ).agg(F.count(F.lit(1)).alias("input_rows"))
+    # both sides hold one row per month of data
+    return months.join(per_month, "window_start", "left").select(
+        "month", "window_start", "window_end", F.coalesce("input_rows", F.lit(0)).alias("input_rows")
+    )
+
+
+def _period_sql(cond: str, name: str) -> None:
+    O.cte(f"{name}_counts", f"SELECT * FROM counts_src WHERE {cond}", "counts_src")
+    O.cte(
+        name,
+        f"""
+SELECT h.timestamp, z.zone_id, CAST(coalesce(c.demand, 0) AS INTEGER) AS demand
+FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp FROM {name}_counts) h
+CROSS JOIN (SELECT DISTINCT zone_id FROM {name}_counts) z
+LEFT JOIN {name}_counts c ON c.timestamp = h.timestamp AND c.zone_id = z.zone_id""",
+        f"{name}_counts",
+    )
+
+
+O.cte(
+    "counts_src",
+    f"""
+SELECT date_trunc('hour', tpep_pickup_datetime) AS timestamp, CAST(PULocationID AS SMALLINT) AS zone_id,
+       tpep_pickup_datetime < TIMESTAMP '{MERGE_SPLIT}' AS early, CAST(count(*) AS INTEGER) AS demand
+FROM clean GROUP BY 1, 2, 3""",
+    "clean",
+)
+_period_sql("early", "mart_a")
+_period_sql("NOT early", "mart_b")
+O.cte(
+    "merged_sum",
+    "SELECT timestamp, zone_id, CAST(sum(demand) AS INTEGER) AS demand FROM "
+    "(SELECT * FROM mart_a UNION ALL SELECT * FROM mart_b) GROUP BY timestamp, zone_id",
+    "mart_a",
+    "mart_b",
+)
+
+
+@register(
+    "merge_monthly_marts",
+    O.with_ctes(
+        """
+SELECT h.timestamp, z.zone_id, CAST(coalesce(c.demand, 0) AS INTEGER) AS demand
+FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp FROM merged_sum) h
+CROSS JOIN (SELECT DISTINCT zone_id FROM merged_sum) z
+LEFT JOIN merged_sum c ON c.timestamp = h.timestamp AND c.zone_id = z.zone_id""",
+        "merged_sum",
+    ),
+)
+def _merge(spark, sf):
+    """Two period marts (before / from the split), each gridded on its own,
+    then merged."""
+    trips = _trips(spark, sf)
+    early = mt.aggregate_hourly_demand(pickup_window(trips, None, MERGE_SPLIT))
+    late = mt.aggregate_hourly_demand(pickup_window(trips, MERGE_SPLIT, None))
+    return mt.merge_hourly_demand([early, late])
+
+
+# ---- EDA ----------------------------------------------------------------------------
+register(
+    "demand_overview",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT count(*) AS rows, count(DISTINCT zone_id) AS zones, min(timestamp) AS start, max(timestamp) AS "end",
+       CAST(sum(demand) AS BIGINT) AS total_demand, avg(demand) AS mean_hourly_zone_demand,
+       avg(CAST(demand = 0 AS DOUBLE)) AS zero_demand_share
+FROM mart""",
+            "mart",
+        ),
+        ["mean_hourly_zone_demand", "zero_demand_share"],
+    ),
+)(lambda spark, sf: round_doubles(eda.demand_overview(_mart(spark, sf))))
+
+for _name, _key, _fn in (
+    ("hourly_profile", "CAST(hour(timestamp) AS INTEGER) AS hour", eda.hourly_profile),
+    ("weekday_profile", "CAST(isodow(timestamp) AS INTEGER) AS weekday", eda.weekday_profile),
+):
+    register(
+        _name,
+        O.rounded(
+            O.with_ctes(
+                f"SELECT {_key}, CAST(sum(demand) AS BIGINT) AS total_demand, avg(demand) AS mean_zone_demand, "
+                "count(*) AS observations FROM mart GROUP BY 1",
+                "mart",
+            ),
+            ["mean_zone_demand"],
+        ),
+    )(lambda spark, sf, _fn=_fn: round_doubles(_fn(_mart(spark, sf))))
+
+TOP_SQL = """
+SELECT zone_id, CAST(sum(demand) AS BIGINT) AS total_demand, avg(demand) AS mean_hourly_demand
+FROM mart GROUP BY zone_id ORDER BY total_demand DESC, zone_id ASC LIMIT 20"""
+register("top_zones", O.rounded(O.with_ctes(TOP_SQL, "mart"), ["mean_hourly_demand"]))(
+    lambda spark, sf: round_doubles(eda.top_zones(_mart(spark, sf), n=20))
+)
+register(
+    "top_zones_labeled",
+    O.rounded(
+        O.with_ctes(
+            f"SELECT t.*, l.borough, l.zone_name FROM ({TOP_SQL}) t LEFT JOIN zone_lookup l ON t.zone_id = l.zone_id",
+            "mart",
+            "zone_lookup",
+        ),
+        ["mean_hourly_demand"],
+    ),
+)(lambda spark, sf: round_doubles(eda.top_zones(_mart(spark, sf), n=20, zone_lookup=_lookup(spark, sf))))
+
+# ---- scored window: features + direct weekly baseline as the prediction -----------------
+O.cte(
+    "scored",
+    f"""
+SELECT * FROM (SELECT f.*, lead(demand, {HORIZON}) OVER ({O.W}) AS actual,
+                      CAST(lag(demand, {168 - HORIZON}) OVER ({O.W}) AS DOUBLE) AS prediction,
+                      timestamp + INTERVAL {HORIZON} HOUR AS forecast_timestamp
+               FROM features f)
+WHERE actual IS NOT NULL AND prediction IS NOT NULL""",
+    "features",
+)
+WINDOW_SPLIT = "2024-01-16 00:00:00"
+O.cte("ref_window", f"SELECT * FROM scored WHERE timestamp < TIMESTAMP '{WINDOW_SPLIT}'", "scored")
+O.cte("cur_window", f"SELECT * FROM scored WHERE timestamp >= TIMESTAMP '{WINDOW_SPLIT}'", "scored")
+MONITORED = ("demand_lag_1h", "demand_lag_24h", "demand_lag_168h", "demand_roll_mean_24h", "demand_roll_std_24h", "prediction", "hour")
+
+
+def _scored(spark, sf):
+    return hz.attach_direct_seasonal_baseline(_features(spark, sf), horizon_hours=HORIZON, target_column="actual")
+
+
+def _windows(spark, sf):
+    scored = _scored(spark, sf)
+    split = ntz_literal(WINDOW_SPLIT)
+    return scored.filter(F.col("timestamp") < split), scored.filter(F.col("timestamp") >= split)
+
+
+METRICS4 = ["mae", "rmse", "wape", "smape"]
+register(
+    "forecast_metrics",
+    O.rounded(O.with_ctes(f"SELECT {O.metric_sql('actual', 'prediction')} FROM scored", "scored"), METRICS4),
+)(lambda spark, sf: round_doubles(_scored(spark, sf).agg(*M.forecast_metrics("actual", "prediction"))))
+
+RS_COLS = ["bias", "median_absolute_error", "p90_absolute_error", "underprediction_share", "overprediction_share"]
+register(
+    "residual_summary",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT avg(actual - prediction) AS bias,
+       quantile_cont(abs(actual - prediction), 0.5) AS median_absolute_error,
+       quantile_cont(abs(actual - prediction), 0.9) AS p90_absolute_error,
+       avg(CAST(actual - prediction > 0 AS DOUBLE)) AS underprediction_share,
+       avg(CAST(actual - prediction < 0 AS DOUBLE)) AS overprediction_share
+FROM scored""",
+            "scored",
+        ),
+        RS_COLS,
+    ),
+)(lambda spark, sf: round_doubles(dg.residual_summary(_scored(spark, sf))))
+
+register(
+    "error_rows",
+    O.rounded(
+        O.with_ctes(
+            "SELECT timestamp, zone_id, actual, prediction, actual - prediction AS residual, "
+            "abs(actual - prediction) AS absolute_error FROM scored",
+            "scored",
+        ),
+        ["prediction", "residual", "absolute_error"],
+    ),
+)(
+    lambda spark, sf: round_doubles(
+        dg.error_frame(_scored(spark, sf), actual_column="actual").select(
+            "timestamp", "zone_id", "actual", "prediction", "residual", "absolute_error"
+        )
+    )
+)
+
+register(
+    "zone_error_table",
+    O.rounded(
+        O.with_ctes(
+            "SELECT zone_id, avg(abs(actual - prediction)) AS mae, avg(actual - prediction) AS bias, "
+            "CAST(sum(actual) AS BIGINT) AS actual_demand, count(*) AS observations FROM scored GROUP BY zone_id",
+            "scored",
+        ),
+        ["mae", "bias"],
+    ),
+)(lambda spark, sf: round_doubles(dg.zone_error_table(_scored(spark, sf), actual_column="actual")))
+
+register(
+    "demand_band_errors",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT CASE WHEN actual = 0 THEN 'zero' WHEN actual <= 5 THEN 'low' WHEN actual <= 20 THEN 'medium' ELSE 'high' END AS demand_band,
+       avg(abs(actual - prediction)) AS mae, avg(actual - prediction) AS bias, count(*) AS observations
+FROM scored GROUP BY 1""",
+            "scored",
+        ),
+        ["mae", "bias"],
+    ),
+)(lambda spark, sf: round_doubles(dg.demand_band_error_table(_scored(spark, sf), actual_column="actual")))
+
+SNAP_COLS = ["mae", "rmse", "wape", "smape", "bias", "p90_absolute_error"]
+
+
+def _snapshot_sql(src: str, prefix: str = "") -> str:
+    return f"""
+SELECT count(*) AS {prefix}observations, {O.metric_sql('actual', 'prediction', prefix)},
+       avg(actual - prediction) AS {prefix}bias,
+       quantile_cont(abs(actual - prediction), 0.9) AS {prefix}p90_absolute_error
+FROM {src} WHERE actual IS NOT NULL AND prediction IS NOT NULL"""
+
+
+register(
+    "performance_snapshot",
+    O.rounded(O.with_ctes(_snapshot_sql("scored"), "scored"), SNAP_COLS),
+)(lambda spark, sf: round_doubles(mon.performance_snapshot(_scored(spark, sf))))
+
+register(
+    "performance_by_day",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT CAST(timestamp AS DATE) AS date, count(*) AS observations, avg(abs(actual - prediction)) AS mae,
+       avg(actual - prediction) AS bias,
+       CASE WHEN sum(abs(actual)) = 0 THEN 'inf'::DOUBLE ELSE sum(abs(actual - prediction)) / sum(abs(actual)) END AS wape
+FROM scored GROUP BY 1""",
+            "scored",
+        ),
+        ["mae", "bias", "wape"],
+    ),
+)(lambda spark, sf: round_doubles(mon.performance_by_day(_scored(spark, sf))))
+
+O.cte("ref_snap", _snapshot_sql("ref_window", "reference_"), "ref_window")
+O.cte("cur_snap", _snapshot_sql("cur_window", "current_"), "cur_window")
+REGRESSION_CASE = """CASE WHEN reference_wape = 0 THEN (CASE WHEN current_wape = 0 THEN 'stable' ELSE 'critical' END)
+            WHEN current_wape / reference_wape >= 1.30 THEN 'critical'
+            WHEN current_wape / reference_wape >= 1.15 THEN 'watch' ELSE 'stable' END"""
+
+
+@register(
+    "performance_regression",
+    O.rounded(
+        O.with_ctes(
+            f"SELECT reference_wape, current_wape, {REGRESSION_CASE} AS status FROM ref_snap, cur_snap",
+            "ref_snap",
+            "cur_snap",
+        ),
+        ["reference_wape", "current_wape"],
+    ),
+)
+def _regression(spark, sf):
+    ref, cur = _windows(spark, sf)
+    tagged = ref.withColumn("w", F.lit("reference")).unionByName(cur.withColumn("w", F.lit("current")))
+    wapes = tagged.groupBy().pivot("w", ["reference", "current"]).agg(M.wape("actual", "prediction"))
+    wapes = wapes.select(F.col("reference").alias("reference_wape"), F.col("current").alias("current_wape"))
+    return round_doubles(
+        wapes.withColumn("status", classify_performance_regression("reference_wape", "current_wape"))
+    )
+
+
+def _psi_sql(features) -> str:
+    cols = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in features)
+    names = ", ".join(features)
+    qs = ", ".join(str(i / 10) for i in range(11))
+    return f"""
+WITH rl AS (SELECT feature, value FROM (UNPIVOT (SELECT {cols} FROM ref_window) ON {names} INTO NAME feature VALUE value) WHERE value IS NOT NULL),
+cl AS (SELECT feature, value FROM (UNPIVOT (SELECT {cols} FROM cur_window) ON {names} INTO NAME feature VALUE value) WHERE value IS NOT NULL),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{qs}]))) AS e FROM rl GROUP BY feature),
+rn AS (SELECT feature, count(*) AS n FROM rl GROUP BY feature),
+cn AS (SELECT feature, count(*) AS n FROM cl GROUP BY feature),
+rb AS (SELECT r.feature, len(list_filter(e.e[2:len(e.e) - 1], lambda t: t <= r.value)) AS bin, count(*) AS c
+       FROM rl r JOIN edges e USING (feature) GROUP BY 1, 2),
+cb AS (SELECT r.feature, len(list_filter(e.e[2:len(e.e) - 1], lambda t: t <= r.value)) AS bin, count(*) AS c
+       FROM cl r JOIN edges e USING (feature) GROUP BY 1, 2),
+shares AS (SELECT coalesce(rb.feature, cb.feature) AS feature,
+                  greatest(coalesce(rb.c, 0) / rn.n, 1e-6) AS es, greatest(coalesce(cb.c, 0) / cn.n, 1e-6) AS os
+           FROM rb FULL JOIN cb ON rb.feature = cb.feature AND rb.bin = cb.bin
+           JOIN rn ON rn.feature = coalesce(rb.feature, cb.feature)
+           JOIN cn ON cn.feature = coalesce(rb.feature, cb.feature)),
+psi AS (SELECT s.feature, CASE WHEN len(any_value(ed.e)) < 2 THEN
+                 (CASE WHEN (SELECT bool_and(abs(c.value - any_value(ed.e)[1]) <= 1e-8 + 1e-5 * abs(any_value(ed.e)[1]))
+                             FROM cl c WHERE c.feature = s.feature)
+                       THEN 0.0 ELSE 'inf'::DOUBLE END)
+               ELSE sum((s.os - s.es) * ln(s.os / s.es)) END AS psi
+        FROM shares s JOIN edges ed ON ed.feature = s.feature GROUP BY s.feature)
+SELECT feature, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'watch' ELSE 'drift' END AS status FROM psi"""
+
+
+O.cte("psi_table", _psi_sql(MONITORED), "ref_window", "cur_window")
+register("psi_drift", O.rounded(O.with_ctes("SELECT * FROM psi_table", "psi_table"), ["psi"]))(
+    lambda spark, sf: round_doubles(mon.feature_drift_report(*_windows(spark, sf), feature_names=MONITORED))
+)
+
+O.cte(
+    "radius",
+    """
+SELECT 0.9 AS coverage, e AS radius FROM (
+  SELECT e, row_number() OVER (ORDER BY e) - 1 AS k, count(*) OVER () AS n
+  FROM (SELECT abs(actual - prediction) AS e FROM ref_window))
+WHERE k = CAST(ceil(least(ceil((n + 1) * 0.9) / n, 1.0) * (n - 1)) AS BIGINT)""",
+    "ref_window",
+)
+register("conformal_radius", O.rounded(O.with_ctes("SELECT * FROM radius", "radius"), ["coverage", "radius"]))(
+    lambda spark, sf: round_doubles(iv.conformal_radius(_windows(spark, sf)[0], coverage=0.9))
+)
+
+
+@register(
+    "conformal_bounds",
+    O.rounded(
+        O.with_ctes(
+            "SELECT c.timestamp, c.zone_id, c.actual, c.prediction, greatest(c.prediction - r.radius, 0.0) AS lower, "
+            "c.prediction + r.radius AS upper FROM cur_window c, radius r",
+            "cur_window",
+            "radius",
+        ),
+        ["prediction", "lower", "upper"],
+    ),
+)
+def _bounds(spark, sf):
+    ref, cur = _windows(spark, sf)
+    radius = iv.conformal_radius(ref, coverage=0.9).select(F.col("radius")).scalar()
+    out = cur.select("timestamp", "zone_id", "actual", "prediction").withColumns(iv.conformal_bounds("prediction", radius))
+    return round_doubles(out)
+
+
+SAMPLE_ROWS = 500
+register(
+    "even_sample",
+    O.rounded(
+        O.with_ctes(
+            f"""
+SELECT * EXCLUDE (i) FROM (SELECT *, row_number() OVER (ORDER BY timestamp, zone_id) - 1 AS i FROM features)
+WHERE i IN (SELECT CASE WHEN j = {SAMPLE_ROWS} - 1 THEN n - 1
+                        ELSE CAST(floor(j * (CAST(n - 1 AS DOUBLE) / {SAMPLE_ROWS - 1})) AS BIGINT) END
+            FROM range({SAMPLE_ROWS}) r(j), (SELECT count(*) AS n FROM features))""",
+            "features",
+        ),
+        O.ROLL_COLUMNS,
+    ),
+)(lambda spark, sf: round_doubles(smp.even_sample(_features(spark, sf), SAMPLE_ROWS)))
+
+
+MON_COLS = [f"{w}_{m}" for w in ("reference", "current") for m in SNAP_COLS] + ["max_psi"]
+register(
+    "monitoring_report",
+    O.rounded(
+        O.with_ctes(
+            f"""
+SELECT CASE WHEN perf = 'critical' OR drift_features > 0 THEN 'critical'
+            WHEN perf = 'watch' OR watch_features > 0 THEN 'watch' ELSE 'stable' END AS overall_status,
+       perf AS performance_status, * EXCLUDE (perf)
+FROM (SELECT {REGRESSION_CASE} AS perf, *,
+             (SELECT max(psi) FROM psi_table) AS max_psi,
+             (SELECT count(*) FROM psi_table WHERE status = 'drift') AS drift_features,
+             (SELECT count(*) FROM psi_table WHERE status = 'watch') AS watch_features
+      FROM ref_snap, cur_snap)""",
+            "ref_snap",
+            "cur_snap",
+            "psi_table",
+        ),
+        MON_COLS,
+    ),
+)(lambda spark, sf: round_doubles(mon.monitoring_report(*_windows(spark, sf), feature_names=MONITORED)))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
