@@ -700,6 +700,127 @@ FROM (SELECT {REGRESSION_CASE} AS perf, *,
 )(lambda spark, sf: round_doubles(mon.monitoring_report(*_windows(spark, sf), feature_names=MONITORED)))
 
 
+# ---- build manifest -------------------------------------------------------------------
+from zonecast.plans import build as bd  # noqa: E402
+from zonecast.sources.trips import YearMonth  # noqa: E402
+
+BUILD_START, BUILD_END = "2024-01", "2024-01"
+O.cte(
+    "tflags",
+    "SELECT *, strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM flags "
+    "WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'",
+    "flags",
+)
+O.cte(
+    "tcounts",
+    "SELECT date_trunc('hour', tpep_pickup_datetime) AS timestamp, CAST(PULocationID AS SMALLINT) AS zone_id, count(*) AS demand "
+    "FROM tflags WHERE NOT (null_pickup OR invalid_zone OR invalid_duration OR invalid_distance) GROUP BY 1, 2",
+    "tflags",
+)
+register(
+    "build_manifest",
+    O.rounded(
+        O.with_ctes(
+            f"""
+SELECT month, count(*) AS input_rows,
+       count(*) FILTER (WHERE NOT (null_pickup OR invalid_zone OR invalid_duration OR invalid_distance)) AS valid_rows,
+       count(*) FILTER (WHERE null_pickup OR invalid_zone OR invalid_duration OR invalid_distance) AS dropped_rows,
+       count(*) FILTER (WHERE null_pickup) AS null_pickup_rows,
+       count(*) FILTER (WHERE invalid_zone) AS invalid_zone_rows,
+       count(*) FILTER (WHERE invalid_duration) AS invalid_duration_rows,
+       count(*) FILTER (WHERE invalid_distance) AS invalid_distance_rows,
+       count(*) FILTER (WHERE NOT (null_pickup OR invalid_zone OR invalid_duration OR invalid_distance)) / count(*) AS valid_share,
+       '{BUILD_START}' AS start_month, '{BUILD_END}' AS end_month,
+       (SELECT count(DISTINCT zone_id) * (date_diff('hour', min(timestamp), max(timestamp)) + 1) FROM tcounts) AS merged_rows,
+       (SELECT count(DISTINCT zone_id) FROM tcounts) AS merged_zones
+FROM tflags GROUP BY month""",
+            "tflags",
+            "tcounts",
+        ),
+        ["valid_share"],
+    ),
+)(
+    lambda spark, sf: round_doubles(
+        bd.build_manifest(_trips(spark, sf), YearMonth.parse(BUILD_START), YearMonth.parse(BUILD_END))[1]
+    )
+)
+
+# ---- fitted models (no SQL oracle: rows-only check + own tests) -------------------------
+from zonecast.plans import models as md  # noqa: E402
+
+MODEL_SPLIT = "2024-01-21 00:00:00"
+
+
+def _model_frames(spark, sf):
+    supervised = hz.make_horizon_dataset(_features(spark, sf), horizon_hours=HORIZON)
+    split = ntz_literal(MODEL_SPLIT)
+    train = supervised.filter((F.col("timestamp") < split) & (F.col("forecast_timestamp") < split))
+    score = md.complete_cases(supervised.filter(F.col("timestamp") >= split),
+                              [c for c in supervised.columns if c not in ("target_demand",)])
+    return train, score
+
+
+def _fitted(spark, sf):
+    train, score = _model_frames(spark, sf)
+    features = md.infer_feature_columns(train)
+    return md.train_model(train, feature_columns=features, target_column="target_demand", horizon_hours=HORIZON), score
+
+
+@register("train_score_poisson")
+def _train_score(spark, sf):
+    model, score = _fitted(spark, sf)
+    return model.predict(score).select("timestamp", "zone_id", "target_demand", "prediction")
+
+
+@register("feature_importance")
+def _importance(spark, sf):
+    return md.feature_importance_frame(_fitted(spark, sf)[0])
+
+
+@register("batch_forecast")
+def _batch(spark, sf):
+    model, score = _fitted(spark, sf)
+    ids = ["timestamp", "zone_id"]
+    return md.batch_forecast(score.select(*ids, *[f for f in model.feature_names if f not in ids]), model)
+
+
+@register("global_contributions")
+def _global_contrib(spark, sf):
+    model, score = _fitted(spark, sf)
+    return md.global_contributions(model, score)
+
+
+@register("local_contributions")
+def _local_contrib(spark, sf):
+    model, score = _fitted(spark, sf)
+    return md.local_contributions(model, score).select("timestamp", "zone_id", "base_value", "explained_value")
+
+
+register("model_backtest")(
+    lambda spark, sf: bt.backtest_model(
+        _features(spark, sf), horizon_hours=HORIZON, train_days=TRAIN_DAYS,
+        validation_days=VALIDATION_DAYS, step_days=STEP_DAYS,
+    )
+)
+
+
+def _model_vs_baseline(spark, sf):
+    return bt.compare_model_to_seasonal_baseline(
+        _features(spark, sf), horizon_hours=HORIZON, train_days=TRAIN_DAYS,
+        validation_days=VALIDATION_DAYS, step_days=STEP_DAYS,
+    )
+
+
+register("model_vs_baseline")(_model_vs_baseline)
+register("benchmark_summary")(lambda spark, sf: bt.summarize_benchmark(_model_vs_baseline(spark, sf)))
+register("param_search")(
+    lambda spark, sf: bt.search_parameters(
+        _features(spark, sf), horizon_hours=HORIZON, train_days=TRAIN_DAYS,
+        validation_days=VALIDATION_DAYS, step_days=STEP_DAYS, n_trials=3,
+    )
+)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
