@@ -6,9 +6,11 @@ Scale notes
   reduced by a partial (map-side) hash aggregation to at most one row per
   (hour, zone) per task before any shuffle, so a hot zone cannot skew the
   exchange (which is keyed by hour *and* zone).
+* The counts (mart-sized, independent of trip volume) are checkpointed
+  once, so the raw scan runs exactly once per build.
 * The grid is generated, not joined: each observed zone explodes the hourly
-  ``sequence`` between global bounds obtained by one scalar subquery. There
-  is no cartesian join.
+  ``sequence`` between global bounds obtained by a scalar subquery over the
+  checkpointed counts. There is no cartesian join.
 * Grid rows and counts are unioned and summed after one repartition on
   ``zone_id``. That partitioning satisfies both the (timestamp, zone_id)
   aggregation and any later per-zone window, so the feature windows reuse
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from zonecast.functions.timecols import hour_floor
 from zonecast.operators.quality import DEFAULT_RULES, QualityRules, clean_trips
 from zonecast.schemas import DEMAND_COLUMNS, require_columns
+from zonecast.session import materialize
 
 
 def hourly_counts(
@@ -44,16 +47,31 @@ def hourly_counts(
     )
 
 
-def complete_hourly_grid(counts: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
+def complete_hourly_grid(
+    counts: DataFrame, *, num_partitions: int | None = None, materialize_counts: bool = True
+) -> DataFrame:
     """Every observed zone x every hour between the first and last observed
-    hour, demand 0 where nothing was counted."""
+    hour, demand 0 where nothing was counted.
+
+    The counts feed three branches (bounds, zone set, union). They are
+    checkpointed once first: otherwise Catalyst rewrites the bounds and the
+    zone set into separate aggregations of the raw scan (min/max and
+    distinct are insensitive to the grouping below them), i.e. extra full
+    scans of the trip data.
+    """
     require_columns(counts, DEMAND_COLUMNS, "demand")
+    if materialize_counts:
+        counts = materialize(counts.select(*DEMAND_COLUMNS))
     bounds = counts.agg(F.struct(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))).scalar()
     zones = counts.select("zone_id").distinct()
     hours = F.sequence(bounds.getField("lo"), bounds.getField("hi"), F.expr("INTERVAL 1 HOUR"))
     grid = zones.select(F.explode(hours).alias("timestamp"), "zone_id", F.lit(0).alias("demand"))
     both = grid.unionByName(counts.select(*DEMAND_COLUMNS))
-    both = both.repartition(num_partitions, "zone_id") if num_partitions else both.repartition("zone_id")
+    # An explicit count keeps AQE from coalescing this shuffle by bytes: the
+    # per-zone windows that run on it are CPU-bound, not I/O-bound. More
+    # partitions than zones would stay empty.
+    n = num_partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(n, "zone_id")
     return both.groupBy("timestamp", "zone_id").agg(F.sum("demand").cast("int").alias("demand"))
 
 

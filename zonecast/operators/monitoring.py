@@ -89,45 +89,50 @@ def population_stability(
         if f not in reference.columns or f not in current.columns:
             raise ValueError(f"Missing monitored feature: {f}")
 
-    def distinct_counts(frame):
-        return _long(frame, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-
-    ref = distinct_counts(reference)
-    cur = distinct_counts(current)
+    # (feature, side, value) -> multiplicity: one aggregation for both windows
+    tagged = _long(reference, features).withColumn("_ref", F.lit(True)).unionByName(
+        _long(current, features).withColumn("_ref", F.lit(False))
+    )
+    dist = tagged.groupBy("feature", "_ref", "value").agg(F.count(F.lit(1)).alias("c"))
+    ref_c = F.when(F.col("_ref"), F.col("c"))
+    cur_c = F.when(~F.col("_ref"), F.col("c"))
     qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    bad = lambda v: F.isnan(v) | (F.abs(v) == F.lit(M.INF))
-    edges = ref.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(F.percentile("value", qs, F.col("c")))).alias("edges"),
-        F.sum("c").alias("n_ref"),
-        F.count_if(bad(F.col("value"))).alias("bad_ref"),
+    bad = F.isnan("value") | (F.abs(F.col("value")) == F.lit(M.INF))
+    # percentile skips null inputs, so only reference values shape the edges
+    edges = dist.groupBy("feature").agg(
+        F.array_sort(F.array_distinct(F.percentile(F.when(F.col("_ref"), F.col("value")), qs, F.col("c")))).alias("edges"),
+        F.sum(ref_c).alias("n_ref"),
+        F.sum(cur_c).alias("n_cur"),
+        F.count_if(bad).alias("bad"),
     )
-    cur_tot = cur.groupBy("feature").agg(F.sum("c").alias("n_cur"), F.count_if(bad(F.col("value"))).alias("bad_cur"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     constant = F.size("edges") < 2
-
-    def binned(counts, side):
-        # the edge table has one row per feature: broadcast is feature-bounded
-        j = counts.join(F.broadcast(edges.select("feature", "edges")), "feature")
-        b = F.size(F.filter(inner, lambda e: e <= F.col("value")))
-        close = F.abs(F.col("value") - F.col("edges")[0]) <= F.lit(M.ALLCLOSE_ATOL) + F.lit(M.ALLCLOSE_RTOL) * F.abs(F.col("edges")[0])
-        return j.groupBy("feature", F.when(constant, F.lit(0)).otherwise(b).alias("bin")).agg(
-            F.sum("c").alias(f"c_{side}"),
-            F.bool_and(F.when(constant, close).otherwise(F.lit(True))).alias(f"close_{side}"),
-        )
-
-    joined = binned(ref, "ref").join(binned(cur, "cur"), ["feature", "bin"], "full")
-    joined = joined.join(edges.select("feature", "n_ref", "bad_ref", "edges"), "feature").join(cur_tot, "feature")
-    e = F.greatest(F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref"), F.lit(epsilon))
-    o = F.greatest(F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur"), F.lit(epsilon))
-    per_feature = joined.groupBy("feature").agg(
-        F.sum((o - e) * F.ln(o / e)).alias("_psi"),
+    lo = F.col("edges")[0]
+    close = F.abs(F.col("value") - lo) <= F.lit(M.ALLCLOSE_ATOL) + F.lit(M.ALLCLOSE_RTOL) * F.abs(lo)
+    # the edge table has one row per monitored feature: broadcast is feature-bounded
+    joined = dist.join(F.broadcast(edges), "feature")
+    binned = joined.groupBy("feature", F.when(constant, F.lit(0)).otherwise(F.size(F.filter(inner, lambda e: e <= F.col("value")))).alias("bin")).agg(
+        F.coalesce(F.sum(ref_c), F.lit(0)).alias("c_ref"),
+        F.coalesce(F.sum(cur_c), F.lit(0)).alias("c_cur"),
+        F.first("n_ref").alias("n_ref"),
+        F.first("n_cur").alias("n_cur"),
         F.first(constant).alias("_constant"),
-        F.bool_and(F.coalesce(F.col("close_cur"), F.lit(True))).alias("_close"),
-        F.max(F.col("bad_ref") + F.col("bad_cur")).alias("_bad"),
+        F.bool_and(F.when(constant & ~F.col("_ref"), close).otherwise(F.lit(True))).alias("_close"),
+        F.max("bad").alias("_bad"),
+    )
+    e = F.greatest(F.col("c_ref") / F.col("n_ref"), F.lit(epsilon))
+    o = F.greatest(F.col("c_cur") / F.col("n_cur"), F.lit(epsilon))
+    per_feature = binned.groupBy("feature").agg(
+        F.sum((o - e) * F.ln(o / e)).alias("_psi"),
+        F.first("_constant").alias("_constant"),
+        F.bool_and("_close").alias("_close"),
+        F.max("_bad").alias("_bad"),
+        F.min("n_cur").alias("_n_cur"),
     )
     guard = F.when(F.col("_bad") > 0, F.raise_error(F.lit("drift samples must contain only finite values")))
+    empty = F.when(F.col("_n_cur").isNull(), F.raise_error(F.lit("reference and current samples must be non-empty")))
     psi = F.when(F.col("_constant"), F.when(F.col("_close"), F.lit(0.0)).otherwise(F.lit(M.INF))).otherwise(F.col("_psi"))
-    return per_feature.select("feature", F.coalesce(guard.cast("double"), psi).alias("psi"))
+    return per_feature.select("feature", F.coalesce(guard.cast("double"), empty.cast("double"), psi).alias("psi"))
 
 
 def feature_drift_report(

@@ -4,8 +4,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonecast.session import materialize
 
-def even_sample(frame: DataFrame, max_rows: int, *, order=("timestamp", "zone_id")) -> DataFrame:
+
+def even_sample(
+    frame: DataFrame, max_rows: int, *, order=("timestamp", "zone_id"), materialize_input: bool = True
+) -> DataFrame:
     """The rows at positions ``trunc(j * ((n - 1) / (m - 1)))`` for
     ``j = 0 .. m-2`` plus the last row (NumPy ``linspace(0, n-1, m,
     dtype=int)`` in the same double arithmetic); all rows when ``n <= m``.
@@ -19,6 +23,8 @@ def even_sample(frame: DataFrame, max_rows: int, *, order=("timestamp", "zone_id
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
     spark = frame.sparkSession
+    if materialize_input:  # read three times below: compute it once
+        frame = materialize(frame)
     first, rest = order[0], list(order[1:])
     per_key = frame.groupBy(first).agg(F.count(F.lit(1)).alias("_k"))
     # a window over one row per distinct ordering key (hours), not per row

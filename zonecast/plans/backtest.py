@@ -85,15 +85,14 @@ from zonecast.functions.timecols import ntz_literal  # noqa: E402
 from zonecast.operators.horizons import make_horizon_dataset  # noqa: E402
 from zonecast.plans.models import complete_cases, train_model  # noqa: E402
 from zonecast.schemas import infer_feature_columns  # noqa: E402
-from zonecast.session import ensure_checkpoint_dir  # noqa: E402
+from zonecast.session import materialize  # noqa: E402
 
 
 def stable(frame: DataFrame) -> DataFrame:
     """Materialise a frame that many jobs reuse (the fold loop) with a
     reliable checkpoint in ``spark.checkpoint.dir``: lineage is cut and a
     lost executor does not force recomputation from the raw scan."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    return materialize(frame)
 
 
 def _fold_train(supervised: DataFrame, plan: FoldPlan, fold: int) -> DataFrame:

@@ -261,6 +261,7 @@ from zonecast.functions import metrics as M  # noqa: E402
 from zonecast.functions.status import classify_performance_regression  # noqa: E402
 from zonecast.sources.trips import month_windows  # noqa: E402
 from zonecast.functions.timecols import ntz_literal  # noqa: E402
+from zonecast.session import materialize  # noqa: E402
 
 
 def _lookup(spark, sf):
@@ -462,7 +463,8 @@ def _scored(spark, sf):
 
 
 def _windows(spark, sf):
-    scored = _scored(spark, sf)
+    # both windows and several reports read the scored frame: compute it once
+    scored = materialize(_scored(spark, sf))
     split = ntz_literal(WINDOW_SPLIT)
     return scored.filter(F.col("timestamp") < split), scored.filter(F.col("timestamp") >= split)
 
@@ -752,7 +754,7 @@ MODEL_SPLIT = "2024-01-21 00:00:00"
 
 
 def _model_frames(spark, sf):
-    supervised = hz.make_horizon_dataset(_features(spark, sf), horizon_hours=HORIZON)
+    supervised = materialize(hz.make_horizon_dataset(_features(spark, sf), horizon_hours=HORIZON))
     split = ntz_literal(MODEL_SPLIT)
     train = supervised.filter((F.col("timestamp") < split) & (F.col("forecast_timestamp") < split))
     score = md.complete_cases(supervised.filter(F.col("timestamp") >= split),

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             os.makedirs(configured, exist_ok=True)
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def materialize(frame, *, name: str = "table"):
+    """Write ``frame`` once as a Parquet table under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and return a DataFrame reading it.
+
+    One job, one pass over the input: lineage is cut (a lost executor never
+    forces recomputation from the raw scan), and the table carries file
+    statistics for the planner. Used where one derived frame feeds several
+    branches of a plan (grid bounds + zones + union, reference + current
+    windows, the fold loop); without it every branch re-executes all the
+    work below it, down to the scan.
+    """
+    spark = frame.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/zonecast-tables/{name}-{uuid.uuid4().hex}"
+    frame.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
