@@ -184,3 +184,17 @@ def test_zone_lookup_and_one_hots(spark):
     assert [r.borough_queens for r in out] == [0, 1, 0]
     assert [r.borough_unknown for r in out] == [0, 0, 1]
     assert "borough" not in out[0].asDict() and "service_zone" not in out[0].asDict()
+
+
+def test_kth_smallest_exact_against_numpy(spark):
+    from zonecast.functions.selection import kth_smallest
+
+    rng = np.random.default_rng(11)
+    values = np.concatenate([rng.normal(0, 1, 3000), np.full(500, 0.25), rng.exponential(5, 1500)])
+    frame = spark.createDataFrame([(float(v),) for v in values], "x double")
+    ordered = np.sort(values)
+    for k in (0, 1, 777, 2500, 3100, len(values) - 1):
+        assert kth_smallest(frame, "x", k, direct_limit=50, buckets=16) == ordered[k]
+        assert kth_smallest(frame, "x", k) == ordered[k]
+    weighted = spark.createDataFrame([(1.0, 3), (2.0, 1), (5.0, 2)], "x double, c long")
+    assert [kth_smallest(weighted, "x", k, weight="c", direct_limit=0, buckets=2) for k in range(6)] == [1, 1, 1, 2, 5, 5]

@@ -1,12 +1,14 @@
 """Split-conformal symmetric intervals from absolute residuals."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
+from zonecast.functions.selection import kth_smallest
 
 
 def conformal_radius(
@@ -25,7 +27,9 @@ def conformal_radius(
     rows: residuals are reduced to distinct values with multiplicities
     (map-side combine), then a running count over the distinct values of
     each group picks the first value whose cumulative count passes the
-    rank. Non-finite inputs raise.
+    rank (per group). Without groups the rank is found by
+    :func:`zonecast.functions.selection.kth_smallest`, so no task ever
+    holds all residuals. Non-finite inputs raise.
     """
     if not 0.0 < coverage < 1.0:
         raise ValueError("coverage must be between 0 and 1")
@@ -34,6 +38,8 @@ def conformal_radius(
     dist = frame.groupBy(*by, F.abs(a - p).alias("e")).agg(
         F.count(F.lit(1)).alias("c"), M.non_finite_count(a, p).alias("bad")
     )
+    if not by:
+        return _global_radius(frame.sparkSession, dist, coverage)
     group = Window.partitionBy(*by)
     running = group.orderBy("e").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     n = F.sum("c").over(group)
@@ -48,6 +54,25 @@ def conformal_radius(
     )
 
 
+def conformal_rank(n: int, coverage: float) -> int:
+    """Zero-based rank of NumPy ``quantile(level, method='higher')`` with
+    ``level = min(ceil((n + 1) * coverage) / n, 1)`` (same double math)."""
+    level = min(math.ceil((n + 1) * coverage) / n, 1.0)
+    return int(math.ceil(level * (n - 1)))
+
+
+def _global_radius(spark, dist: DataFrame, coverage: float) -> DataFrame:
+    """One interval over all rows: exact selection by histogram narrowing
+    (no single-task sort of the residuals)."""
+    row = dist.agg(F.sum("c").alias("n"), F.sum("bad").alias("bad")).first()
+    if not row["n"]:
+        raise ValueError("Calibration arrays must be non-empty and have equal shapes")
+    if row["bad"]:
+        raise ValueError("Calibration arrays must be finite")
+    radius = kth_smallest(dist, "e", conformal_rank(int(row["n"]), coverage), weight="c")
+    return spark.createDataFrame([(float(coverage), radius)], "coverage double, radius double")
+
+
 def conformal_bounds(prediction: str | Column, radius: str | Column) -> dict[str, Column]:
     """``lower = max(p - r, 0)``, ``upper = p + r``; non-finite predictions raise."""
     p = F.col(prediction) if isinstance(prediction, str) else prediction
