@@ -103,3 +103,9 @@ def test_grid_invariants_on_driver_data(spark):
     hours = int((c[3] - c[2]).total_seconds() // 3600) + 1
     assert g[0] == c[0]
     assert g[1] == g[2] == hours * c[1]
+
+
+def test_grid_rejects_when_nothing_valid_remains(spark):
+    trips = trips_df(spark, [(T0, T0 + timedelta(minutes=5), 999, 1.0)])
+    with pytest.raises(ValueError, match="No valid trip rows"):
+        mt.aggregate_hourly_demand(trips)

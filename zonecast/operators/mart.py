@@ -61,7 +61,10 @@ def complete_hourly_grid(
     """
     require_columns(counts, DEMAND_COLUMNS, "demand")
     if materialize_counts:
-        counts = materialize(counts.select(*DEMAND_COLUMNS))
+        counts = materialize(counts.select(*DEMAND_COLUMNS), name="hourly_counts")
+        # cheap on the written table: no bounds exist without a counted row
+        if counts.isEmpty():
+            raise ValueError("No valid trip rows remain after quality checks")
     bounds = counts.agg(F.struct(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))).scalar()
     zones = counts.select("zone_id").distinct()
     hours = F.sequence(bounds.getField("lo"), bounds.getField("hi"), F.expr("INTERVAL 1 HOUR"))
