@@ -48,41 +48,49 @@ def _is_integral(frame: DataFrame, value: str) -> bool:
     return isinstance(frame.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
+def _rolling_columns(
+    frame: DataFrame, windows: tuple[int, ...], value: str, first_step: dict | None = None
+) -> DataFrame:
+    """Three projections: (1) running totals (plus any other columns of the
+    same window spec, e.g. lags and calendar), (2) the running totals at
+    offsets 1 and w + 1, each its own column so every window expression
+    occurs once, (3) mean / std arithmetic, dropping the helpers."""
+    w = zone_window()
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = F.col(value).cast("bigint")
+    totals = {"_rs": F.sum(F.coalesce(x, F.lit(0))), "_rq": F.sum(F.coalesce(x * x, F.lit(0))), "_rn": F.count(x)}
+    step1 = {**(first_step or {}), **{name: agg.over(running) for name, agg in totals.items()}}
+    staged = frame.select("*", *[c.alias(n) for n, c in step1.items()])
+    offsets = sorted({1, *[size + 1 for size in windows]})
+    lagged = {f"{name}_{k}": F.coalesce(F.lag(name, k).over(w), F.lit(0)) for name in totals for k in offsets}
+    staged = staged.select("*", *[c.alias(n) for n, c in lagged.items()])
+    cols = []
+    for size in windows:
+        n = F.col("_rn_1") - F.col(f"_rn_{size + 1}")
+        s_ = F.col("_rs_1") - F.col(f"_rs_{size + 1}")
+        q = F.col("_rq_1") - F.col(f"_rq_{size + 1}")
+        variance = (n * q - s_ * s_).cast("double") / (n * (n - 1)).cast("double")
+        cols.append(F.when(n >= 1, s_.cast("double") / n.cast("double")).alias(f"{value}_roll_mean_{size}h"))
+        cols.append(F.when(n >= 2, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias(f"{value}_roll_std_{size}h"))
+    keep = [c for c in staged.columns if c not in totals and c not in lagged]
+    return staged.select(*keep, *cols)
+
+
 def add_rolling_features(
     frame: DataFrame, windows: Iterable[int] = DEFAULT_WINDOWS, value: str = "demand"
 ) -> DataFrame:
     """Mean (>= 1 value) and sample std (>= 2 values) of the previous
     ``w`` rows of each zone, the current row excluded."""
     windows = tuple(windows)
-    w = zone_window()
     if not _is_integral(frame, value):
+        w = zone_window()
         cols = {}
         for size in windows:
             frame_w = w.rowsBetween(-size, -1)
             cols[f"{value}_roll_mean_{size}h"] = F.avg(value).over(frame_w)
             cols[f"{value}_roll_std_{size}h"] = F.stddev_samp(value).over(frame_w)
         return frame.withColumns(cols)
-
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = F.col(value).cast("bigint")
-    staged = frame.withColumns(
-        {
-            "_rs": F.sum(F.coalesce(x, F.lit(0))).over(running),
-            "_rq": F.sum(F.coalesce(x * x, F.lit(0))).over(running),
-            "_rn": F.count(x).over(running),
-        }
-    )
-    cols = {}
-    for size in windows:
-        def window_total(name: str, size: int = size):
-            # running total up to the previous row minus the total up to row t-size-1
-            return F.coalesce(F.lag(name, 1).over(w), F.lit(0)) - F.coalesce(F.lag(name, size + 1).over(w), F.lit(0))
-
-        n, s, q = window_total("_rn"), window_total("_rs"), window_total("_rq")
-        cols[f"{value}_roll_mean_{size}h"] = F.when(n >= 1, s.cast("double") / n.cast("double"))
-        variance = (n * q - s * s).cast("double") / (n * (n - 1)).cast("double")
-        cols[f"{value}_roll_std_{size}h"] = F.when(n >= 2, F.sqrt(F.greatest(variance, F.lit(0.0))))
-    return staged.withColumns(cols).drop("_rs", "_rq", "_rn")
+    return _rolling_columns(frame, windows, value)
 
 
 def build_features(
@@ -94,6 +102,9 @@ def build_features(
     """Mart + 5 calendar + lag + rolling mean/std columns, no sort at the
     end (order only at a sink)."""
     require_columns(demand, DEMAND_COLUMNS, "demand")
-    featured = add_calendar_features(demand)
-    featured = add_lag_features(featured, lags)
-    return add_rolling_features(featured, windows)
+    windows = tuple(windows)
+    first = {**calendar_columns("timestamp"), **lag_columns(lags)}
+    if windows and _is_integral(demand, "demand"):
+        return _rolling_columns(demand, windows, "demand", first_step=first)
+    featured = demand.select("*", *[c.alias(n) for n, c in first.items()])
+    return add_rolling_features(featured, windows) if windows else featured
