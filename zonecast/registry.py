@@ -250,6 +250,40 @@ register(
 )(lambda spark, sf: round_doubles(bt.summarize_folds(_baseline_backtest(spark, sf))))
 
 
+# ---- baseline backtests at the other direct horizons --------------------------------
+def _baseline_backtest_sql(h: int) -> str:
+    O.baseline_ctes(h)
+    O.fold_ctes(f"bbase{h}", TRAIN_DAYS, VALIDATION_DAYS, STEP_DAYS, f"bfolds{h}")
+    return O.rounded(
+        O.with_ctes(
+            f"""
+SELECT m.fold, CAST({h} AS INTEGER) AS horizon_hours, t.train_rows, m.validation_rows, m.mae, m.rmse, m.wape, m.smape
+FROM (SELECT f.fold, count(*) AS validation_rows, {O.metric_sql('b.target_demand', 'b.prediction')}
+      FROM bbase{h} b JOIN bfolds{h} f
+        ON b.timestamp >= f.validation_start AND b.timestamp < f.validation_end
+       AND b.forecast_timestamp < f.validation_end
+      GROUP BY f.fold) m
+JOIN (SELECT f.fold, count(*) AS train_rows FROM bbase{h} b JOIN bfolds{h} f
+        ON b.timestamp >= f.train_start AND b.timestamp < f.train_end GROUP BY f.fold) t
+  ON m.fold = t.fold""",
+            f"bbase{h}",
+            f"bfolds{h}",
+        ),
+        ["mae", "rmse", "wape", "smape"],
+    )
+
+
+for _h in (1, 24):
+    register(f"baseline_backtest_{_h}h", _baseline_backtest_sql(_h))(
+        lambda spark, sf, _h=_h: round_doubles(
+            bt.backtest_seasonal_baseline(
+                _mart(spark, sf), horizon_hours=_h, train_days=TRAIN_DAYS,
+                validation_days=VALIDATION_DAYS, step_days=STEP_DAYS,
+            )
+        )
+    )
+
+
 # ---- zone lookup ------------------------------------------------------------------
 from zonecast.operators import diagnostics as dg  # noqa: E402
 from zonecast.operators import eda  # noqa: E402
