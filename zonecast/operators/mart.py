@@ -62,9 +62,13 @@ def complete_hourly_grid(
     require_columns(counts, DEMAND_COLUMNS, "demand")
     if materialize_counts:
         counts = materialize(counts.select(*DEMAND_COLUMNS), name="hourly_counts")
-        # cheap on the written table: no bounds exist without a counted row
-        if counts.isEmpty():
+        # cheap on the written table: no bounds exist without a counted row,
+        # and the zone count caps the useful width of the per-zone shuffle
+        zone_count = counts.agg(F.count_distinct("zone_id")).first()[0]
+        if not zone_count:
             raise ValueError("No valid trip rows remain after quality checks")
+    else:
+        zone_count = None
     bounds = counts.agg(F.struct(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))).scalar()
     zones = counts.select("zone_id").distinct()
     hours = F.sequence(bounds.getField("lo"), bounds.getField("hi"), F.expr("INTERVAL 1 HOUR"))
@@ -74,6 +78,8 @@ def complete_hourly_grid(
     # per-zone windows that run on it are CPU-bound, not I/O-bound. More
     # partitions than zones would stay empty.
     n = num_partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if zone_count and not num_partitions:
+        n = max(1, min(n, zone_count))
     both = both.repartition(n, "zone_id")
     return both.groupBy("timestamp", "zone_id").agg(F.sum("demand").cast("int").alias("demand"))
 
