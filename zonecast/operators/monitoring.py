@@ -161,25 +161,30 @@ def monitoring_report(
     )
     snap = performance_snapshot(tagged, actual_column=actual_column, prediction_column=prediction_column, by=["_window"])
     metrics = ["observations", "mae", "rmse", "wape", "smape", "bias", "p90_absolute_error"]
-    wide = snap.groupBy().pivot("_window", ["reference", "current"]).agg(*[F.first(m).alias(m) for m in metrics])
     drift = feature_drift_report(reference, current, feature_names=feature_names, bins=bins)
-    drift_summary = drift.agg(
-        F.struct(
-            F.max("psi").alias("max_psi"),
-            F.count_if(F.col("status") == "drift").alias("drift_features"),
-            F.count_if(F.col("status") == "watch").alias("watch_features"),
-            F.max(severity_rank("status")).alias("worst"),
-        )
-    ).scalar()  # one-row aggregate used as a scalar subquery
-    worst_rank = drift_summary.getField("worst")
-    worst = F.when(worst_rank == 2, "drift").when(worst_rank == 1, "watch").otherwise("stable")
+    # two snapshot rows + one row per feature, folded by one conditional
+    # aggregation: every input is planned once (no scalar subquery copies,
+    # no join between the one-row results)
+    parts = snap.select("_window", *metrics).unionByName(
+        drift.select("psi", "status").withColumn("_window", F.lit(None).cast("string")), allowMissingColumns=True
+    )
+    picked = [
+        F.max(F.when(F.col("_window") == w, F.col(m))).alias(f"{w}_{m}") for w in ("reference", "current") for m in metrics
+    ]
+    folded = parts.agg(
+        *picked,
+        F.max("psi").alias("max_psi"),
+        F.count_if(F.col("status") == "drift").alias("drift_features"),
+        F.count_if(F.col("status") == "watch").alias("watch_features"),
+        F.max(severity_rank("status")).alias("_worst"),
+    )
+    worst = F.when(F.col("_worst") == 2, "drift").when(F.col("_worst") == 1, "watch").otherwise("stable")
     perf = classify_performance_regression("reference_wape", "current_wape")
-    return wide.select(
+    return folded.select(
         overall_status(perf, worst).alias("overall_status"),
         perf.alias("performance_status"),
-        *[F.col(f"reference_{m}").alias(f"reference_{m}") for m in metrics],
-        *[F.col(f"current_{m}").alias(f"current_{m}") for m in metrics],
-        drift_summary.getField("max_psi").alias("max_psi"),
-        drift_summary.getField("drift_features").alias("drift_features"),
-        drift_summary.getField("watch_features").alias("watch_features"),
+        *[f"{w}_{m}" for w in ("reference", "current") for m in metrics],
+        "max_psi",
+        "drift_features",
+        "watch_features",
     )
