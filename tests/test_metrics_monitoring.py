@@ -198,3 +198,20 @@ def test_kth_smallest_exact_against_numpy(spark):
         assert kth_smallest(frame, "x", k) == ordered[k]
     weighted = spark.createDataFrame([(1.0, 3), (2.0, 1), (5.0, 2)], "x double, c long")
     assert [kth_smallest(weighted, "x", k, weight="c", direct_limit=0, buckets=2) for k in range(6)] == [1, 1, 1, 2, 5, 5]
+
+
+def test_approximate_quantile_options_stay_close(spark):
+    rng = np.random.default_rng(5)
+    a, p = rng.integers(0, 50, 2000), rng.normal(20, 8, 2000)
+    frame = scored_df(spark, a, p)
+    exact = dg.residual_summary(frame).first()
+    approx = dg.residual_summary(frame, approx_accuracy=10000).first()
+    assert approx.bias == exact.bias
+    assert approx.p90_absolute_error == pytest.approx(exact.p90_absolute_error, rel=0.01)
+    snap = mon.performance_snapshot(frame, approx_accuracy=10000).first()
+    assert snap.p90_absolute_error == pytest.approx(exact.p90_absolute_error, rel=0.01)
+    r = spark.createDataFrame([(float(x),) for x in rng.normal(size=1000)], "x double")
+    c = spark.createDataFrame([(float(x),) for x in rng.normal(0.5, 1, 800)], "x double")
+    e = mon.population_stability(r, c, ["x"]).first().psi
+    ap = mon.population_stability(r, c, ["x"], approx_accuracy=10000).first().psi
+    assert ap == pytest.approx(e, rel=0.05)

@@ -62,22 +62,59 @@ def _finite_guard(message: str) -> Column:
     return F.when(F.sum("bad") > 0, F.raise_error(F.lit(message)))
 
 
-def residual_summary(frame: DataFrame, *, actual_column: str = "actual", prediction_column: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+def residual_summary(
+    frame: DataFrame,
+    *,
+    actual_column: str = "actual",
+    prediction_column: str = "prediction",
+    by: Sequence[str] = (),
+    approx_accuracy: int | None = None,
+) -> DataFrame:
     """bias, median and p90 absolute error (linear interpolation, exact),
-    under/over-prediction shares; non-finite inputs raise."""
+    under/over-prediction shares; non-finite inputs raise.
+
+    With ``approx_accuracy`` the two quantiles come from a mergeable
+    ``percentile_approx`` sketch over the rows (bounded memory per group)."""
     dist = residual_distribution(frame, actual_column=actual_column, prediction_column=prediction_column, by=by)
     total = F.sum("n").cast("double")
-    return dist.groupBy(*by).agg(
+    if approx_accuracy:
+        med = F.lit(None).cast("double")
+        p90 = F.lit(None).cast("double")
+    else:
+        med = F.percentile(F.abs("r"), F.lit(0.5), F.col("n"))
+        p90 = F.percentile(F.abs("r"), F.lit(0.9), F.col("n"))
+    main = dist.groupBy(*by).agg(
         F.coalesce(_finite_guard("Residual arrays must contain only finite values").cast("double"),
                    F.sum(F.col("r") * F.col("n")) / total).alias("bias"),
-        F.percentile(F.abs("r"), F.lit(0.5), F.col("n")).alias("median_absolute_error"),
-        F.percentile(F.abs("r"), F.lit(0.9), F.col("n")).alias("p90_absolute_error"),
+        med.alias("median_absolute_error"),
+        p90.alias("p90_absolute_error"),
         (F.sum(F.when(F.col("r") > 0, F.col("n")).otherwise(0)) / total).alias("underprediction_share"),
         (F.sum(F.when(F.col("r") < 0, F.col("n")).otherwise(0)) / total).alias("overprediction_share"),
     )
+    if not approx_accuracy:
+        return main
+    sketch = frame.groupBy(*by).agg(
+        F.percentile_approx(F.abs(M.residual(actual_column, prediction_column)), F.array(F.lit(0.5), F.lit(0.9)),
+                            int(approx_accuracy)).alias("_q")
+    )
+    return _replace_quantiles(main, sketch, by, {"median_absolute_error": 0, "p90_absolute_error": 1})
+
+
+def _replace_quantiles(main: DataFrame, sketch: DataFrame, by: Sequence[str], columns: dict) -> DataFrame:
+    """Swap quantile columns of ``main`` for sketch values; grouped frames
+    join on their keys, global ones fold two one-row results with one
+    aggregation (no keyless join)."""
+    if by:
+        joined = main.drop(*columns).join(sketch, list(by), "left")
+        return joined.select(*main.columns[: len(by)], *[
+            (F.col("_q")[columns[c]].alias(c) if c in columns else F.col(c)) for c in main.columns[len(by):]
+        ])
+    parts = main.drop(*columns).unionByName(sketch, allowMissingColumns=True)
+    folded = parts.agg(*[F.max(c).alias(c) for c in main.columns if c not in columns], F.max("_q").alias("_q"))
+    return folded.select(*[(F.col("_q")[columns[c]].alias(c) if c in columns else F.col(c)) for c in main.columns])
 
 
-def snapshot_from_distribution(dist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def snapshot_from_distribution(dist: DataFrame, by: Sequence[str] = (), *, exact_p90: bool = True) -> DataFrame:
     """observations, mae, rmse, wape, smape, bias, p90 absolute error."""
     total = F.sum("n")
     abs_err = F.sum(F.abs("r") * F.col("n"))
@@ -90,7 +127,9 @@ def snapshot_from_distribution(dist: DataFrame, by: Sequence[str] = ()) -> DataF
         M.safe_ratio(abs_err, abs_act, zero_case).alias("wape"),
         (F.sum("smape_sum") / total).alias("smape"),
         (F.sum(F.col("r") * F.col("n")) / total).alias("bias"),
-        F.percentile(F.abs("r"), F.lit(0.9), F.col("n")).alias("p90_absolute_error"),
+        (F.percentile(F.abs("r"), F.lit(0.9), F.col("n")) if exact_p90 else F.lit(None).cast("double")).alias(
+            "p90_absolute_error"
+        ),
     )
 
 

@@ -17,20 +17,33 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
 from zonecast.functions.status import classify_performance_regression, classify_psi, overall_status, severity_rank
-from zonecast.operators.diagnostics import residual_distribution, snapshot_from_distribution
+from zonecast.operators.diagnostics import _replace_quantiles, residual_distribution, snapshot_from_distribution
 from zonecast.schemas import require_columns
 
 EPSILON = 1e-6
 
 
 def performance_snapshot(
-    frame: DataFrame, *, actual_column: str = "actual", prediction_column: str = "prediction", by: Sequence[str] = ()
+    frame: DataFrame,
+    *,
+    actual_column: str = "actual",
+    prediction_column: str = "prediction",
+    by: Sequence[str] = (),
+    approx_accuracy: int | None = None,
 ) -> DataFrame:
-    """observations + MAE, RMSE, WAPE, sMAPE, bias, p90 absolute error."""
+    """observations + MAE, RMSE, WAPE, sMAPE, bias, p90 absolute error
+    (exact; ``approx_accuracy`` takes p90 from a bounded sketch)."""
     require_columns(frame, {actual_column, prediction_column}, "performance")
     clean = frame.filter(F.col(actual_column).isNotNull() & F.col(prediction_column).isNotNull())
     dist = residual_distribution(clean, actual_column=actual_column, prediction_column=prediction_column, by=by)
-    return snapshot_from_distribution(dist, by)
+    snap = snapshot_from_distribution(dist, by, exact_p90=not approx_accuracy)
+    if not approx_accuracy:
+        return snap
+    sketch = clean.groupBy(*by).agg(
+        F.percentile_approx(F.abs(M.residual(actual_column, prediction_column)), F.array(F.lit(0.9)),
+                            int(approx_accuracy)).alias("_q")
+    )
+    return _replace_quantiles(snap, sketch, by, {"p90_absolute_error": 0})
 
 
 def performance_by_day(
@@ -70,9 +83,14 @@ def population_stability(
     *,
     bins: int = 10,
     epsilon: float = EPSILON,
+    approx_accuracy: int | None = None,
 ) -> DataFrame:
     """``feature, psi`` for every feature.
 
+    ``approx_accuracy`` switches the reference quantiles to Spark's
+    mergeable ``percentile_approx`` sketch (bounded memory per feature,
+    rank error about 1/accuracy); the default is exact.
+
     Edges are the distinct reference quantiles at 0, 1/bins, ..., 1 (linear
     interpolation), the outer two widened to -inf/+inf; bin of x = number
     of inner edges <= x (bins are [a, b)). Shares are clipped at
@@ -99,12 +117,24 @@ def population_stability(
     qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
     bad = F.isnan("value") | (F.abs(F.col("value")) == F.lit(M.INF))
     # percentile skips null inputs, so only reference values shape the edges
-    edges = dist.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(F.percentile(F.when(F.col("_ref"), F.col("value")), qs, F.col("c")))).alias("edges"),
-        F.sum(ref_c).alias("n_ref"),
-        F.sum(cur_c).alias("n_cur"),
-        F.count_if(bad).alias("bad"),
-    )
+    if approx_accuracy:
+        sketch = tagged.filter(F.col("_ref")).groupBy("feature").agg(
+            F.percentile_approx("value", qs, int(approx_accuracy)).alias("_q")
+        )
+        counts = dist.groupBy("feature").agg(
+            F.sum(ref_c).alias("n_ref"), F.sum(cur_c).alias("n_cur"), F.count_if(bad).alias("bad")
+        )
+        # both sides hold one row per monitored feature
+        edges = counts.join(F.broadcast(sketch), "feature", "left").select(
+            "feature", F.array_sort(F.array_distinct("_q")).alias("edges"), "n_ref", "n_cur", "bad"
+        )
+    else:
+        edges = dist.groupBy("feature").agg(
+            F.array_sort(F.array_distinct(F.percentile(F.when(F.col("_ref"), F.col("value")), qs, F.col("c")))).alias("edges"),
+            F.sum(ref_c).alias("n_ref"),
+            F.sum(cur_c).alias("n_cur"),
+            F.count_if(bad).alias("bad"),
+        )
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     constant = F.size("edges") < 2
     lo = F.col("edges")[0]
@@ -136,10 +166,15 @@ def population_stability(
 
 
 def feature_drift_report(
-    reference: DataFrame, current: DataFrame, *, feature_names: Sequence[str], bins: int = 10
+    reference: DataFrame,
+    current: DataFrame,
+    *,
+    feature_names: Sequence[str],
+    bins: int = 10,
+    approx_accuracy: int | None = None,
 ) -> DataFrame:
     """``feature, psi, status`` ordered by PSI, largest first."""
-    psi = population_stability(reference, current, feature_names, bins=bins)
+    psi = population_stability(reference, current, feature_names, bins=bins, approx_accuracy=approx_accuracy)
     return psi.withColumn("status", classify_psi("psi")).orderBy(F.desc("psi"), F.asc("feature"))
 
 
