@@ -47,6 +47,9 @@ def build_session(
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Point ``DataFrame.checkpoint`` at the shared folder the cluster names.
 
@@ -55,15 +58,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     folder; on a cluster it must be a shared file system path.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = None
+    try:  # classic sessions only; Spark Connect has no SparkContext
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        context = None
+    if not configured and context is not None:
+        configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = fallback or tempfile.mkdtemp(prefix="zonecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        if "://" not in configured:
-            os.makedirs(configured, exist_ok=True)
-        spark.sparkContext.setCheckpointDir(configured)
+        # spark.checkpoint.dir cannot be changed at runtime; remember one
+        # private folder per session instead (local runs and tests only)
+        key = id(spark)
+        if key not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[key] = fallback or tempfile.mkdtemp(prefix="zonecast-ckpt-")
+        configured = _FALLBACK_DIRS[key]
+    if "://" not in configured:
+        os.makedirs(configured, exist_ok=True)
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured
 
 
