@@ -61,6 +61,11 @@ def top_zones(frame: DataFrame, *, n: int = 20, zone_lookup: DataFrame | None =
     if zone_lookup is None:
         return ranked
     require_columns(zone_lookup, ("zone_id", "borough", "zone_name"), "zone lookup")
-    labels = zone_lookup.select(F.col("zone_id").cast("smallint").alias("zone_id"), "borough", "zone_name")
-    # the lookup is keyed by SMALLINT zone ids (validated: 1..265 only)
+    # one row per SMALLINT zone id (a validated lookup already is): the
+    # broadcast side is bounded by the key domain, whatever the input size
+    labels = (
+        zone_lookup.groupBy(F.col("zone_id").cast("smallint").alias("zone_id"))
+        .agg(F.min(F.struct("borough", "zone_name")).alias("_l"))
+        .select("zone_id", "_l.borough", "_l.zone_name")
+    )
     return ranked.join(F.broadcast(labels), "zone_id", "left")
