@@ -20,7 +20,6 @@ from zonecast.operators import mart as mt
 from zonecast.operators import quality as q
 from zonecast.plans import backtest as bt
 from zonecast.sources import driver_tables as dt
-from zonecast.sources.trips import pickup_window
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -87,7 +86,7 @@ register(
         f"AND tpep_pickup_datetime < TIMESTAMP '{SCAN_END}'",
         "trips",
     ),
-)(lambda spark, sf: pickup_window(_trips(spark, sf), SCAN_START, SCAN_END))
+)(lambda spark, sf: dt.trips(spark, sf, SCAN_START, SCAN_END))
 
 register(
     "quality_flags",
@@ -419,9 +418,8 @@ LEFT JOIN merged_sum c ON c.timestamp = h.timestamp AND c.zone_id = z.zone_id"""
 def _merge(spark, sf):
     """Two period marts (before / from the split), each gridded on its own,
     then merged."""
-    trips = _trips(spark, sf)
-    early = mt.aggregate_hourly_demand(pickup_window(trips, None, MERGE_SPLIT))
-    late = mt.aggregate_hourly_demand(pickup_window(trips, MERGE_SPLIT, None))
+    early = mt.aggregate_hourly_demand(dt.trips(spark, sf, None, MERGE_SPLIT))
+    late = mt.aggregate_hourly_demand(dt.trips(spark, sf, MERGE_SPLIT, None))
     return mt.merge_hourly_demand([early, late])
 
 

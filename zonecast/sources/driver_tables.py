@@ -47,8 +47,18 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(table(spark, sf_dir, "events"))
+def trips(spark: SparkSession, sf_dir: str, start_time=None, end_time=None) -> DataFrame:
+    """The trip view; with a pickup window, the same bounds are first put on
+    ``events.ts`` so they reach the Parquet scan (pickup is either ``ts`` or
+    missing, and a missing pickup is outside every window, so the result is
+    exactly the pickup window of the full view)."""
+    events = table(spark, sf_dir, "events")
+    if start_time is None and end_time is None:
+        return trips_from_events(events)
+    from zonecast.sources.trips import pickup_window
+
+    scanned = pickup_window(events, start_time, end_time, column="ts")
+    return pickup_window(trips_from_events(scanned), start_time, end_time)
 
 
 def zone_lookup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
