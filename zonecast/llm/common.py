@@ -42,6 +42,17 @@ def broadcast_value(shared):
     return pickle.loads(shared.value)
 
 
+def worker_cache(key) -> dict:
+    """A dictionary that lives as long as the Python worker, so that tasks
+    which follow in the same worker find what earlier ones computed. What is
+    put in must be bounded and depend on ``key`` alone."""
+    import sys
+    import types
+
+    home = sys.modules.setdefault("_corpus_worker_cache", types.ModuleType("_corpus_worker_cache"))
+    return home.__dict__.setdefault(str(key), {})
+
+
 def store(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` once to the shared folder and read it back: one pass
     over the input, lineage cut, sizes known to the planner."""
@@ -76,3 +87,105 @@ def flat_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         words += text.split()
         starts[i + 1] = len(words)
     return words, starts
+
+
+def hash_ranges(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges of ``data`` (which goes on for at least 8
+    bytes behind the last range): equal bytes have equal hashes, eight bytes
+    are mixed in at a time, all ranges together."""
+    eights = np.lib.stride_tricks.as_strided(data.view(np.uint8), shape=(len(data) - 7, 8), strides=(1, 1)).view(np.uint64)[:, 0] if len(data) >= 8 else np.zeros(0, np.uint64)
+    out = (length.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    at = np.arange(len(begin))
+    done = 0
+    while len(at):
+        left = length[at] - done
+        bits = (8 * np.minimum(left, 8)).astype(np.uint64)
+        word = eights[begin[at] + done]
+        word &= np.where(bits == 64, np.uint64(2**64 - 1), (np.uint64(1) << (bits & np.uint64(63))) - np.uint64(1))
+        h = (out[at] ^ word) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        out[at] = h * np.uint64(0xBF58476D1CE4E5B9) ^ (h >> np.uint64(29))
+        done += 8
+        at = at[left > 8]
+    return out
+
+
+class Words:
+    """The words of a column of texts without a Python object for each:
+    ``hashes``, byte ranges (``begin``, ``length`` in ``data``) and where each
+    text's words start (``starts``, one more than texts)."""
+
+    def __init__(self, column: pa.Array, lower: bool = False):
+        column = column.cast(pa.string())
+        lists = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(column) if lower else column, ""))
+        flat = lists.flatten()
+        offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:flat.offset + len(flat) + 1].astype(np.int64) if len(flat) else np.zeros(1, np.int64)
+        length = np.diff(offsets)
+        real = length > 0  # a text's white space at its ends splits off empty strings
+        edges = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
+        self.starts = np.concatenate(([0], np.cumsum(real)))[edges]
+        self.begin, self.length = offsets[:-1][real], length[real]
+        raw = flat.buffers()[2] if len(flat) else None
+        self.data = np.concatenate((np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8), np.zeros(8, np.uint8)))
+        self.hashes = hash_ranges(self.data, self.begin, self.length)
+
+    def word(self, i: int) -> bytes:
+        a = int(self.begin[i])
+        return self.data[a:a + int(self.length[i])].tobytes()
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """The hashes that ``Words`` gives these words."""
+    length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    data = np.concatenate((np.frombuffer(b"".join(words), np.uint8), np.zeros(8, np.uint8)))
+    return hash_ranges(data, np.cumsum(length) - length, length)
+
+
+class HashTable:
+    """From 64-bit hashes to numbers, in batches: open addressing, at most
+    half full, doubled when needed."""
+
+    def __init__(self, capacity: int):
+        self._clear(max(8, (2 * capacity - 1).bit_length()))
+
+    def _clear(self, bits: int) -> None:
+        self.bits, self.shift, self.size = bits, np.uint64(64 - bits), 0
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.values = np.zeros(1 << bits, dtype=np.int32)
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash, -1 where it has none."""
+        hashes = np.maximum(hashes, np.uint64(1))  # 0 marks a free slot
+        slot = self._slot(hashes)
+        held = self.keys[slot]
+        out = np.where(held == hashes, self.values[slot], -1).astype(np.int64)
+        on = np.flatnonzero((held != hashes) & (held != 0))
+        while len(on):
+            slot[on] = (slot[on] + 1) & (len(self.keys) - 1)
+            held = self.keys[slot[on]]
+            same = held == hashes[on]
+            out[on[same]] = self.values[slot[on[same]]]
+            on = on[~same & (held != 0)]
+        return out
+
+    def put(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct hashes that are not in the table."""
+        if 2 * (self.size + len(hashes)) > len(self.keys):
+            held = np.flatnonzero(self.keys)
+            keys, kept = self.keys[held], self.values[held]
+            self._clear((2 * (len(held) + len(hashes))).bit_length())
+            self.put(keys, kept)
+        hashes = np.maximum(hashes, np.uint64(1))
+        self.size += len(hashes)
+        slot = self._slot(hashes)
+        on = np.arange(len(hashes))
+        while len(on):
+            free = self.keys[slot[on]] == 0
+            self.keys[slot[on[free]]] = hashes[on[free]]
+            mine = free & (self.keys[slot[on]] == hashes[on])  # of several for one slot the last one has it
+            self.values[slot[on[mine]]] = values[on[mine]]
+            on = on[~mine]
+            slot[on] = (slot[on] + 1) & (len(self.keys) - 1)

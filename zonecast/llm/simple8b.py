@@ -28,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import NULL_ID, byte_slices, documents_view, store, texts_of
+from zonecast.llm.common import NULL_ID, HashTable, Words, byte_slices, documents_view, hashes_of, store, worker_cache
 
 #: Fixed values of the format: values per word and bits per value by selector.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -42,13 +43,19 @@ MAGIC = b"ZS8B"
 HEADER = "<4sIQIIQQ"
 #: A shard is closed at the first document end after so many ids.
 SHARD_IDS = 1 << 19
-#: Distinct words a task remembers (about 200 bytes each).
-CACHE_WORDS = 600_000
+#: Distinct words and pieces a Python worker remembers (about 80 bytes each)
+#: before it starts anew.
+CACHE_PIECES = 1_500_000
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits of each unsigned value, at least 1."""
-    high = (values >> np.uint64(30)).astype(np.uint64)
+    if not len(values):
+        return np.zeros(0, dtype=np.uint8)
+    if values.max() < 1 << 16:
+        table = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.uint8)
+        return table[values]
+    high = values >> np.uint64(30)
     low_bits = np.frexp((values & np.uint64((1 << 30) - 1)).astype(np.float64))[1]
     high_bits = np.frexp(high.astype(np.float64))[1]
     return np.maximum(np.where(high > 0, high_bits + 30, low_bits), 1).astype(np.uint8)
@@ -61,15 +68,12 @@ def encode_shard(values: np.ndarray, block: int = BLOCK) -> bytes:
     n = len(values)
     blocks = -(-n // block)
     pad = max(COUNTS)
-    grid = np.zeros((blocks, block + pad), dtype=np.uint64)
-    full = np.zeros(blocks * block, dtype=np.uint64)
+    full = np.zeros(blocks * block + pad, dtype=np.uint64)
     full[:n] = values
-    grid[:, :block] = full.reshape(blocks, block)
-    bits = bit_lengths(grid)
-    bits[:, block:] = 0
-    if blocks and n % block:
-        bits[-1, n % block:block] = 0
-    widest = {1: bits[:, :block]}
+    bits = np.zeros((blocks, block + pad), dtype=np.uint8)  # nothing stands behind a block's end
+    whole = np.zeros(blocks * block, dtype=np.uint8)
+    whole[:n] = bit_lengths(values)
+    bits[:, :block] = whole.reshape(blocks, block)
     best = np.full((blocks, block), len(COUNTS) - 1, dtype=np.int8)
     reach, sized = bits, 1  # reach[:, p]: bits of the widest of `sized` values from p
     for s in range(len(COUNTS) - 2, -1, -1):
@@ -80,7 +84,7 @@ def encode_shard(values: np.ndarray, block: int = BLOCK) -> bytes:
             shifted[:, :-step] = reach[:, step:]
             reach, sized = np.maximum(reach, shifted), sized + step
         best[reach[:, :block] <= WIDTHS[s]] = s
-    best[widest[1] > WIDTHS[-1]] = ESCAPE
+    best[bits[:, :block] > WIDTHS[-1]] = ESCAPE
     takes = np.array([*COUNTS, 0, 1], dtype=np.int64)
     lengths = np.full(blocks, block, dtype=np.int64)
     if blocks and n % block:
@@ -105,13 +109,15 @@ def encode_shard(values: np.ndarray, block: int = BLOCK) -> bytes:
         for s, (count, width) in enumerate(zip(COUNTS, WIDTHS)):
             of = np.flatnonzero(chosen == s)
             if len(of):
-                taken = grid[row[of, None], pos[of, None] + np.arange(count)]
-                shifts = (np.arange(count, dtype=np.uint64) * np.uint64(width))[None, :]
-                words[place[of]] = np.bitwise_or.reduce(taken << shifts, axis=1) | np.uint64(s << 60)
+                first, room = row[of] * block + pos[of], lengths[row[of]] - pos[of]
+                word = np.full(len(of), s << 60, dtype=np.uint64)
+                for k in range(count):  # what stands behind the block's end belongs to the next
+                    word |= np.where(k < room, full[first + k], np.uint64(0)) << np.uint64(k * width)
+                words[place[of]] = word
         of = np.flatnonzero(chosen == ESCAPE)
         if len(of):
             of = of[np.argsort(place[of])]
-            escapes = grid[row[of], pos[of]]
+            escapes = full[row[of] * block + pos[of]]
             words[place[of]] = np.arange(len(of), dtype=np.uint64) | np.uint64(ESCAPE << 60)
     head = struct.pack(HEADER, MAGIC, 1, n, block, blocks, len(words), len(escapes))
     return b"".join((head, offsets.astype("<u4").tobytes(), words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes()))
@@ -160,59 +166,116 @@ def decode_shard(image: bytes, first_block: int = 0, last_block: int | None = No
     return out
 
 
+class PieceTable:
+    """Ids of distinct pieces by the piece's hash, one after another in one
+    array."""
+
+    def __init__(self, capacity: int):
+        self.numbers = HashTable(capacity)
+        self.count = self.used = 0
+        self.begin = np.zeros(1 << 12, dtype=np.int64)
+        self.length = np.zeros(1 << 12, dtype=np.int64)
+        self.ids = np.zeros(1 << 14, dtype=np.uint32)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, m = self.count, len(hashes)
+        while n + m > len(self.begin):
+            self.begin, self.length = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.length, 2 * len(self.length))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.numbers.put(hashes, np.arange(n, n + m))
+        self.length[n:n + m] = lengths
+        self.begin[n:n + m] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.count, self.used = n + m, self.used + len(ids)
+
+    def expand(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a sequence of pieces, and how many each has."""
+        lengths = self.length[codes]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.begin[codes] - (ends - lengths), lengths) + np.arange(total)], lengths
+
+
 def word_encoder(path: str):
-    """``texts -> list of id lists``, equal to encoding each whole text with
-    the tokenizer file at ``path`` without special tokens around it.
-
-    The tokenizer drops white space, lower-cases, and always splits between a
-    letter and ``.`` or ``,`` before white space, so ids of a white-space
-    separated piece do not depend on its neighbours: distinct pieces are
-    encoded once per task and texts are put together from them. Texts that
-    may hold a special token's string are encoded directly.
+    """``texts (an Arrow column) -> (ids, ids per text)``, equal to encoding
+    each whole text with the tokenizer file at ``path`` without special tokens
+    around it.
+
+    The tokenizer drops white space, lower-cases, and always splits between an
+    ASCII letter or digit and ASCII punctuation (unless an apostrophe is
+    near), so ids of a piece cut there do not depend on its neighbours:
+    distinct pieces are encoded once per worker, many in one call with a
+    special token between them, words are put together from pieces and texts
+    from words. A table that is full starts anew. Texts that may hold a
+    special token's string are encoded directly.
     """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    cut = re.compile(rb"(?<=[a-z])(?=[.,](?:[\x20\x09-\x0d]|\Z))")
-    known: dict[bytes, list[int]] = {}
-
-    def learn(pieces: list[bytes], into: dict) -> None:
-        groups = [[p.decode() for p in pieces[i:i + 200]] for i in range(0, len(pieces), 200)]
-        at = 0
-        for words, enc in zip(groups, tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            starts = np.cumsum([0, *(len(w) + 1 for w in words)])
-            ids = enc.ids
-            begins = np.fromiter((a for a, _ in enc.offsets), dtype=np.int64, count=len(ids))
-            edges = np.searchsorted(begins, starts).tolist()
-            for k in range(len(words)):
-                into[pieces[at + k]] = ids[edges[k]:edges[k + 1]]
-            at += len(words)
-
-    def encode(texts: list[bytes]) -> list[list[int]]:
-        split = []
-        for text in texts:
-            lower = text.lower()
-            split.append(None if b"<|" in lower else cut.sub(b" ", lower).split())
-        rare: dict[bytes, list[int]] = {}
-        missing = list(set().union(*(s for s in split if s)) - known.keys())
-        learn(missing, known if len(known) + len(missing) <= CACHE_WORDS else rare)
-        out = []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                out.append(tokenizer.encode(text.decode(), add_special_tokens=False).ids)
-                continue
-            ids: list[int] = []
-            if rare:
-                for p in pieces:
-                    ids += rare[p] if p in rare else known[p]
-            else:
-                for part in map(known.__getitem__, pieces):
-                    ids += part
-            out.append(ids)
-        return out
+    cache = worker_cache(("token pieces", path))
+    if not cache:
+        cache["tokenizer"], cache["pieces"] = Tokenizer.from_file(path), PieceTable(CACHE_PIECES)
+    tokenizer = cache["tokenizer"]
+    between_id, between = next((i, t.content) for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.special)
+    runs = re.compile(rb"[a-z0-9]+|[^a-z0-9\x20\x09-\x0d]+").findall
+    cut = re.compile(rb"(?<=[a-z])(?=[.,](?:[\x20\x09-\x0d]|\Z))").sub
+
+    def encoded(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        groups = [between.join([p.decode() for p in pieces[i:i + 500]]) for i in range(0, len(pieces), 500)]
+        parts, counts = [], []
+        for enc in tokenizer.encode_batch(groups, add_special_tokens=False):
+            ids = np.array(enc.ids, dtype=np.uint32)
+            marks = np.flatnonzero(ids == between_id)
+            counts.append(np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1)
+            parts.append(ids[ids != between_id])
+        return np.concatenate(parts), np.concatenate(counts)
+
+    def learn(table: PieceTable, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add missing words (distinct), put together from pieces."""
+        parts = [runs(w) if w.isascii() and b"'" not in w else cut(b" ", w).split() for w in words]
+        flat = [x for own in parts for x in own]
+        keys = hashes_of(flat)
+        missing = np.flatnonzero(table.numbers.get(keys) < 0)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            table.add(new, *encoded([flat[i] for i in missing[first].tolist()]))
+        ids, lengths = table.expand(table.numbers.get(keys))
+        n = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        several = n > 1  # the others are their only piece
+        keep = np.repeat(several, n)
+        of = np.repeat(np.cumsum(several) - 1, n)[keep]
+        table.add(
+            hashes[several], ids[np.repeat(keep, lengths)],
+            np.bincount(of, weights=lengths[keep], minlength=int(several.sum())).astype(np.int64),
+        )
+
+    def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        special = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+        if special.any():
+            plain = pc.if_else(pa.array(special), "", column)
+        else:
+            plain = column
+        words = Words(plain, lower=True)
+        if cache["pieces"].count > CACHE_PIECES:
+            cache["pieces"] = PieceTable(CACHE_PIECES)
+        table = cache["pieces"]
+        codes = table.numbers.get(words.hashes)
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            new, first = np.unique(words.hashes[missing], return_index=True)
+            learn(table, new, [words.word(i) for i in missing[first].tolist()])
+            codes[missing] = table.numbers.get(words.hashes[missing])
+        ids, lengths = table.expand(codes)
+        edges = np.concatenate(([0], np.cumsum(lengths)))[words.starts]
+        if not special.any():
+            return ids, np.diff(edges)
+        split = np.split(ids, edges[1:-1])
+        for i in np.flatnonzero(special).tolist():
+            split[i] = np.array(tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
+        return np.concatenate(split), np.fromiter(map(len, split), dtype=np.int64, count=len(split))
 
     return encode
 
@@ -236,27 +299,27 @@ def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int, *, sha
         part = TaskContext.get().partitionId()
         run = word_encoder(tokenizer_path)
         ids: list[np.ndarray] = []
+        lengths: list[int] = []
         doc_ids: list[int | None] = []
         seq = held = 0
 
         def shard():
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-                "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
-                "lengths": pa.array([[len(x) for x in ids]], pa.list_(pa.int64())),
-                "n_ids": pa.array([held], pa.int64()),
-                "image": pa.array([encode_shard(np.concatenate(ids))], pa.binary()),
+                "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())), "lengths": pa.array([lengths], pa.list_(pa.int64())),
+                "n_ids": pa.array([held], pa.int64()), "image": pa.array([encode_shard(np.concatenate(ids))], pa.binary()),
             })
 
-        for batch in byte_slices(batches, limit=4 << 20):
-            for doc_id, got in zip(batch.column("doc_id").to_pylist(), run(texts_of(batch))):
-                got.append(end_id)
-                ids.append(np.array(got, dtype=np.uint32))
-                doc_ids.append(doc_id)
-                held += len(got)
-                if held >= shard_ids:
-                    yield shard()
-                    ids, doc_ids, held, seq = [], [], 0, seq + 1
+        for batch in byte_slices(batches, limit=2 << 20):
+            flat, counts = run(batch.column("text"))
+            ends = np.cumsum(counts)
+            ids.append(np.insert(flat, ends, end_id))  # after each document
+            lengths += (counts + 1).tolist()
+            doc_ids += batch.column("doc_id").to_pylist()
+            held += len(flat) + len(counts)
+            if held >= shard_ids:
+                yield shard()
+                ids, lengths, doc_ids, held, seq = [], [], [], 0, seq + 1
         if ids:
             yield shard()
 
