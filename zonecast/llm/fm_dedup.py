@@ -121,21 +121,15 @@ def segments(codes: np.ndarray, starts: np.ndarray, window: int, anchor: int):
     return first, count, range_hashes(codes, where, where + anchor), range_hashes(codes, first, first + count + window - 1)
 
 
-def _combined(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, list]:
-    """Equal keys of a batch as one row: places of the earliest (by doc, then
-    start) and, for each, the (doc, start) of the others that are later."""
+def _combined(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal keys of a batch the earliest (by doc, then start), and the
+    others that are later."""
     order = np.lexsort((start, doc, key))
     k = key[order]
     fresh = np.concatenate(([True], k[1:] != k[:-1])) if len(k) else np.zeros(0, dtype=bool)
-    begin = np.flatnonzero(fresh)
-    ends = np.append(begin[1:], len(k))
-    others: list = [None] * len(begin)
-    for i in np.flatnonzero(ends - begin > 1).tolist():
-        rest = order[begin[i] + 1:ends[i]]
-        lead = order[begin[i]]
-        later = rest[(doc[rest] != doc[lead]) | (start[rest] != start[lead])]
-        others[i] = [{"doc": d, "start": s} for d, s in zip(doc[later].tolist(), start[later].tolist())]
-    return order[begin], others
+    lead = order[np.maximum.accumulate(np.where(fresh, np.arange(len(k)), 0))]
+    later = ~fresh & ((doc[order] != doc[lead]) | (start[order] != start[lead]))
+    return order[fresh], order[later]
 
 
 def _view(docs: DataFrame) -> DataFrame:
@@ -166,8 +160,10 @@ def _rows(batch: pa.RecordBatch, starts: np.ndarray, at: np.ndarray) -> tuple[np
 
 
 def segment_rows(view: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``anchor``, ``seg``, ``doc``, ``start``, ``m`` (windows) and ``others``:
-    equal segments of a batch are one row."""
+    """``anchor``, ``seg``, ``doc``, ``start``, ``m`` (windows), ``copy``: of
+    equal segments of a batch only the earliest stands under its anchor; the
+    others are known to go (``copy``) and get an anchor of their own, so that
+    they spread over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches):
@@ -176,20 +172,23 @@ def segment_rows(view: DataFrame, window: int, anchor: int) -> DataFrame:
             if not len(at):
                 continue
             doc, start = _rows(batch, starts, at)
-            lead, others = _combined(anchors * np.uint64(31) + segs, doc, start)
+            lead, copies = _combined(anchors * np.uint64(31) + segs, doc, start)
+            every = np.concatenate((lead, copies))
+            copy = np.arange(len(every)) >= len(lead)
+            own = _mix(doc[every].astype(np.uint64) * _BASE + start[every].astype(np.uint64))
             yield pa.RecordBatch.from_pydict({
-                "anchor": pa.array(anchors[lead].view(np.int64)), "seg": pa.array(segs[lead].view(np.int64)),
-                "doc": pa.array(doc[lead]), "start": pa.array(start[lead]), "m": pa.array(m[lead].astype(np.int32)),
-                "others": pa.array(others, _OTHERS),
+                "anchor": pa.array(np.where(copy, own, anchors[every]).view(np.int64)),
+                "seg": pa.array(np.where(copy, np.uint64(0), segs[every]).view(np.int64)),
+                "doc": pa.array(doc[every]), "start": pa.array(start[every]), "m": pa.array(m[every].astype(np.int32)), "copy": pa.array(copy),
             })
 
-    return view.select("doc", "base", "text").mapInArrow(run, f"anchor long, seg long, doc long, start long, m int, others {_OTHERS_SQL}")
+    return view.select("doc", "base", "text").mapInArrow(run, "anchor long, seg long, doc long, start long, m int, copy boolean")
 
 
 def settled_segments(rows: DataFrame) -> DataFrame:
-    """One shuffle by anchor. ``doc``, ``start``, ``m`` of windows that go,
-    and (``anchor`` not null) of segments that go on; ``hot`` marks those of
-    an anchor with many segments."""
+    """One shuffle by anchor. ``doc``, ``start``, ``m`` of segments whose
+    windows all go (``gone``) or that go on to the index; ``hot`` marks those
+    of an anchor with many segments."""
     by_anchor = Window.partitionBy("anchor")
     in_order = Window.partitionBy("anchor", "seg").orderBy("doc", "start")
     placed = (
@@ -199,13 +198,9 @@ def settled_segments(rows: DataFrame) -> DataFrame:
         .withColumn("segs", F.sum(F.when(F.col("nth") == 1, 1)).over(by_anchor))
     )
     later = (F.col("doc") != F.col("lead.doc")) | (F.col("start") != F.col("lead.start"))
-    none = F.array().cast(_OTHERS_SQL)
-    own = F.when(later, F.array(F.struct("doc", "start"))).otherwise(none)
-    gone = F.concat(own, F.coalesce("others", none)).cast(_OTHERS_SQL)
     goes_on = (F.col("nth") == 1) & (F.col("segs") > 1)
-    return placed.where(goes_on | (F.size(gone) > 0)).select(
-        F.when(goes_on, F.col("anchor")).alias("anchor"), "doc", "start", "m", gone.alias("gone"), (F.col("segs") > HOT).alias("hot")
-    )
+    gone = F.col("copy") | later
+    return placed.where(goes_on | gone).select("anchor", "doc", "start", "m", gone.alias("gone"), (F.col("segs") > HOT).alias("hot"))
 
 
 # ---- FM-index ----------------------------------------------------------------
@@ -416,8 +411,8 @@ def shard_matches(view: DataFrame, going_on: DataFrame, window: int) -> DataFram
 def repeated_intervals(docs_view: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``doc``, ``start``, ``m``: runs of windows that go (they may overlap)."""
     settled = store(settled_segments(segment_rows(docs_view, window, anchor)), "segments")
-    copies = settled.select(F.explode("gone").alias("g"), "m").select("g.doc", "g.start", "m")
-    matched = shard_matches(docs_view, settled.where(F.col("anchor").isNotNull()).select("doc", "start", "m", "anchor", "hot"), window)
+    copies = settled.where("gone").select("doc", "start", "m")
+    matched = shard_matches(docs_view, settled.where("not gone").select("doc", "start", "m", "anchor", "hot"), window)
     return copies.unionByName(matched)
 
 
