@@ -78,17 +78,6 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def flat_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """All words ``[^\\x20\\x09-\\x0D]+`` of the texts one after another and
-    the position at which each text starts (one more entry than texts)."""
-    words: list[bytes] = []
-    starts = np.zeros(len(texts) + 1, dtype=np.int64)
-    for i, text in enumerate(texts):
-        words += text.split()
-        starts[i + 1] = len(words)
-    return words, starts
-
-
 def hash_ranges(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte ranges of ``data`` (which goes on for at least 8
     bytes behind the last range): equal bytes have equal hashes, eight bytes
@@ -115,8 +104,14 @@ class Words:
     ``hashes``, byte ranges (``begin``, ``length`` in ``data``) and where each
     text's words start (``starts``, one more than texts)."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, fold: bytes | None = None):
+        """``lower`` folds A-Z; ``fold`` maps each byte first (256 bytes)."""
         column = column.cast(pa.string())
+        if fold is not None and len(column):
+            column = pc.fill_null(column, "")
+            bits, offsets, data = column.buffers()
+            mapped = np.frombuffer(fold, np.uint8)[np.frombuffer(data, np.uint8)] if data is not None else None
+            column = pa.StringArray.from_buffers(len(column), offsets, mapped if mapped is None else pa.py_buffer(mapped), bits, -1, column.offset)
         lists = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(column) if lower else column, ""))
         flat = lists.flatten()
         offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:flat.offset + len(flat) + 1].astype(np.int64) if len(flat) else np.zeros(1, np.int64)

@@ -18,21 +18,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import byte_slices, documents_view, store, texts_of
+from zonecast.llm.common import Words, byte_slices, documents_view, hashes_of, store
 
 #: Words of a decontamination window.
 WINDOW = 10
 #: Positions between two documents of a segment; proximity must stay below.
 GAP = 64
 #: A segment is closed when it has so many words (4 bytes each in postings).
-SEGMENT_WORDS = 1 << 21
+SEGMENT_WORDS = 1 << 20
 #: Text of the items that are searched together; more items take more passes
 #: over the written index.
 QUERY_BYTES = 16 << 20
@@ -48,54 +47,56 @@ def index_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-SEGMENT_SCHEMA = (
-    "segment long, doc_ids array<long>, n_words array<long>, terms array<binary>, list_ends binary, postings binary"
-)
+SEGMENT_SCHEMA = "segment long, doc_ids array<long>, n_words array<long>, terms binary, list_ends binary, postings binary"
 
 
-def build_index(docs: DataFrame, *, vocabulary: frozenset[bytes] | None = None, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+def build_index(docs: DataFrame, *, vocabulary: list[bytes] | None = None, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """Write the positional index of all documents and return its table.
 
-    ``vocabulary`` limits the stored terms to those that will be asked for;
-    no other term can be part of a match.
+    Terms are named by 64-bit hashes (sorted in ``terms``); ``list_ends`` says
+    where each term's positions end in ``postings``. ``vocabulary`` limits the
+    stored terms to those that will be asked for; no other term can be part of
+    a match.
     """
+    asked = None if vocabulary is None else np.unique(hashes_of(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        made = 0
+        made = held = 0
         ids: list[int | None] = []
-        counts: list[int] = []
-        flat: list[bytes] = []
+        counts: list[np.ndarray] = []
+        hashes: list[np.ndarray] = []
 
         def segment():
-            lengths = np.array(counts, dtype=np.int64)
-            own = set(flat)
-            terms = sorted(own if vocabulary is None else own & vocabulary)
-            code = {t: i for i, t in enumerate(terms)}
-            codes = np.fromiter(map(code.get, flat, repeat(-1)), dtype=np.int32, count=len(flat))
-            at = np.arange(len(flat)) + GAP * np.repeat(np.arange(len(counts)), lengths)
-            stored = np.flatnonzero(codes >= 0)
-            order = stored[np.argsort(codes[stored], kind="stable")]
-            ends = np.cumsum(np.bincount(codes[stored], minlength=len(terms)))
+            lengths, flat = np.concatenate(counts), np.concatenate(hashes)
+            at = np.arange(len(flat)) + GAP * np.repeat(np.arange(len(lengths)), lengths)
+            if asked is not None and len(asked):
+                place = np.minimum(np.searchsorted(asked, flat), len(asked) - 1)
+                stored = asked[place] == flat
+                flat, at = flat[stored], at[stored]
+            elif asked is not None:
+                flat, at = flat[:0], at[:0]
+            order = np.argsort(flat, kind="stable")
+            terms, first = np.unique(flat[order], return_index=True)
             return pa.RecordBatch.from_pydict({
                 "segment": pa.array([(part << 32) | made], pa.int64()),
-                "doc_ids": pa.array([ids], pa.list_(pa.int64())), "n_words": pa.array([counts], pa.list_(pa.int64())),
-                "terms": pa.array([terms], pa.list_(pa.binary())),
-                "list_ends": pa.array([ends.astype("<u4").tobytes()], pa.binary()),
+                "doc_ids": pa.array([ids], pa.list_(pa.int64())), "n_words": pa.array([lengths.tolist()], pa.list_(pa.int64())),
+                "terms": pa.array([terms.astype("<u8").tobytes()], pa.binary()),
+                "list_ends": pa.array([np.append(first[1:], len(flat)).astype("<u4").tobytes() if len(terms) else b""], pa.binary()),
                 "postings": pa.array([at[order].astype("<u4").tobytes()], pa.binary()),
             })
 
         for batch in byte_slices(batches, limit=2 << 20):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                words = index_words(text)
-                ids.append(doc_id)
-                counts.append(len(words))
-                flat += words
-                if len(flat) + GAP * len(ids) >= segment_words:
-                    yield segment()
-                    ids, counts, flat, made = [], [], [], made + 1
+            words = Words(batch.column("text"), fold=_FOLD)
+            ids += batch.column("doc_id").to_pylist()
+            counts.append(np.diff(words.starts))
+            hashes.append(words.hashes)
+            held += len(words.hashes) + GAP * batch.num_rows
+            if held >= segment_words:
+                yield segment()
+                ids, counts, hashes, held, made = [], [], [], 0, made + 1
         if ids:
             yield segment()
 
@@ -149,7 +150,8 @@ def search_index(index: DataFrame, items: list[tuple[str, bytes]], *, window: in
     """
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must be from 0 to {GAP - 1}")
-    terms, windows = item_windows(items, window)
+    named, windows = item_windows(items, window)
+    terms = hashes_of(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,12 +163,15 @@ def search_index(index: DataFrame, items: list[tuple[str, bytes]], *, window: in
     )
 
 
-def _search_segment(seg: dict, terms: list[bytes], windows: list[tuple[str, np.ndarray]], slop: int) -> pa.RecordBatch:
+def _search_segment(seg: dict, terms: np.ndarray, windows: list[tuple[str, np.ndarray]], slop: int) -> pa.RecordBatch:
     postings = np.frombuffer(seg["postings"], "<u4").astype(np.int64)
     ends = np.frombuffer(seg["list_ends"], "<u4").astype(np.int64)
     begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-    local = {t: i for i, t in enumerate(seg["terms"])}
-    here = np.fromiter(map(local.get, terms, repeat(-1)), dtype=np.int64, count=len(terms))
+    held = np.frombuffer(seg["terms"], "<u8")
+    here = np.full(len(terms), -1, dtype=np.int64)
+    if len(held):
+        place = np.minimum(np.searchsorted(held, terms), len(held) - 1)
+        here = np.where(held[place] == terms, place, -1)
     lengths = np.array(seg["n_words"], dtype=np.int64)
     firsts = np.concatenate(([0], np.cumsum(lengths + GAP)[:-1]))
     docs = len(lengths)
@@ -231,7 +236,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     slices = benchmark_slices(benchmark, query_bytes)
     first = next(slices)
     more = next(slices, None)
-    vocabulary = frozenset(item_windows(first, window)[0]) if more is None else None
+    vocabulary = item_windows(first, window)[0] if more is None else None
     index = build_index(docs, vocabulary=vocabulary)
     found = search_index(index, first, window=window)
     if more is not None:
