@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import NULL_ID, byte_slices, documents_view, flat_words, store, texts_of
+from zonecast.llm.common import NULL_ID, Words, byte_slices, documents_view, store, texts_of
 
 WINDOW = 20
 ANCHOR = 6
@@ -63,13 +63,6 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_codes(words: list[bytes]) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
-
-    codes = {w: xxh3_64_intdigest(w) for w in set(words)}
-    return np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, dtype=np.uint64)
     if n:
@@ -167,8 +160,9 @@ def segment_rows(view: DataFrame, window: int, anchor: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches):
-            words, starts = flat_words(texts_of(batch))
-            at, m, anchors, segs = segments(word_codes(words), starts, window, anchor)
+            words = Words(batch.column("text"))
+            starts = words.starts
+            at, m, anchors, segs = segments(words.hashes, starts, window, anchor)
             if not len(at):
                 continue
             doc, start = _rows(batch, starts, at)
