@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import byte_slices, documents_view, flat_words, store, texts_of
+from zonecast.llm.common import Words, byte_slices, documents_view, store, texts_of
 
 #: Fixed rule values.
 MIN_WORDS = 20
@@ -33,10 +33,10 @@ REPEAT_PERCENT = 30
 THRESHOLD = 0.5
 #: Labelled rows used for a fit, at most; those with the smallest hash of
 #: their id, classes drawn alike.
-SAMPLE_PER_CLASS = 2500
+SAMPLE_PER_CLASS = 2000
 MIN_CLASS = 5
 #: Hashed feature space, and n-gram orders of words and of bytes.
-DIMS = 1 << 16
+DIMS = 1 << 15
 WORD_ORDERS = (1, 2)
 CHAR_ORDERS = (3, 4, 5)
 
@@ -49,14 +49,6 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _word_codes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit code for each word; equal words share it."""
-    from xxhash import xxh64_intdigest
-
-    codes = {w: xxh64_intdigest(w) for w in set(words)}
-    return np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def repeated_window_words(codes: np.ndarray, starts: np.ndarray, size: int = REPEAT_WINDOW) -> np.ndarray:
     """Words per text inside windows of ``size`` words whose sequence occurs
     twice or more in that text."""
@@ -154,10 +146,10 @@ _SCALE = 1000.0
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in byte_slices(batches, limit=2 << 20):
+    for batch in byte_slices(batches, limit=256 << 10):
         texts = texts_of(batch)
-        words, starts = flat_words(texts)
-        codes = _word_codes(words)
+        words = Words(batch.column("text"))
+        codes, starts = words.hashes, words.starts
         slots, of = (np.concatenate(x) for x in zip(*[*ngram_slots(texts, codes, starts), (np.zeros(0, np.int64), np.zeros(0, np.int64))]))
         key, count = np.unique(of.astype(np.int64) * DIMS + slots, return_counts=True)
         doc, slot = key // DIMS, key % DIMS
@@ -215,9 +207,15 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE
         fit.unpersist()
     weights = lr.coefficients.toArray() * _SCALE
     intercept = float(lr.intercept)
-    held = rows.where("held").select("label", "slots", "shares").toPandas()  # a fifth of the bounded sample
-    margins = np.array([intercept + float(np.dot(weights[np.asarray(s, dtype=np.int64)], np.asarray(v)) / _SCALE) for s, v in zip(held["slots"], held["shares"])])
-    slope, offset = platt(margins, held["label"].to_numpy())
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots, shares = batch.column("slots"), batch.column("shares")
+            sums = [float(np.dot(weights[slots[i].values.to_numpy()], shares[i].values.to_numpy())) / _SCALE for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "margin": pa.array([intercept + x for x in sums], pa.float64())})
+
+    held = rows.where("held").select("label", "slots", "shares").mapInArrow(margins, "label double, margin double").toArrow()  # a fifth of the sample
+    slope, offset = platt(held.column("margin").to_numpy(), held.column("label").to_numpy())
     return QualityModel(weights, intercept, slope, offset)
 
 
@@ -262,10 +260,10 @@ def keep_good(docs: DataFrame, model: QualityModel, *, threshold: float = THRESH
 
 def _scorer(model: QualityModel, threshold: float, passing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, limit=2 << 20):
+        for batch in byte_slices(batches, limit=1 << 20):
             texts = texts_of(batch)
-            words, starts = flat_words(texts)
-            codes = _word_codes(words)
+            words = Words(batch.column("text"))
+            codes, starts = words.hashes, words.starts
             m = text_measures(texts, codes, starts)
             p = model.probabilities(texts, codes, starts)
             failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > REPEAT_PERCENT * m["n_words"])
