@@ -1,7 +1,7 @@
 """Quality rules: hashed n-gram logistic regression beside fixed base rules.
 
 ``text_measures`` are the rule counts; ``train_quality`` fits a logistic
-regression (Spark ML) on hashed word and character n-grams of a bounded
+regression on hashed word and character n-grams of a bounded
 sample of labelled rows and calibrates its probabilities on a part held out
 of the fit (Platt's sigmoid); ``score_quality`` scores whole texts in Arrow
 batches against a fixed threshold.
@@ -158,8 +158,8 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         edges = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
         yield pa.RecordBatch.from_pydict({
             "label": batch.column("label"), "held": batch.column("held"),
-            "slots": pa.array([slot[a:b].tolist() for a, b in zip(edges, edges[1:])], pa.list_(pa.int32())),
-            "shares": pa.array([value[a:b].tolist() for a, b in zip(edges, edges[1:])], pa.list_(pa.float64())),
+            "slots": pa.array([slot[a:b].astype("<i4").tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
+            "shares": pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
         })
 
 
@@ -186,37 +186,108 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
     return texts.select("doc_id", "text", "label", (F.pmod("_zc_h", F.lit(5)) == 0).alias("held"))
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLASS, reg: float = 1e-4, max_iter: int = 40) -> QualityModel:
-    """Fit and calibrate. The sample (see ``labelled_sample``) is bounded by
-    ``2 * per_class`` rows whatever the size of the tables."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+class SparseRows:
+    """Rows of a sparse matrix, with the two products a fit needs; both run
+    over pieces of a million entries."""
+
+    def __init__(self, slots: list[bytes], shares: list[bytes]):
+        columns = [np.frombuffer(x, "<i4") for x in slots]
+        self.slots = np.concatenate([np.zeros(0, np.int32), *columns])
+        self.shares = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, "<f4") for x in shares)])
+        self.rows = np.repeat(np.arange(len(columns), dtype=np.int32), [len(c) for c in columns])
+        self.count = len(columns)
+
+    def _pieces(self):
+        return (slice(i, i + (1 << 20)) for i in range(0, len(self.slots), 1 << 20))
 
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.count)
+        for s in self._pieces():
+            out += np.bincount(self.rows[s], weights=weights[self.slots[s]] * self.shares[s], minlength=self.count)
+        return out
+
+    def transposed_times(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(DIMS)
+        for s in self._pieces():
+            out += np.bincount(self.slots[s], weights=values[self.rows[s]] * self.shares[s], minlength=DIMS)
+        return out
+
+
+def fit_logistic(x: SparseRows, y: np.ndarray, reg: float, steps: int, memory: int = 8) -> tuple[np.ndarray, float]:
+    """Weights and intercept that minimise the mean logistic loss plus
+    ``reg / 2`` times the squared weights: limited-memory BFGS with
+    backtracking."""
+
+    def loss(p):
+        margin = x.times(p[:-1]) + p[-1]
+        value = np.mean(np.logaddexp(0.0, np.where(y > 0, -margin, margin))) + 0.5 * reg * np.dot(p[:-1], p[:-1])
+        error = (1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))) - y) / len(y)
+        return value, np.append(x.transposed_times(error) + reg * p[:-1], error.sum())
+
+    p = np.zeros(DIMS + 1)
+    value, gradient = loss(p)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        direction = -gradient
+        used = []
+        for s, d, scale in reversed(moves):
+            a = scale * np.dot(s, direction)
+            direction = direction - a * d
+            used.append(a)
+        if moves:
+            s, d, scale = moves[-1]
+            direction = direction / (scale * np.dot(d, d))
+        else:
+            direction = direction / max(1.0, np.linalg.norm(gradient))
+        for (s, d, scale), a in zip(moves, reversed(used)):
+            direction = direction + (a - scale * np.dot(d, direction)) * s
+        slope, step = np.dot(gradient, direction), 1.0
+        while step > 1e-10:
+            new_value, new_gradient = loss(p + step * direction)
+            if new_value <= value + 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        s, d = step * direction, new_gradient - gradient
+        if np.dot(s, d) > 1e-12:
+            moves = [*moves, (s, d, 1.0 / np.dot(s, d))][-memory:]
+        small = abs(value - new_value) <= 1e-7 * max(abs(value), 1e-12)
+        p, value, gradient = p + s, new_value, new_gradient
+        if small:
+            break
+    return p[:-1], float(p[-1])
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLASS, reg: float = 1e-4, max_iter: int = 60) -> QualityModel:
+    """Fit and calibrate. The sample (see ``labelled_sample``) is bounded by
+    ``2 * per_class`` rows whatever the size of the tables; its n-grams are
+    counted by many tasks, one task fits their sparse rows."""
     sample = labelled_sample(docs, labels, per_class).repartition(12, "doc_id")
-    rows = store(sample.select("label", "held", "text").mapInArrow(_feature_rows, "label double, held boolean, slots array<int>, shares array<double>"), "quality-features")
-    counts = {(r["label"], r["held"]): r["n"] for r in rows.groupBy("label", "held").agg(F.count("*").alias("n")).collect()}
-    if min(counts.get((label, held), 0) for label in (0.0, 1.0) for held in (False, True)) < 1 or min(
-        sum(n for (l, _), n in counts.items() if l == label) for label in (0.0, 1.0)
-    ) < MIN_CLASS:
-        return QualityModel(None, 0.0, 1.0, 0.0)
-    vector = F.udf(lambda i, v: SparseVector(DIMS, i, v), VectorUDT())
-    fit = rows.where(~F.col("held")).select("label", vector("slots", "shares").alias("features")).cache()
-    try:
-        lr = LogisticRegression(maxIter=max_iter, regParam=reg, standardization=False, tol=1e-6).fit(fit)
-    finally:
-        fit.unpersist()
-    weights = lr.coefficients.toArray() * _SCALE
-    intercept = float(lr.intercept)
-
-    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = store(sample.select("label", "held", "text").mapInArrow(_feature_rows, "label double, held boolean, slots binary, shares binary"), "quality-features")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, held, slots, shares = [], [], [], []
         for batch in batches:
-            slots, shares = batch.column("slots"), batch.column("shares")
-            sums = [float(np.dot(weights[slots[i].values.to_numpy()], shares[i].values.to_numpy())) / _SCALE for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "margin": pa.array([intercept + x for x in sums], pa.float64())})
+            for values, name in ((label, "label"), (held, "held"), (slots, "slots"), (shares, "shares")):
+                values += batch.column(name).to_pylist()
+        y, out = np.array(label), np.array(held, dtype=bool)
+        if min(sum(y == 0), sum(y == 1)) < MIN_CLASS or len(set(y[out])) < 2 or len(set(y[~out])) < 2:
+            return
+        used, kept = np.flatnonzero(~out), np.flatnonzero(out)
+        weights, intercept = fit_logistic(SparseRows([slots[i] for i in used], [shares[i] for i in used]), y[used], reg, max_iter)
+        margins = SparseRows([slots[i] for i in kept], [shares[i] for i in kept]).times(weights) + intercept
+        slope, offset = platt(margins, y[kept])
+        yield pa.RecordBatch.from_pydict({
+            "weights": pa.array([(weights * _SCALE).astype("<f8").tobytes()], pa.binary()), "intercept": pa.array([intercept], pa.float64()),
+            "slope": pa.array([slope], pa.float64()), "offset": pa.array([offset], pa.float64()),
+        })
 
-    held = rows.where("held").select("label", "slots", "shares").mapInArrow(margins, "label double, margin double").toArrow()  # a fifth of the sample
-    slope, offset = platt(held.column("margin").to_numpy(), held.column("label").to_numpy())
-    return QualityModel(weights, intercept, slope, offset)
+    found = rows.coalesce(1).mapInArrow(fit, "weights binary, intercept double, slope double, offset double").collect()
+    if not found:
+        return QualityModel(None, 0.0, 1.0, 0.0)
+    one = found[0]
+    return QualityModel(np.frombuffer(one["weights"], "<f8"), one["intercept"], one["slope"], one["offset"])
 
 
 def platt(margins: np.ndarray, labels: np.ndarray, steps: int = 100) -> tuple[float, float]:
