@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from helpers import demand_df, scored_df
 from zonecast.functions import metrics as M
-from zonecast.functions.status import psi_band, regression_band
 from zonecast.operators import diagnostics as dg
 from zonecast.operators import eda
 from zonecast.operators import intervals as iv
@@ -72,16 +71,30 @@ def test_snapshot_and_daily(spark):
 
 
 def test_regression_and_psi_bands(spark):
-    assert [regression_band(0.10, x) for x in (0.11, 0.12, 0.14)] == ["stable", "watch", "critical"]
-    assert regression_band(0.0, 0.0) == "stable" and regression_band(0.0, 0.1) == "critical"
-    with pytest.raises(ValueError):
-        regression_band(float("nan"), 0.1)
-    assert psi_band(0.05) == "stable" and psi_band(0.2) == "watch" and psi_band(0.3) == "drift"
-    df = spark.createDataFrame([(0.10, 0.11), (0.10, 0.12), (0.10, 0.14), (0.0, 0.0)], "r double, c double")
-    from zonecast.functions.status import classify_performance_regression
+    df = spark.createDataFrame([(0.10, 0.11), (0.10, 0.12), (0.10, 0.14), (0.0, 0.0), (0.0, 0.1)], "r double, c double")
+    from zonecast.functions.status import classify_performance_regression, classify_psi
+
+    psi = spark.createDataFrame([(0.05,), (0.2,), (0.3,)], "p double")
+    assert [r[0] for r in psi.select(classify_psi("p")).collect()] == ["stable", "watch", "drift"]
+    with pytest.raises(Exception, match="finite"):
+        df.select(classify_performance_regression(F.lit(float("nan")), "c")).collect()
 
     got = [r[0] for r in df.select(classify_performance_regression("r", "c")).collect()]
-    assert got == ["stable", "watch", "critical", "stable"]
+    assert got == ["stable", "watch", "critical", "stable", "critical"]
+
+
+def test_bad_rows_are_errors_not_gaps(spark):
+    import zonecast.functions.metrics as M
+
+    frame = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "actual double, prediction double")
+    with pytest.raises(Exception, match="finite"):
+        frame.agg(*M.forecast_metrics()).collect()
+    with pytest.raises(Exception, match="no row"):
+        mon.performance_snapshot(frame.limit(0)).collect()
+    values = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
+    for reference, current in ((values, values), (values, values.withColumn("y", F.col("x"))), (values.withColumn("y", F.col("x")), values)):
+        with pytest.raises(Exception, match="feature y"):
+            mon.population_stability(reference, current, ["x", "y"]).collect()
 
 
 def _numpy_psi(expected, observed, bins=10, eps=1e-6):
@@ -194,10 +207,10 @@ def test_kth_smallest_exact_against_numpy(spark):
     frame = spark.createDataFrame([(float(v),) for v in values], "x double")
     ordered = np.sort(values)
     for k in (0, 1, 777, 2500, 3100, len(values) - 1):
-        assert kth_smallest(frame, "x", k, direct_limit=50, buckets=16) == ordered[k]
+        assert kth_smallest(frame, "x", k, buckets=16) == ordered[k]
         assert kth_smallest(frame, "x", k) == ordered[k]
     weighted = spark.createDataFrame([(1.0, 3), (2.0, 1), (5.0, 2)], "x double, c long")
-    assert [kth_smallest(weighted, "x", k, weight="c", direct_limit=0, buckets=2) for k in range(6)] == [1, 1, 1, 2, 5, 5]
+    assert [kth_smallest(weighted, "x", k, weight="c", buckets=2) for k in range(6)] == [1, 1, 1, 2, 5, 5]
 
 
 def test_approximate_quantile_options_stay_close(spark):

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from zonecast import session as S
 
 
@@ -25,6 +27,22 @@ def test_checkpoint_folder_fallback_is_stable_per_session(tmp_dir):
     assert S.ensure_checkpoint_dir(fake) == first
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.ensure_checkpoint_dir(_ConnectLikeSession())
+
+    class Cluster(_ConnectLikeSession):
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return _Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.ensure_checkpoint_dir(Cluster())
+
+
 def test_session_setting_wins(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert S.ensure_checkpoint_dir(spark, fallback="/nonexistent/never") == (configured or S._FALLBACK_DIRS[id(spark)])

@@ -10,7 +10,7 @@ from zonecast.plans import build as bd
 from zonecast.plans import reports as rp
 from zonecast.sources import driver_tables as dt
 from zonecast.sources.sinks import write_parquet
-from zonecast.sources.trips import YearMonth, read_monthly_trips, read_trip_window
+from zonecast.sources.trips import read_monthly_trips, read_trip_window
 from zonecast.sources.zones import load_zone_lookup
 
 
@@ -34,6 +34,28 @@ def test_monthly_files_and_window_read(spark, tmp_dir):
         read_trip_window(spark, paths, start_time="2025-01-01 00:00:00", end_time="2025-02-01 00:00:00")
 
 
+def test_stray_rows_of_month_files_are_not_counted(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def write(label, days, width):
+        t = [datetime(2024, m, d, 5) for m, d in days]
+        pq.write_table(pa.table({
+            "tpep_pickup_datetime": pa.array(t, pa.timestamp("us")), "tpep_dropoff_datetime": pa.array([x.replace(hour=6) for x in t], pa.timestamp("us")),
+            "PULocationID": pa.array([7] * len(t), width), "DOLocationID": pa.array([8] * len(t), width),
+            "trip_distance": pa.array([1.0] * len(t)), "total_amount": pa.array([9.0] * len(t)),
+        }), os.path.join(tmp_dir, f"yellow_tripdata_{label}.parquet"))
+
+    write("2024-01", [(1, 3), (2, 2)], pa.int32())  # the second row strays into February
+    write("2024-02", [(2, 9)], pa.int64())
+    trips = read_monthly_trips(spark, [os.path.join(tmp_dir, f"yellow_tripdata_2024-0{m}.parquet") for m in (1, 2)])
+    mart, manifest = bd.build_manifest(trips, "2024-01", "2024-02")
+    assert {r.month: r.input_rows for r in manifest.collect()} == {"2024-01": 1, "2024-02": 1}
+    assert mart.agg(F.sum("demand")).first()[0] == 2
+    with pytest.raises(ValueError):
+        bd.build_manifest(trips, "2024-02", "2024-01")
+
+
 def test_zone_lookup_csv(spark, tmp_dir):
     path = os.path.join(tmp_dir, "zones.csv")
     with open(path, "w") as fh:
@@ -45,7 +67,7 @@ def test_zone_lookup_csv(spark, tmp_dir):
 
 def test_build_dataset_range_writes_mart_and_manifest(spark, tmp_dir):
     trips = dt.trips(spark, "/root/testdata/sf0.001")
-    manifest = bd.build_dataset_range(trips, YearMonth(2024, 1), YearMonth(2024, 1), tmp_dir).collect()
+    manifest = bd.build_dataset_range(trips, "2024-01", "2024-01", tmp_dir).collect()
     assert len(manifest) == 1 and manifest[0].month == "2024-01"
     assert manifest[0].null_pickup_rows == 0  # a missing pickup never enters a month window
     mart = spark.read.parquet(os.path.join(tmp_dir, "demand"))

@@ -66,12 +66,14 @@ def bias(actual, prediction) -> Column:
 
 
 def forecast_metrics(actual="actual", prediction="prediction", prefix: str = "") -> list[Column]:
-    """MAE, RMSE, WAPE and sMAPE as one list of aggregate columns."""
+    """MAE, RMSE, WAPE and sMAPE as one list of aggregate columns. A row with
+    a null, NaN or infinite side makes the group an error: leaving it out
+    would change the metric silently."""
+    bad = non_finite_count(actual, prediction) > 0
+    refused = F.raise_error(F.lit("forecast metrics need finite actuals and predictions")).cast("double")
     return [
-        mae(actual, prediction).alias(f"{prefix}mae"),
-        rmse(actual, prediction).alias(f"{prefix}rmse"),
-        wape(actual, prediction).alias(f"{prefix}wape"),
-        smape(actual, prediction).alias(f"{prefix}smape"),
+        F.when(bad, refused).otherwise(metric(actual, prediction)).alias(f"{prefix}{metric.__name__}")
+        for metric in (mae, rmse, wape, smape)
     ]
 
 

@@ -2,15 +2,15 @@
 
 ``kth_smallest`` narrows the value range with equal-width histograms: each
 pass is one distributed aggregation (map-side combined) returning at most
-``buckets`` rows; the bucket holding the wanted rank becomes the new
-range, bounded by its actual smallest and largest value. Bucket ids are
-monotone in the value, so a bucket is a contiguous run of the sorted
-values. The loop ends when the range holds a single distinct value or few
-enough rows to rank directly.
+``buckets`` rows; the bucket holding the wanted rank becomes the new range,
+bounded by its actual smallest and largest value. Bucket ids are monotone in
+the value, so a bucket is a contiguous run of the sorted values. The smallest
+and the largest value of a range fall into different buckets, so every pass
+leaves fewer distinct values and the loop ends with one.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,42 +21,30 @@ def kth_smallest(
     *,
     weight: str | None = None,
     buckets: int = 4096,
-    direct_limit: int = 100_000,
-    max_passes: int = 16,
 ) -> float:
     """The value at zero-based ``rank`` in ascending order (rows counted
     ``weight`` times when a multiplicity column is given)."""
     w = F.col(weight) if weight else F.lit(1)
-    v = F.col(value)
+    v = F.col(value).cast("double")
     data = frame.select(v.alias("_v"), w.cast("bigint").alias("_w")).filter(F.col("_v").isNotNull())
-    row = data.agg(F.min("_v"), F.max("_v"), F.sum("_w"), F.count(F.lit(1))).first()
-    lo, hi, total, rows = row[0], row[1], row[2] or 0, row[3]
-    if not 0 <= rank < total:
+    lo, hi, total = data.agg(F.min("_v"), F.max("_v"), F.sum("_w")).first()
+    if not 0 <= rank < (total or 0):
         raise ValueError("rank outside the data")
     remaining = rank
-    for _ in range(max_passes):
-        if lo == hi:
-            return float(lo)
-        in_range = data.filter(F.col("_v").between(lo, hi))
-        if rows <= direct_limit:
-            # few rows left: rank them with a running weight total
-            running = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            hit = in_range.withColumn("_cum", F.sum("_w").over(running)).filter(F.col("_cum") > remaining)
-            return float(hit.agg(F.min("_v")).first()[0])
-        width = (hi - lo) / buckets
-        bucket = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+    while lo != hi:
+        width = hi / buckets - lo / buckets
+        at = F.col("_v") - F.lit(lo) if hi - lo < float("inf") else F.col("_v") / buckets - F.lit(lo / buckets)
+        step = width if hi - lo < float("inf") else width / buckets
+        # a step below the smallest double leaves fewer distinct values than buckets
+        bucket = F.least(F.floor(at / F.lit(step)), F.lit(buckets - 1)).cast("double") if step > 0 else F.col("_v")
         hist = (
-            in_range.groupBy(bucket.alias("_b"))
-            .agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-            .orderBy("_b")
-            .collect()
+            data.filter(F.col("_v").between(lo, hi)).groupBy(bucket.alias("_b"))
+            .agg(F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+            .orderBy("_b").collect()
         )
         for h in hist:
             if remaining < h["_n"]:
-                lo, hi, rows = h["_lo"], h["_hi"], h["_rows"]
+                lo, hi = h["_lo"], h["_hi"]
                 break
             remaining -= h["_n"]
-    # pathological spacing: rank what is left directly (range is tiny by now)
-    running = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = data.filter(F.col("_v").between(lo, hi)).withColumn("_cum", F.sum("_w").over(running))
-    return float(hit.filter(F.col("_cum") > remaining).agg(F.min("_v")).first()[0])
+    return float(lo)

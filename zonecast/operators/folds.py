@@ -143,11 +143,3 @@ def expanding_window_folds(
     )
     return plan.table(frame.sparkSession)
 
-
-def split_frame(frame: DataFrame, fold_row) -> tuple[DataFrame, DataFrame]:
-    """Half-open train / validation filters for one fold (pushed down as
-    plain range predicates)."""
-    ts = F.col("timestamp")
-    train = frame.filter((ts >= ntz_literal(fold_row[1])) & (ts < ntz_literal(fold_row[2])))
-    validation = frame.filter((ts >= ntz_literal(fold_row[3])) & (ts < ntz_literal(fold_row[4])))
-    return train, validation

@@ -37,6 +37,8 @@ def performance_snapshot(
     clean = frame.filter(F.col(actual_column).isNotNull() & F.col(prediction_column).isNotNull())
     dist = residual_distribution(clean, actual_column=actual_column, prediction_column=prediction_column, by=by)
     snap = snapshot_from_distribution(dist, by, exact_p90=not approx_accuracy)
+    none = F.raise_error(F.lit("no row has both an actual and a prediction")).cast("bigint")
+    snap = snap.withColumn("observations", F.when(F.coalesce("observations", F.lit(0)) == 0, none).otherwise(F.col("observations")))
     if not approx_accuracy:
         return snap
     sketch = clean.groupBy(*by).agg(
@@ -158,9 +160,13 @@ def population_stability(
         F.bool_and("_close").alias("_close"),
         F.max("_bad").alias("_bad"),
         F.min("n_cur").alias("_n_cur"),
+        F.min("n_ref").alias("_n_ref"),
     )
+    # one row per feature that was asked for, also when it has no value at all
+    asked = reference.sparkSession.createDataFrame([(f,) for f in dict.fromkeys(features)], "feature string")
+    per_feature = asked.join(per_feature, "feature", "left")
     guard = F.when(F.col("_bad") > 0, F.raise_error(F.lit("drift samples must contain only finite values")))
-    empty = F.when(F.col("_n_cur").isNull(), F.raise_error(F.lit("reference and current samples must be non-empty")))
+    empty = F.when((F.coalesce("_n_cur", F.lit(0)) == 0) | (F.coalesce("_n_ref", F.lit(0)) == 0), F.raise_error(F.concat(F.lit("no values to compare for feature "), F.col("feature"))))
     psi = F.when(F.col("_constant"), F.when(F.col("_close"), F.lit(0.0)).otherwise(F.lit(M.INF))).otherwise(F.col("_psi"))
     return per_feature.select("feature", F.coalesce(guard.cast("double"), empty.cast("double"), psi).alias("psi"))
 

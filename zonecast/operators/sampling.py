@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 from zonecast.session import materialize
 
 
-# Largest small side (rows of two longs) we hint for broadcast: ~2 M rows is
-# a few tens of MB, well inside default executor memory.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
 def even_sample(
     frame: DataFrame, max_rows: int, *, order=("timestamp", "zone_id"), materialize_input: bool = True
 ) -> DataFrame:
@@ -23,7 +18,8 @@ def even_sample(
     rows are counted per ``order[0]`` value (one row per hour), a running
     sum over that small table gives each hour's offset, and a row number
     within the hour completes the index. The ``m`` target positions form a
-    table bounded by the sampling parameter and are broadcast-joined.
+    table bounded by the sampling parameter. Join strategies are left to
+    adaptive execution, which sees the real sizes.
     """
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
@@ -39,11 +35,6 @@ def even_sample(
     )
     n = per_key.agg(F.sum("_k")).scalar()
     within = Window.partitionBy(first).orderBy(*(rest or [first]))
-    # one row per distinct ordering key: broadcast only below a checked size,
-    # otherwise let the planner shuffle-join (the input is written, so the
-    # count is a cheap pass over a small column)
-    keys = per_key.count()
-    offsets = F.broadcast(offsets) if keys <= BROADCAST_ROW_LIMIT else offsets
     indexed = frame.join(offsets, first).withColumn("_i", F.col("_off") + F.row_number().over(within) - 1)
     m = int(max_rows)
     if m == 1:
@@ -54,6 +45,4 @@ def even_sample(
         j = F.col("id")
         pos = F.when(j == m - 1, n - 1).otherwise(F.floor(j.cast("double") * step))
         targets = spark.range(m).select(pos.cast("bigint").alias("_i"))
-    targets = targets.distinct()
-    targets = F.broadcast(targets) if m <= BROADCAST_ROW_LIMIT else targets
-    return indexed.join(targets, "_i", "left_semi").drop("_off", "_i")
+    return indexed.join(targets.distinct(), "_i", "left_semi").drop("_off", "_i")

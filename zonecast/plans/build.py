@@ -8,7 +8,7 @@ per-month grids only add zero rows.
 from __future__ import annotations
 
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,28 +16,25 @@ from pyspark.sql import functions as F
 from zonecast.operators.mart import aggregate_hourly_demand
 from zonecast.operators.quality import DEFAULT_RULES, QualityRules, quality_report
 from zonecast.sources.sinks import write_json_report, write_parquet
-from zonecast.sources.trips import YearMonth, month_range
+from zonecast.sources.trips import pickup_window
 
 
-def month_start(column: str = "tpep_pickup_datetime"):
-    c = F.col(column)
-    return F.make_timestamp_ntz(F.year(c), F.month(c), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+def tag_months(trips: DataFrame, start: str, end: str) -> DataFrame:
+    """Rows picked up in the months ``start`` to ``end`` (labels such as
+    ``2024-01``), tagged with their month. A row that carries the month of its
+    file (``source_month``) counts only in that month. This comes before the
+    quality checks, so a missing pickup never enters a month."""
+    first, last = (datetime.strptime(label, "%Y-%m") for label in (start, end))
+    if last < first:
+        raise ValueError(f"the last month {end} lies before the first {start}")
+    window = pickup_window(trips, first, (last + timedelta(days=31)).replace(day=1))
+    tagged = window.withColumn("month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    if "source_month" in trips.columns:
+        tagged = tagged.filter(F.col("source_month") == F.col("month")).drop("source_month")
+    return tagged
 
 
-def tag_months(trips: DataFrame, start: YearMonth, end: YearMonth) -> DataFrame:
-    """Rows whose pickup lies in ``[start, end + 1 month)`` tagged with the
-    month label; each month's half-open window is applied before quality
-    checks, so a missing pickup never enters a month (as upstream)."""
-    months = month_range(start, end)
-    lo, hi = months[0].start, months[-1].next().start
-    pickup = F.col("tpep_pickup_datetime")
-    in_range = (pickup >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")) & (
-        pickup < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
-    )
-    return trips.filter(in_range).withColumn("month", F.date_format(month_start(), "yyyy-MM"))
-
-
-def build_manifest(trips: DataFrame, start: YearMonth, end: YearMonth, rules: QualityRules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
+def build_manifest(trips: DataFrame, start: str, end: str, rules: QualityRules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
     """(merged mart, manifest). The manifest has one row per month with
     the quality counters plus the merged mart's row and zone counts."""
     tagged = tag_months(trips, start, end)
@@ -46,8 +43,8 @@ def build_manifest(trips: DataFrame, start: YearMonth, end: YearMonth, rules: Qu
     size = mart.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count_distinct("zone_id").alias("zones"))).scalar()
     manifest = quality.select(
         "*",
-        F.lit(start.label).alias("start_month"),
-        F.lit(end.label).alias("end_month"),
+        F.lit(start).alias("start_month"),
+        F.lit(end).alias("end_month"),
         size.getField("rows").alias("merged_rows"),
         size.getField("zones").alias("merged_zones"),
     )
@@ -56,8 +53,8 @@ def build_manifest(trips: DataFrame, start: YearMonth, end: YearMonth, rules: Qu
 
 def build_dataset_range(
     trips: DataFrame,
-    start: YearMonth,
-    end: YearMonth,
+    start: str,
+    end: str,
     output_dir: str,
     *,
     rules: QualityRules = DEFAULT_RULES,
@@ -66,7 +63,8 @@ def build_dataset_range(
     manifest (JSON); returns the manifest."""
     mart, manifest = build_manifest(trips, start, end, rules)
     with_month = mart.withColumn("month", F.date_format("timestamp", "yyyy-MM"))
-    write_parquet(with_month, os.path.join(output_dir, "demand"), partition_by=("month",))
+    # one task a month, so one file group a month: a month of the mart is hours x zones rows
+    write_parquet(with_month.repartition("month"), os.path.join(output_dir, "demand"), partition_by=("month",))
     write_json_report(manifest, os.path.join(output_dir, "manifest"))
     return manifest
 
@@ -80,8 +78,6 @@ def aggregate_file(
     rules: QualityRules = DEFAULT_RULES,
 ) -> str:
     """Window -> clean -> mart -> Parquet, quality report as a JSON sidecar."""
-    from zonecast.sources.trips import pickup_window
-
     window = pickup_window(trips, start_time, end_time)
     write_parquet(aggregate_hourly_demand(window, rules), os.path.join(output_dir, "demand"))
     write_json_report(quality_report(window, rules), os.path.join(output_dir, "quality"))

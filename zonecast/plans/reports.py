@@ -40,12 +40,3 @@ def eda_report(frame: DataFrame, *, top_n: int = 20, zone_lookup: DataFrame | No
 def write_eda_report(frame: DataFrame, output_dir: str, **kwargs) -> str:
     return write_json_report(eda_report(frame, **kwargs), os.path.join(output_dir, "eda_report"))
 
-
-def fold_report(folds: DataFrame, summary: DataFrame, **meta) -> DataFrame:
-    """Fold table + summary (+ constant metadata) as one row."""
-    rows = _nested(folds, ["fold"]).scalar()
-    return summary.select(
-        *[F.lit(v).alias(k) for k, v in meta.items()],
-        F.struct(*summary.columns).alias("summary"),
-        rows.alias("folds"),
-    )

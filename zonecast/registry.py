@@ -736,7 +736,6 @@ FROM (SELECT {REGRESSION_CASE} AS perf, *,
 
 # ---- build manifest -------------------------------------------------------------------
 from zonecast.plans import build as bd  # noqa: E402
-from zonecast.sources.trips import YearMonth  # noqa: E402
 
 BUILD_START, BUILD_END = "2024-01", "2024-01"
 O.cte(
@@ -775,7 +774,7 @@ FROM tflags GROUP BY month""",
     ),
 )(
     lambda spark, sf: round_doubles(
-        bd.build_manifest(_trips(spark, sf), YearMonth.parse(BUILD_START), YearMonth.parse(BUILD_END))[1]
+        bd.build_manifest(_trips(spark, sf), BUILD_START, BUILD_END)[1]
     )
 )
 

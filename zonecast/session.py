@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,9 +67,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not configured and context is not None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # spark.checkpoint.dir cannot be changed at runtime; remember one
-        # private folder per session instead (local runs and tests only)
+        # executors elsewhere would each write to their own disk and a later
+        # read would miss rows: only a local session gets a private folder
+        # (remembered, as spark.checkpoint.dir cannot be set at runtime)
+        master = context.master if context is not None else ""
         key = id(spark)
+        local = re.fullmatch(r"local(\[[^]]*\])?", master) is not None
+        if fallback is None and key not in _FALLBACK_DIRS and not local:
+            raise RuntimeError("intermediate tables need a shared folder: set spark.checkpoint.dir")
         if key not in _FALLBACK_DIRS:
             _FALLBACK_DIRS[key] = fallback or tempfile.mkdtemp(prefix="zonecast-ckpt-")
         configured = _FALLBACK_DIRS[key]
