@@ -679,8 +679,8 @@ register("conformal_radius", O.rounded(O.with_ctes("SELECT * FROM radius", "radi
     "conformal_bounds",
     O.rounded(
         O.with_ctes(
-            "SELECT c.timestamp, c.zone_id, c.actual, c.prediction, greatest(c.prediction - r.radius, 0.0) AS lower, "
-            "c.prediction + r.radius AS upper FROM cur_window c, radius r",
+            "SELECT timestamp, zone_id, actual, prediction, greatest(prediction - (SELECT radius FROM radius), 0.0) AS lower, "
+            "prediction + (SELECT radius FROM radius) AS upper FROM cur_window",
             "cur_window",
             "radius",
         ),
@@ -826,7 +826,9 @@ def _global_contrib(spark, sf):
 @register("local_contributions")
 def _local_contrib(spark, sf):
     model, score = _fitted(spark, sf)
-    return md.local_contributions(model, score).select("timestamp", "zone_id", "base_value", "explained_value")
+    return md.local_contributions(model, score).select(
+        "timestamp", "zone_id", "base_value", "explained_value", F.to_json("contributions").alias("contributions")
+    )
 
 
 register("model_backtest")(
