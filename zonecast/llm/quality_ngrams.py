@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,40 +189,50 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
 
 class SparseRows:
     """Rows of a sparse matrix, with the two products a fit needs; both run
-    over pieces of a million entries."""
+    over pieces of whole rows with about a million entries."""
 
-    def __init__(self, slots: list[bytes], shares: list[bytes]):
-        columns = [np.frombuffer(x, "<i4") for x in slots]
-        self.slots = np.concatenate([np.zeros(0, np.int32), *columns])
-        self.shares = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(x, "<f4") for x in shares)])
-        self.rows = np.repeat(np.arange(len(columns), dtype=np.int32), [len(c) for c in columns])
-        self.count = len(columns)
+    def __init__(self, batches: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        """``batches``: (slots, shares, entries of each row)."""
+        self.slots = np.concatenate([np.zeros(0, np.int32), *(b[0] for b in batches)])
+        self.shares = np.concatenate([np.zeros(0, np.float32), *(b[1] for b in batches)])
+        self.lengths = np.concatenate([np.zeros(0, np.int64), *(b[2] for b in batches)])
+        self.starts = np.concatenate(([0], np.cumsum(self.lengths)))
 
     def _pieces(self):
-        return (slice(i, i + (1 << 20)) for i in range(0, len(self.slots), 1 << 20))
+        part = self.starts[:-1] >> 20
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        return ((a, b, slice(self.starts[a], self.starts[b])) for a, b in zip(edges, edges[1:]) if b > a)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.count)
-        for s in self._pieces():
-            out += np.bincount(self.rows[s], weights=weights[self.slots[s]] * self.shares[s], minlength=self.count)
+        out = np.zeros(len(self.lengths))
+        for a, b, s in self._pieces():
+            some = a + np.flatnonzero(self.lengths[a:b])
+            if len(some):
+                out[some] = np.add.reduceat(weights[self.slots[s]] * self.shares[s], self.starts[some] - self.starts[a])
         return out
 
     def transposed_times(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(DIMS)
-        for s in self._pieces():
-            out += np.bincount(self.slots[s], weights=values[self.rows[s]] * self.shares[s], minlength=DIMS)
+        for a, b, s in self._pieces():
+            out += np.bincount(self.slots[s], weights=np.repeat(values[a:b], self.lengths[a:b]) * self.shares[s], minlength=DIMS)
         return out
 
 
-def fit_logistic(x: SparseRows, y: np.ndarray, reg: float, steps: int, memory: int = 8) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise the mean logistic loss plus
-    ``reg / 2`` times the squared weights: limited-memory BFGS with
+def _flat_column(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column's values as one array, and how many each row has."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64) // 4
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(column[i].as_buffer(), kind) for i in range(len(column)))]), sizes
+
+
+def fit_logistic(x: SparseRows, y: np.ndarray, used: np.ndarray, reg: float, steps: int, memory: int = 8) -> tuple[np.ndarray, float]:
+    """Weights and intercept that minimise the mean logistic loss of the rows
+    ``used`` plus ``reg / 2`` times the squared weights: limited-memory BFGS with
     backtracking."""
 
     def loss(p):
         margin = x.times(p[:-1]) + p[-1]
-        value = np.mean(np.logaddexp(0.0, np.where(y > 0, -margin, margin))) + 0.5 * reg * np.dot(p[:-1], p[:-1])
-        error = (1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))) - y) / len(y)
+        value = np.mean(np.logaddexp(0.0, np.where(y > 0, -margin, margin))[used]) + 0.5 * reg * np.dot(p[:-1], p[:-1])
+        error = np.where(used, (1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))) - y) / used.sum(), 0.0)
         return value, np.append(x.transposed_times(error) + reg * p[:-1], error.sum())
 
     p = np.zeros(DIMS + 1)
@@ -229,17 +240,17 @@ def fit_logistic(x: SparseRows, y: np.ndarray, reg: float, steps: int, memory: i
     moves: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(steps):
         direction = -gradient
-        used = []
+        factors = []
         for s, d, scale in reversed(moves):
             a = scale * np.dot(s, direction)
             direction = direction - a * d
-            used.append(a)
+            factors.append(a)
         if moves:
             s, d, scale = moves[-1]
             direction = direction / (scale * np.dot(d, d))
         else:
             direction = direction / max(1.0, np.linalg.norm(gradient))
-        for (s, d, scale), a in zip(moves, reversed(used)):
+        for (s, d, scale), a in zip(moves, reversed(factors)):
             direction = direction + (a - scale * np.dot(d, direction)) * s
         slope, step = np.dot(gradient, direction), 1.0
         while step > 1e-10:
@@ -267,16 +278,19 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE
     rows = store(sample.select("label", "held", "text").mapInArrow(_feature_rows, "label double, held boolean, slots binary, shares binary"), "quality-features")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label, held, slots, shares = [], [], [], []
+        label, held, parts = [], [], []
         for batch in batches:
-            for values, name in ((label, "label"), (held, "held"), (slots, "slots"), (shares, "shares")):
-                values += batch.column(name).to_pylist()
+            label += batch.column("label").to_pylist()
+            held += batch.column("held").to_pylist()
+            slots, lengths = _flat_column(batch.column("slots"), "<i4")
+            parts.append((slots, _flat_column(batch.column("shares"), "<f4")[0], lengths))
         y, out = np.array(label), np.array(held, dtype=bool)
         if min(sum(y == 0), sum(y == 1)) < MIN_CLASS or len(set(y[out])) < 2 or len(set(y[~out])) < 2:
             return
-        used, kept = np.flatnonzero(~out), np.flatnonzero(out)
-        weights, intercept = fit_logistic(SparseRows([slots[i] for i in used], [shares[i] for i in used]), y[used], reg, max_iter)
-        margins = SparseRows([slots[i] for i in kept], [shares[i] for i in kept]).times(weights) + intercept
+        x = SparseRows(parts)
+        parts.clear()
+        weights, intercept = fit_logistic(x, y, ~out, reg, max_iter)
+        margins, kept = (x.times(weights) + intercept)[out], out
         slope, offset = platt(margins, y[kept])
         yield pa.RecordBatch.from_pydict({
             "weights": pa.array([(weights * _SCALE).astype("<f8").tobytes()], pa.binary()), "intercept": pa.array([intercept], pa.float64()),
