@@ -220,7 +220,7 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
 
 class WaveletMatrix:
     """Rank queries over a sequence of symbols: one packed bit vector a
-    level, with counts per 64-bit word (Claude, Navarro and Ordonez)."""
+    level, with counts per 64-bit word."""
 
     def __init__(self, symbols: np.ndarray, alphabet: int):
         self.levels = max(1, int(alphabet - 1).bit_length())

@@ -23,7 +23,6 @@ after all others; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -339,7 +338,3 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
             })
 
     return joined.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_text string")
-
-
-def text_sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -16,7 +16,6 @@ documents are judged one by one, also when they share an id or have none.
 """
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -271,7 +270,3 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -
 def items_digest(item_ids):
     """Column: SHA-256 of the comma-joined ids."""
     return F.sha2(F.array_join(item_ids, ","), 256)
-
-
-def items_sha256(names: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
