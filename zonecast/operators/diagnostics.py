@@ -17,22 +17,6 @@ def error_frame(frame: DataFrame, *, actual_column: str = "target_demand", predi
     return frame.withColumns({"residual": r, "absolute_error": F.abs(r)})
 
 
-def exact_quantiles(frame: DataFrame, value: str | Column, quantiles: Sequence[float], *, by: Sequence[str] = ()) -> DataFrame:
-    """Linear-interpolated quantiles (NumPy 'linear' = SQL
-    ``quantile_cont``), exact.
-
-    Values are first reduced to (value, multiplicity) by a distributed
-    aggregation with map-side combine; the percentile aggregate then works
-    on distinct values with frequencies, so its state is bounded by the
-    number of distinct values per group rather than by the row count.
-    Returns ``by`` columns + ``q`` (array in the order of ``quantiles``).
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    distinct = frame.groupBy(*by, v.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    qs = F.array(*[F.lit(float(x)) for x in quantiles])
-    return distinct.groupBy(*by).agg(F.percentile("_v", qs, F.col("_n")).alias("q"))
-
-
 def residual_distribution(
     frame: DataFrame, *, actual_column: str = "actual", prediction_column: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
