@@ -85,34 +85,71 @@ def test_suffix_tree_base(docs, pairs, nothing):
     assert suffix_tree_lm.score_documents(nothing).count() == 0
 
 
-def test_suffix_tree_learns_and_sums_to_one(spark):
+def chained_texts(n=400):
     rng = np.random.default_rng(1)
     follows = {"a": "b", "b": "c", "c": "a"}
     texts = []
-    for _ in range(400):
+    for _ in range(n):
         w = ["a"]
         for _ in range(40):
             w.append(follows[w[-1]] if rng.random() < 0.9 else "abc"[rng.integers(3)])
         texts.append(" ".join(w))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return texts
+
+
+def test_suffix_tree_learns_and_sums_to_one(spark):
+    docs = spark.createDataFrame(list(enumerate(chained_texts())), "doc_id long, text string")
     counts = suffix_tree_lm.word_counts(docs)
     heavy = suffix_tree_lm.heavy_words(counts)
     corpus = suffix_tree_lm.encode_corpus(docs, heavy)
-    tree = suffix_tree_lm.grow_tree(corpus, heavy)
-    assert tree.depths[0].kept.any()
+    tree = suffix_tree_lm.grow_tree(corpus, heavy, penalty=0.0)
+    assert not np.isnan(tree.word_rest).all() and tree.triples.count()
     r = suffix_tree_lm.score_corpus(corpus, counts, tree).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > 0.7 * r[1]  # negative: the tree explains far more
     # the distribution after "a b": all named symbols and the unseen one
     ranks = {w: int(heavy.rank_of(plain_hash(w))[0]) for w in "abc"} | {"end": heavy.end, "new": -1}
+    pairs, triples = tree.pairs.orderBy("key").toPandas(), tree.triples.orderBy("key").toPandas()
     base = 10 ** heavy.log_base()
     total = 0.0
     for w, k in ranks.items():
-        flat = np.array([ranks["a"], ranks["b"], k], dtype=np.int64)
-        ratio = 10 ** tree.log_ratios(flat, np.array([0]))[2]
+        t = suffix_tree_lm.Tokens([3], np.array([ranks["a"], ranks["b"], k], dtype="<i4").tobytes(), [False])
+        ratio = 10 ** suffix_tree_lm.log_ratios(
+            t, heavy.width, tree.word_rest, tuple(pairs[c].to_numpy() for c in ("key", "ratio", "rest")), tuple(triples[c].to_numpy() for c in ("key", "ratio"))
+        )[2]
         total += ratio * (base[k] if k >= 0 else 1 / (heavy.tokens + heavy.distinct + 1))
     assert abs(total - 1) < 1e-9
 
 
+@pytest.mark.parametrize("penalty", [0.0, 0.2, 1.0])
+def test_suffix_tree_scores(spark, docs, pairs, penalty):
+    options = {"min_context": 5, "min_symbol": 2, "penalty": penalty}
+    cases = [(docs, pairs), (spark.createDataFrame(rows3 := list(enumerate(chained_texts(60))), "doc_id long, text string").repartition(4), rows3)]
+    for frame, texts in cases:
+        got = rows(suffix_tree_lm.score_documents(frame, **options), "doc_id", "score")
+        assert np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(texts, **options)])
+
+
+def test_suffix_tree_of_small_segments_and_full_bit_sets(spark, docs, pairs, monkeypatch):
+    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1}
+    want = [s for _, s in plain.suffix_tree(pairs, **options)]
+    counts = suffix_tree_lm.word_counts(docs)
+    heavy = suffix_tree_lm.heavy_words(counts)
+    corpus = suffix_tree_lm.encode_corpus(docs, heavy, segment_tokens=50)
+    monkeypatch.setattr(suffix_tree_lm, "may_hold", lambda bits, keys: np.ones(len(keys), dtype=bool))
+    got = rows(suffix_tree_lm.score_corpus(corpus, counts, suffix_tree_lm.grow_tree(corpus, heavy, **options)), "doc_id", "score")
+    assert np.allclose([g[1] for g in got], want)
+
+
+def test_suffix_tree_grows_with_the_corpus(spark):
+    def size(n):
+        texts = [" ".join(f"w{i}{x}" for x in "ab") + " " + " ".join(f"w{i}{x}" for x in "abc") for i in range(n) for _ in range(40)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        heavy = suffix_tree_lm.heavy_words(suffix_tree_lm.word_counts(docs))
+        return suffix_tree_lm.grow_tree(suffix_tree_lm.encode_corpus(docs, heavy), heavy).pairs.count()
+
+    assert size(40) >= 3.5 * size(10) > 0
+
+
 def plain_hash(word):
     from zonecast.llm.common import hashes_of
 

@@ -53,6 +53,41 @@ def unigram(docs):
              sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tk)) for d, tk in tokens]
 
 
+def suffix_tree(docs, min_context, min_symbol, penalty, discount=0.75):
+    """log10 probability of each text: contexts of two words, one, none."""
+    counts = {k: collections.Counter() for k in (1, 2, 3)}
+    tokens = [(d, words(low(t)) + [None]) for d, t in docs]
+    for d, tk in tokens:
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            for k in counts:
+                counts[k].update(tuple(tk[i:i + k]) for i in range(len(tk) - k + 1))
+    n, v = sum(counts[1].values()), len(counts[1])
+    states = {}
+
+    def p(ctx, w):
+        if not ctx:
+            return (counts[1][(w,)] + 1) / (n + v + 1)
+        if ctx not in states:
+            return p(ctx[1:], w)
+        shares, factor = states[ctx]
+        return shares[w] if w in shares else factor * p(ctx[1:], w)
+
+    for size in (1, 2):
+        found = {}
+        for key, c in counts[size + 1].items():
+            if c >= min_symbol and counts[size][key[:-1]] >= min_context:
+                found.setdefault(key[:-1], {})[key[-1]] = c
+        for ctx, listed in found.items():
+            total = counts[size][ctx]
+            shares = {w: (c - discount) / total for w, c in listed.items()}
+            upper = {w: p(ctx[1:], w) for w in listed}
+            factor = max(1 - sum(shares.values()), 1e-12) / max(1 - sum(upper.values()), 1e-12)
+            gain = sum(c * math.log(shares[w] / upper[w]) for w, c in listed.items()) + (total - sum(listed.values())) * math.log(factor)
+            if gain > penalty * 0.5 * math.log(max(n, 2)) * (len(listed) + 1):
+                states[ctx] = (shares, factor)
+    return [(d, sum(math.log10(p(tuple(tk[max(0, i - 2):i]), w)) for i, w in enumerate(tk))) for d, tk in tokens]
+
+
 def decontaminate(docs, items, size=10):
     windows = []
     for name, t in items:
