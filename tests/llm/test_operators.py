@@ -112,9 +112,9 @@ def test_suffix_tree_learns_and_sums_to_one(spark):
     base = 10 ** heavy.log_base()
     total = 0.0
     for w, k in ranks.items():
-        t = suffix_tree_lm.Tokens([3], np.array([ranks["a"], ranks["b"], k], dtype="<i4").tobytes(), [False])
+        t = suffix_tree_lm.Tokens([3], suffix_tree_lm.byte_planes(np.array([ranks["a"], ranks["b"], k])), [False])
         ratio = 10 ** suffix_tree_lm.log_ratios(
-            t, heavy.width, tree.word_rest, tuple(pairs[c].to_numpy() for c in ("key", "ratio", "rest")), tuple(triples[c].to_numpy() for c in ("key", "ratio"))
+            t, heavy, tree.word_rest, tuple(pairs[c].to_numpy() for c in ("key", "n", "rest")), tuple(triples[c].to_numpy() for c in ("key", "n"))
         )[2]
         total += ratio * (base[k] if k >= 0 else 1 / (heavy.tokens + heavy.distinct + 1))
     assert abs(total - 1) < 1e-9
