@@ -153,6 +153,18 @@ def test_suffix_tree_grows_with_the_corpus(spark):
     assert size(40) >= 3.5 * size(10) > 0
 
 
+def test_suffix_tree_does_not_depend_on_the_share_of_a_word(spark, docs, pairs, monkeypatch):
+    """Words below ``HEAVY`` of all tokens are contexts and symbols like any other."""
+    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1}
+    phrase = [(1000 + i, "foo bar baz qux") for i in range(60)]
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame(phrase, "doc_id long, text string"))
+    want = [s for _, s in plain.suffix_tree(pairs + phrase, **options)]
+    for share in (0.01, 0.2, 2.0):
+        monkeypatch.setattr(suffix_tree_lm.heavy_words, "__defaults__", (share,))
+        got = rows(suffix_tree_lm.score_documents(frame, **options), "doc_id", "score")
+        assert np.allclose([g[1] for g in got], want)
+
+
 def plain_hash(word):
     from zonecast.llm.common import hashes_of
 
