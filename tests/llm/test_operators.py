@@ -165,6 +165,22 @@ def test_suffix_tree_does_not_depend_on_the_share_of_a_word(spark, docs, pairs,
         assert np.allclose([g[1] for g in got], want)
 
 
+def test_suffix_tree_has_contexts_of_more_than_two_words(spark):
+    """What follows "b c d" is told by the word before: a context of four, and
+    there is no state of two words or of three on the way to it."""
+    texts = [f"{x} b c d {x}{x}" for x in "ae" for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    two, grown = (
+        {r["doc_id"]: r["score"] for r in suffix_tree_lm.score_documents(docs, max_words=n).collect()} for n in (2, None)
+    )
+    # the end after "d xx" and the words before are as before; the last word is sure
+    assert all(grown[i] > two[i] + 0.25 for i in two)
+    counts = suffix_tree_lm.word_counts(docs)
+    heavy = suffix_tree_lm.heavy_words(counts)
+    tree = suffix_tree_lm.grow_tree(suffix_tree_lm.encode_corpus(docs, heavy), heavy, max_words=None)
+    assert len(tree.levels) > 2
+
+
 def plain_hash(word):
     from zonecast.llm.common import hashes_of
 

@@ -40,7 +40,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_tree_lm.score_documents(_table(spark, sf_dir, "documents"))
+    return suffix_tree_lm.score_documents(_table(spark, sf_dir, "documents"), max_words=None)
 
 
 def op4_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
