@@ -263,6 +263,30 @@ def test_simhash(docs, pairs, nothing):
     assert kept.columns == docs.columns and rows(kept, "doc_id") == [(i,) for i in sorted(set(label.values()))]
 
 
+def test_near_copies_of_null_ids(spark):
+    """Null-id rows link nothing but what resembles their own text."""
+    x, y, z, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyzu")
+    table = [(1, x), (2, y), (None, x), (None, y), (None, z), (None, z), (None, u)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    got = simhash_pivots.simhash_components(docs).collect()
+    assert sorted((r["doc_id"] or 9, r["component_id"] or 9) for r in got) == [(1, 1), (2, 2), (9, 1), (9, 2), (9, 9), (9, 9), (9, 9)]
+    kept = simhash_pivots.keep_one_per_component(docs)
+    assert sorted((r["doc_id"] or 9, r["text"]) for r in kept.collect()) == sorted([(1, x), (2, y), (9, z), (9, u)])
+    # of rows with one id the text of the smallest fingerprint stays
+    pair = spark.createDataFrame([(5, x), (5, z), (6, z)], "doc_id long, text string")
+    want = min((x, z), key=lambda t: np.uint64(plain.simhash(t)).view(np.int64))
+    assert [tuple(r) for r in simhash_pivots.keep_one_per_component(pair).collect()] == [(5, want)]
+
+
+def test_clean_rows_of_null_ids_stay(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    table = [(None, f"some {words} here"), (None, "quite clean"), (None, None), (3, "clean"), (4, words)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    kept = phrase_index.keep_clean(docs, items).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, ""), (0, "quite clean"), (3, "clean")]
+
+
 def test_links_within_three_bits(spark):
     rng = np.random.default_rng(5)
     fps = {}

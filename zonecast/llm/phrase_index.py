@@ -262,9 +262,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """The documents without any benchmark window, all columns. Documents
-    that share an id go when one of them is contaminated."""
-    dirty = decontaminate(docs, benchmark, window=window).where("n_hit > 0").select(F.col("doc_id").alias("_zc_id")).distinct()
-    return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["_zc_id"]), "left_anti")
+    that share an id go when one of them is contaminated; rows with a null id
+    are judged each by its own text."""
+
+    def clean(rows: DataFrame, key) -> DataFrame:
+        view = rows.select(key.alias("doc_id"), "text")
+        dirty = decontaminate(view, benchmark, window=window).where("n_hit > 0").select(F.col("doc_id").alias("_zc_id")).distinct()
+        return rows.join(dirty, key == dirty["_zc_id"], "left_anti")
+
+    named = clean(docs.where(F.col("doc_id").cast("long").isNotNull()), F.col("doc_id").cast("long"))
+    nameless = docs.where(F.col("doc_id").cast("long").isNull())
+    if nameless.isEmpty():
+        return named
+    return named.unionByName(clean(nameless, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))))
 
 
 def items_digest(item_ids):

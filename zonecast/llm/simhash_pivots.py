@@ -15,21 +15,24 @@ its pairs.
 
 Defined cases: a null or empty text has the fingerprint zero and is linked
 like any other; fewer words than a shingle give one shingle; repeated rows
-share a fingerprint; rows with the same id are one document; a null id sorts
-after all others (a component of null ids only has a null component id); an
-empty table gives no rows; other columns are ignored.
+share a fingerprint; rows with the same id are one document; each row with a
+null id is a document of its own that sorts after all others (a component of
+null ids only has a null component id); an empty table gives no rows; other
+columns are ignored.
 """
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from zonecast.llm.common import NULL_ID, byte_slices, documents_view, store, texts_of
+from zonecast.llm.common import byte_slices, documents_view, store, texts_of
 from zonecast.llm.components import connected_components
 
 #: Hash seed, shingle length and distance of the contract.
@@ -170,34 +173,68 @@ def fingerprint_links(distinct: DataFrame, *, max_bits: int = MAX_BITS, pivots:
     return rows.mapInArrow(run, "u long, v long").distinct()
 
 
-def simhash_components(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS, pivots: int = PIVOTS) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``fp``, ``component_id`` (smallest
-    ``doc_id`` that is linked, directly or in steps, itself included)."""
+def _components(docs: DataFrame, shingle: int, max_bits: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' ``doc_id`` and ``fp``, and for each distinct ``fp`` its ``group``
+    (the smallest fingerprint that is linked, directly or in steps) and
+    ``component_id``."""
     prints = store(fingerprints(docs, shingle=shingle).select("doc_id", "fp"), "fingerprints")
-    node = F.coalesce("doc_id", F.lit(NULL_ID))
-    distinct = store(prints.groupBy("fp").agg(F.min(node).alias("node")), "distinct-fingerprints")
-    links = fingerprint_links(distinct, max_bits=max_bits, pivots=pivots)
+    distinct = store(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    links = fingerprint_links(distinct.select("fp", F.col("fp").alias("node")), max_bits=max_bits, pivots=pivots)
     # rows with one id but different texts are one document
-    several = prints.groupBy(node.alias("v")).agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b").select("v")
-    same_id = (
-        prints.withColumn("v", node).join(several, "v", "left_semi").join(distinct, "fp")
-        .select(F.col("node").alias("u"), "v")
-    )
+    same_id = prints.join(_several(prints), "doc_id").select(F.col("a").alias("u"), F.col("fp").alias("v"))
     components = connected_components(links.unionByName(same_id))
-    labels = distinct.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(labels, "fp").select(
-        "doc_id", "fp", F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id")
-    )
+    labels = store(distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left"), "fingerprint-groups")
+    linked = labels.where(F.col("component").isNotNull())
+    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    linked = linked.join(least, "component").select("fp", F.col("component").alias("group"), "component_id")
+    alone = labels.where(F.col("component").isNull()).select("fp", F.col("fp").alias("group"), F.col("least").alias("component_id"))
+    return prints, linked.unionByName(alone)
+
+
+def _several(prints: DataFrame) -> DataFrame:
+    """``doc_id`` of the ids with more than one fingerprint, and the smallest, ``a``."""
+    named = prints.where(F.col("doc_id").isNotNull())
+    return named.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b").select("doc_id", "a")
+
+
+def simhash_components(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS, pivots: int = PIVOTS) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``fp``, ``component_id`` (smallest
+    ``doc_id`` that is linked, directly or in steps, itself included)."""
+    prints, groups = _components(docs, shingle, max_bits, pivots)
+    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """``docs`` with ``_zc_fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, column="_zc_fp"):
+            fps = np.array([simhash(t, shingle) for t in texts_of(batch, "_zc_fp")], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names=batch.schema.names)
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_zc_fp")
+    return docs.select("*", text).mapInArrow(run, StructType([*docs.schema.fields, StructField("_zc_fp", LongType())]))
 
 
 def keep_one_per_component(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents that stay, all columns: of each component the row with
-    the smallest id, once."""
-    groups = simhash_components(docs, shingle=shingle, max_bits=max_bits)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_zc_id"), F.col("fp").alias("_zc_fp"))
-    # of rows sharing that id the one with the smallest fingerprint, then any: they are equal for the operator
-    stay = stay.groupBy("_zc_id").agg(F.min("_zc_fp").alias("_zc_fp"))
-    joined = docs.withColumn("_zc_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).join(
-        stay.select(F.coalesce("_zc_id", F.lit(NULL_ID)).alias("_zc_key")), "_zc_key"
-    )
-    return joined.dropDuplicates(["_zc_key"]).select(*[joined[f"`{c}`"] for c in docs.columns])
+    the smallest id, once; of rows sharing that id, and of a component of null
+    ids only, the row with the smallest fingerprint."""
+    prints, groups = _components(docs, shingle, max_bits, PIVOTS)
+    stay = prints.join(groups, "fp").where(F.col("doc_id") == F.col("component_id"))
+    stay = store(stay.groupBy(F.col("doc_id").alias("_zc_id")).agg(F.min("fp").alias("_zc_fp"), F.max("fp").alias("_zc_last")), "kept-ids")
+    keyed = docs.withColumn("_zc_id", F.col("doc_id").cast("long"))
+    plain = stay.where("_zc_fp = _zc_last").select("_zc_id")
+    parts = [keyed.join(plain, "_zc_id").dropDuplicates(["_zc_id"])]
+    # only where the id does not tell the text are fingerprints computed again
+    several = stay.where("_zc_fp != _zc_last").select("_zc_id", F.col("_zc_fp").alias("_zc_kept"))
+    if not several.isEmpty():
+        ids = keyed.join(several.select("_zc_id"), "_zc_id", "left_semi").select(*keyed.columns)
+        again = _with_fingerprint(ids, shingle).join(several, "_zc_id")
+        parts.append(again.where("_zc_fp = _zc_kept").dropDuplicates(["_zc_id"]))
+    if not prints.where(F.col("doc_id").isNull()).isEmpty():
+        kept = groups.where(F.col("component_id").isNull() & (F.col("fp") == F.col("group"))).select(F.col("fp").alias("_zc_fp"))
+        nameless = _with_fingerprint(keyed.where(F.col("_zc_id").isNull()), shingle)
+        parts.append(nameless.join(kept, "_zc_fp").dropDuplicates(["_zc_fp"]))
+    columns = [f"`{c}`" for c in docs.columns]
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])
