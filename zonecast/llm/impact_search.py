@@ -11,20 +11,20 @@ smallest if the query's is negative).
 Segments are processed by descending impact, all members of a segment at once.
 A vector's score is at most what it has been given plus, for each dimension in
 which its segment is still to come, the impact of the next segment. The k best
-by that bound (looked at after every group of as many segments as there are
-dimensions) are scored exactly, which gives a score that k vectors reach; a
-vector whose bound is below it is proved out. Processing stops as soon as all
-but one in ``STOP`` are proved out, or at the last segment, and whatever may
-still be among the k is scored exactly, ties included. Results are exact for
-any data; the data only decide how soon the proof is there.
+by that bound (looked at after every ``GROUP`` segments a dimension) are scored
+exactly, which gives a score that k vectors reach; a vector whose bound is below
+it is proved out. Processing stops as soon as all but one in ``STOP`` are proved
+out, or at the last segment, and whatever may still be among the k is scored
+exactly, ties included. Results are exact for any data; the data only decide how
+soon the proof is there.
 
 Queries are a stated set of rows. They reach the shards in slices of at most
 ``QUERY_BYTES``, one broadcast each, so nothing broadcast grows with the data;
 a shard returns k rows for each query, merged by a grouped top-k.
 
 Defined results: a vector that is null or holds a null, NaN or infinite
-component takes no part, nor does one with a component so large that scores
-pass 64 bits. Missing components of shorter vectors count as zero. Equal
+component takes no part, nor does one with a component so large that sums of
+impacts pass 64 bits (beyond 10^5 at 64 components). Missing components of shorter vectors count as zero. Equal
 scores go by the smaller id, null ids last. Rows of one id are rows of their
 own: only the query's own row is left out. Fewer candidates than k: all of
 them. No vectors or no queries: no rows. Other columns are left out.
@@ -47,6 +47,8 @@ SCALE = 256.0
 SHARD = 8192
 #: Segments of a dimension in a shard.
 SEGMENTS = 32
+#: Segments, times the dimensions, between two looks at the bounds.
+GROUP = 4
 #: A query stops when at most one vector in so many is not proved out.
 STOP = 8
 QUERY_BYTES = 16 << 20
@@ -78,7 +80,7 @@ def integer_vectors(vectors: DataFrame, is_query: Column) -> DataFrame:
     """``row`` (its number), ``vec_id``, ``is_query`` and the integer
     components ``v`` of the rows that take part."""
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
-    limit = float(min(math.isqrt((1 << 62) // max(width, 1)), (1 << 31) - 1))
+    limit = float(min(math.isqrt((1 << 62) // (max(width, 1) << width.bit_length())), (1 << 31) - 1))
     scaled = F.transform("embedding", lambda x: F.lit(SCALE) * x.cast("double"))
     held = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.coalesce(is_query, F.lit(False)).alias("is_query"), scaled.alias("scaled")
@@ -148,7 +150,7 @@ class Shard:
         self.n, self.width, self.ids = columns["n"], width, columns["ids"]
         self.rows = take("rows", -1, np.int64)
         self.vectors = take("vectors", (self.n, width))
-        self.members = take("members", (width, self.n))
+        self.members = take("members", (width, self.n)).astype(np.intp)
         self.cuts = take("cuts", (width, SEGMENTS + 1))
         self.low, self.high = (take(x, (width, SEGMENTS)).astype(np.int64) for x in ("low", "high"))
         self.id_order = np.array([2**63 - 1 if x is None else x for x in self.ids], dtype=np.int64)
@@ -160,20 +162,21 @@ class Shard:
         impact = np.where(query[:, None] > 0, query[:, None] * self.high, query[:, None] * self.low)
         used = (self.cuts[:, 1:] > self.cuts[:, :-1]) & (query[:, None] != 0)
         order = np.flatnonzero(used)[np.argsort(-impact[used], kind="stable")]
-        given, seen = np.zeros(self.n, np.int64), np.zeros(self.n, np.int64)
+        # sum of impacts and, below it, how many segments have been seen
+        given, bits = np.zeros(self.n, np.int64), self.width.bit_length()
         dims = int((query != 0).sum())
         mine = np.flatnonzero(self.rows == own)
         flat, starts, ends = impact.ravel(), self.cuts[:, :-1].ravel(), self.cuts[:, 1:].ravel()
         processed, least, exact = 0, None, {}
         possible = np.delete(np.arange(self.n), mine)
-        for done in range(0, len(order), self.width):
-            group = order[done:done + self.width]
+        for done in range(0, len(order), GROUP * self.width):
+            group = order[done:done + GROUP * self.width]
             who = np.concatenate([self.members[g // SEGMENTS, a:b] for g, a, b in zip(group.tolist(), starts[group].tolist(), ends[group].tolist())])
-            np.add.at(given, who, np.repeat(flat[group], ends[group] - starts[group]))
-            seen += np.bincount(who, minlength=self.n)
+            np.add.at(given, who, np.repeat((flat[group] << bits) + 1, ends[group] - starts[group]))
             processed += len(who)
-            coming = flat[order[done + self.width]] if done + self.width < len(order) else 0
-            bound = given[possible] + coming * (dims - seen[possible])
+            coming = flat[order[done + len(group)]] if done + len(group) < len(order) else 0
+            held = given[possible]
+            bound = (held >> bits) + coming * (dims - (held & ((1 << bits) - 1)))
             if len(possible) > k:
                 fresh = [x for x in possible[np.argpartition(-bound, k - 1)[:k]].tolist() if x not in exact]
                 exact |= zip(fresh, (self.vectors[fresh].astype(np.int64) @ query).tolist())

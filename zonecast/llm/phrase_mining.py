@@ -9,7 +9,9 @@
    a bit set of fixed size, which can admit too much but never leaves a
    frequent phrase out. Hash counts are summed by a grouped aggregate; what
    reaches the threshold is a candidate (equal hashes only add up, so no
-   frequent phrase is missed) and one of its segments names its words.
+   frequent phrase is missed) and one of its segments names its words. Hashes
+   travel packed, a segment's sorted hashes of one range as one row; a range
+   is as wide as ``PART_WORDS`` words of text need, whatever the corpus.
 3. Candidates are dealt to slices of about ``TRIE_PHRASES`` by hash; a task
    builds a double-array trie for each. Slice by slice the trie is broadcast
    (its size is bounded by the slice, whatever the corpus) and every segment
@@ -41,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import HashTable, broadcast_object, broadcast_value, byte_slices, hash_ranges, hashes_of, store
+from zonecast.llm.common import HashTable, byte_slices, hash_ranges, hashes_of, store
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -51,8 +53,10 @@ COVERED = 50
 
 #: Bits of the sets that mark frequent hashes: 16 MB each.
 BITS = 27
-#: Phrases of a trie, about 50 MB when built.
-TRIE_PHRASES = 1 << 20
+#: Phrases of a trie, about 25 MB when built.
+TRIE_PHRASES = 1 << 19
+#: Words of text for each range of hashes that is summed in one task.
+PART_WORDS = 1 << 22
 #: Symbols of a word's code, a power of two.
 SYMBOLS = 64
 
@@ -69,7 +73,7 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     if min_count < 1 or max_words < 2:
         raise ValueError("phrases have two words and one occurrence at least")
     segments = store(encode_texts(docs), "segments")
-    candidates = store(find_candidates(segments, min_count, max_words), "candidates")
+    candidates = find_candidates(segments, min_count, max_words)
     counts = store(count_candidates(segments, candidates, max_words).where(F.col("f") >= min_count), "counts")
     return rank_phrases(segments, counts, keep, covered)
 
@@ -95,8 +99,8 @@ def byte_classes() -> np.ndarray:
 
 
 def split_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes, A-Z lower-cased, with begin, length, text and piece number
-    of each word."""
+    """The bytes, A-Z lower-cased, with begin, length, text and piece (the
+    number of ends before it) of each word."""
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -104,13 +108,13 @@ def split_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     fold = np.arange(256, dtype=np.uint8)
     fold[65:91] += 32
     kind = byte_classes()[raw]
-    word = kind == 0
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
-    before, after = np.append(False, word[:-1])[:len(word)], np.append(word[1:], False)[:len(word)]
-    begin = np.flatnonzero(word & (~before | edge[:-1]))
-    end = np.flatnonzero(word & (~after | edge[1:])) + 1
-    piece = np.cumsum((kind == 2) | edge[:-1])[begin] if len(raw) else begin
+    starts, ends = kind == 0, kind == 0
+    starts[1:] &= (kind[:-1] != 0) | edge[1:-1]
+    ends[:-1] &= (kind[1:] != 0) | edge[1:-1]
+    begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    piece = np.searchsorted(np.flatnonzero(kind == 2), begin)
     text = np.searchsorted(offsets, begin, "right") - 1
     return np.concatenate((fold[raw], np.zeros(8, np.uint8))), begin, end - begin, text, piece
 
@@ -127,7 +131,7 @@ def segments_of(langs: pa.Array, column: pa.Array) -> pa.RecordBatch:
         if not len(mine):
             continue
         distinct, first, code, count = np.unique(hashes[mine], return_index=True, return_inverse=True, return_counts=True)
-        new = np.flatnonzero(np.diff(piece[mine])) + 1
+        new = np.flatnonzero((np.diff(piece[mine]) > 0) | (np.diff(text[mine]) > 0)) + 1
         codes = np.insert(code.astype(np.uint32) + 1, new, 0)
         first = mine[first]
         words = [data[a:a + n].tobytes() for a, n in zip(begin[first].tolist(), length[first].tolist())]
@@ -210,45 +214,72 @@ def find_candidates(segments: DataFrame, min_count: int, max_words: int) -> Data
     """``lang``, ``phrase`` (its words joined by a space): all phrases of up to
     ``max_words`` words that occur ``min_count`` times, and rarely one that
     does not but shares its hash."""
-    bits: list[np.ndarray] = []
+    parts = max(1, -(-(segments.agg(F.sum("n")).first()[0] or 0) // PART_WORDS))
+    bits: list[bytes] = []
     levels = []
     for k in range(1, max_words + 1):
-        frequent = store(hash_counts(segments, bits, k).where(F.col("n") >= min_count).select("h", "seg"), f"frequent-{k}")
+        frequent = frequent_hashes(segments, bits, k, min_count, parts)
         levels.append(frequent.withColumn("k", F.lit(k)))
         if k < max_words:
-            bits.append(bit_set(frequent))
+            bits.append(bit_set(frequent).tobytes())
     return name_phrases(segments, reduce(DataFrame.unionByName, levels), bits)
 
 
-def hash_counts(segments: DataFrame, bits: list[np.ndarray], k: int) -> DataFrame:
-    """``h``, ``n`` and ``seg`` (one of its segments, drawn by the hash) of the
-    phrases of ``k`` words that may be frequent."""
-    shared = broadcast_object(segments.sparkSession, bits)
+def frequent_hashes(segments: DataFrame, bits: list[bytes], k: int, min_count: int, parts: int) -> DataFrame:
+    """``h`` and ``seg`` (one of its segments, drawn by the hash) of the
+    phrases of ``k`` words whose hash occurs ``min_count`` times; stored."""
+    shared = segments.sparkSession.sparkContext.broadcast(bits)
+    kind = np.uint8 if min_count < 256 else np.uint32  # beyond the threshold a count need not be exact here
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = broadcast_value(shared)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [np.frombuffer(b, np.uint8) for b in shared.value]
         for batch in batches:
             for i in range(batch.num_rows):
                 segment = Segment(batch, i)
                 if k == 1:
                     lang = np.full(len(segment.words), hashes_of([segment.lang.encode()])[0])
-                    distinct, count = mixed(lang, segment.hashes[1:]), segment.counts
+                    distinct = mixed(lang, segment.hashes[1:])
+                    order = np.argsort(distinct)
+                    distinct, count = distinct[order], segment.counts[order]
                 else:
                     distinct, count = np.unique(phrase_hashes(segment, k, bits)[1], return_counts=True)
-                distinct = distinct.view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(count), pa.array(segment.seg ^ (distinct >> 33).astype(np.int32))], ["h", "n", "drawn"])
-
-    counts = segments.drop("n").mapInArrow(work, "h long, n long, drawn int")
-    summed = counts.groupBy("h").agg(F.sum("n").alias("n"), F.min("drawn").alias("drawn"))
-    return summed.select("h", "n", F.col("drawn").bitwiseXOR(F.shiftright("h", 33).cast("int")).alias("seg"))
+                count = np.minimum(count, min_count).astype(kind)
+                part = (distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else [0]
+                ranges = list(zip(edges, edges[1:]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(part[a]) for a, _ in ranges], pa.int64()), pa.array([segment.seg] * len(ranges), pa.int32()),
+                        pa.array([distinct[a:b].tobytes() for a, b in ranges], pa.binary()), pa.array([count[a:b].tobytes() for a, b in ranges], pa.binary()),
+                    ],
+                    ["part", "seg", "hashes", "counts"],
+                )
+
+    def add_up(table: pa.Table) -> pa.Table:
+        packed = [(np.frombuffer(h, np.uint64), np.frombuffer(c, kind), seg) for h, c, seg in zip(*(table.column(x).to_pylist() for x in ("hashes", "counts", "seg")))]
+        hashes = np.concatenate([h for h, _, _ in packed])
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        total = np.add.reduceat(np.concatenate([c for _, c, _ in packed])[order], first, dtype=np.int64)
+        often = np.flatnonzero(total >= min_count)
+        held = np.diff(np.append(first, len(hashes)))[often]
+        drawn = first[often] + (hashes[first[often]] % held.astype(np.uint64)).astype(np.int64)
+        seg = np.repeat(np.array([s for _, _, s in packed], np.int32), [len(h) for h, _, _ in packed])[order[drawn]]
+        return pa.table({"h": hashes[first[often]].view(np.int64), "seg": seg})
+
+    packed = segments.drop("n").mapInArrow(pack, "part long, seg int, hashes binary, counts binary")
+    frequent = store(packed.groupBy("part").applyInArrow(add_up, "h long, seg int"), f"frequent-{k}")
+    shared.unpersist()
+    return frequent
 
 
-def name_phrases(segments: DataFrame, wanted: DataFrame, bits: list[np.ndarray]) -> DataFrame:
-    """The phrases of the wanted hashes, named by the segment drawn."""
-    shared = broadcast_object(segments.sparkSession, bits)
+def name_phrases(segments: DataFrame, wanted: DataFrame, bits: list[bytes]) -> DataFrame:
+    """The phrases of the wanted hashes, named by the segment drawn; stored."""
+    shared = segments.sparkSession.sparkContext.broadcast(bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = broadcast_value(shared)
+        bits = [np.frombuffer(b, np.uint8) for b in shared.value]
         for batch in batches:
             for i in range(batch.num_rows):
                 segment = Segment(batch, i)
@@ -263,7 +294,9 @@ def name_phrases(segments: DataFrame, wanted: DataFrame, bits: list[np.ndarray])
                     yield pa.RecordBatch.from_arrays([pa.array([segment.lang] * len(at), pa.string()), named], ["lang", "phrase"])
 
     lists = wanted.groupBy("seg").agg(F.collect_list(F.struct("k", "h")).alias("asked"))
-    return segments.drop("n", "counts").join(lists, "seg").mapInArrow(work, "lang string, phrase string").distinct()
+    named = store(segments.drop("n", "counts").join(lists, "seg").mapInArrow(work, "lang string, phrase string").distinct(), "candidates")
+    shared.unpersist()
+    return named
 
 
 # ---- tries -------------------------------------------------------------------
