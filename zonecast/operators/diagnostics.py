@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
+from zonecast.functions.selection import quantile_frame
 from zonecast.schemas import require_columns
+from zonecast.session import materialize
 
 
 def error_frame(frame: DataFrame, *, actual_column: str = "target_demand", prediction_column: str = "prediction") -> DataFrame:
@@ -26,8 +28,7 @@ def residual_distribution(
     test) and ``bad`` (rows with a null/NaN/inf input).
 
     The aggregation combines map-side, so count residuals (integers) shrink
-    to a handful of rows before the shuffle; quantiles computed from this
-    table hold only distinct values in memory.
+    to a handful of rows before the shuffle.
     """
     a = F.col(actual_column).cast("double")
     p = F.col(prediction_column).cast("double")
@@ -57,63 +58,75 @@ def residual_summary(
     """bias, median and p90 absolute error (linear interpolation, exact),
     under/over-prediction shares; non-finite inputs raise.
 
-    With ``approx_accuracy`` the two quantiles come from a mergeable
-    ``percentile_approx`` sketch over the rows (bounded memory per group)."""
+    The quantiles of all groups are selected together in a few passes over the
+    written residual distribution, see ``functions/selection.py``. With
+    ``approx_accuracy`` they come from a mergeable ``percentile_approx`` sketch
+    over the rows instead (one pass, bounded memory per group)."""
     dist = residual_distribution(frame, actual_column=actual_column, prediction_column=prediction_column, by=by)
-    total = F.sum("n").cast("double")
+    columns = {"median_absolute_error": 0.5, "p90_absolute_error": 0.9}
     if approx_accuracy:
-        med = F.lit(None).cast("double")
-        p90 = F.lit(None).cast("double")
+        residuals = F.abs(M.residual(actual_column, prediction_column))
+        quantiles = _sketch(frame, residuals, list(columns.values()), by, approx_accuracy)
     else:
-        med = F.percentile(F.abs("r"), F.lit(0.5), F.col("n"))
-        p90 = F.percentile(F.abs("r"), F.lit(0.9), F.col("n"))
+        dist = materialize(dist, name="residuals")
+        quantiles = absolute_error_quantiles(dist, list(columns.values()), by)
+    total = F.sum("n").cast("double")
+    unknown = F.lit(None).cast("double")
     main = dist.groupBy(*by).agg(
-        F.coalesce(_finite_guard("Residual arrays must contain only finite values").cast("double"),
+        F.coalesce(_finite_guard("residuals need finite actuals and predictions").cast("double"),
                    F.sum(F.col("r") * F.col("n")) / total).alias("bias"),
-        med.alias("median_absolute_error"),
-        p90.alias("p90_absolute_error"),
+        *[unknown.alias(c) for c in columns],
         (F.sum(F.when(F.col("r") > 0, F.col("n")).otherwise(0)) / total).alias("underprediction_share"),
         (F.sum(F.when(F.col("r") < 0, F.col("n")).otherwise(0)) / total).alias("overprediction_share"),
     )
-    if not approx_accuracy:
-        return main
-    sketch = frame.groupBy(*by).agg(
-        F.percentile_approx(F.abs(M.residual(actual_column, prediction_column)), F.array(F.lit(0.5), F.lit(0.9)),
-                            int(approx_accuracy)).alias("_q")
-    )
-    return _replace_quantiles(main, sketch, by, {"median_absolute_error": 0, "p90_absolute_error": 1})
+    return with_quantiles(main, quantiles, by, list(columns))
 
 
-def _replace_quantiles(main: DataFrame, sketch: DataFrame, by: Sequence[str], columns: dict) -> DataFrame:
-    """Swap quantile columns of ``main`` for sketch values; grouped frames
-    join on their keys, global ones fold two one-row results with one
-    aggregation (no keyless join)."""
-    if by:
-        joined = main.drop(*columns).join(sketch, list(by), "left")
-        return joined.select(*main.columns[: len(by)], *[
-            (F.col("_q")[columns[c]].alias(c) if c in columns else F.col(c)) for c in main.columns[len(by):]
-        ])
-    parts = main.drop(*columns).unionByName(sketch, allowMissingColumns=True)
-    folded = parts.agg(*[F.max(c).alias(c) for c in main.columns if c not in columns], F.max("_q").alias("_q"))
-    return folded.select(*[(F.col("_q")[columns[c]].alias(c) if c in columns else F.col(c)) for c in main.columns])
+def absolute_error_quantiles(dist: DataFrame, quantiles: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``by`` columns and an array ``quantiles`` of the absolute residuals of a
+    residual distribution (a written table: it is read in several passes). Rows
+    that are not finite are left to the caller's guard."""
+    finite = F.when(M.is_finite(F.col("r")), F.abs("r"))
+    return quantile_frame(dist, finite, quantiles, by=by, weight="n")
 
 
-def snapshot_from_distribution(dist: DataFrame, by: Sequence[str] = (), *, exact_p90: bool = True) -> DataFrame:
-    """observations, mae, rmse, wape, smape, bias, p90 absolute error."""
+def _sketch(frame: DataFrame, value: Column, quantiles: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+    wanted = F.array(*[F.lit(q) for q in quantiles])
+    return frame.groupBy(*by).agg(F.percentile_approx(value, wanted, int(accuracy)).alias("quantiles"))
+
+
+def with_quantiles(main: DataFrame, quantiles: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Fill the (null) ``columns`` of ``main`` from the array ``quantiles`` of
+    the same group. Grouped frames join on their keys, null keys included; two
+    one-row results fold into one aggregation (no keyless join)."""
+    place = {c: F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(columns)}
+    if by:
+        keyed = quantiles.withColumnsRenamed({c: f"_q_{c}" for c in by})
+        same = F.lit(True)
+        for c in by:
+            same &= F.col(c).eqNullSafe(F.col(f"_q_{c}"))
+        joined = main.drop(*columns).join(keyed, same, "left")
+        return joined.select(*[place.get(c, F.col(c)) for c in main.columns])
+    parts = main.drop(*columns).unionByName(quantiles, allowMissingColumns=True)
+    folded = parts.agg(*[F.max(c).alias(c) for c in main.columns if c not in columns], F.max("quantiles").alias("quantiles"))
+    return folded.select(*[place.get(c, F.col(c)) for c in main.columns])
+
+
+def snapshot_from_distribution(dist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """observations, mae, rmse, wape, smape, bias and a null
+    ``p90_absolute_error`` to be filled by ``with_quantiles``."""
     total = F.sum("n")
     abs_err = F.sum(F.abs("r") * F.col("n"))
     abs_act = F.sum("abs_actual")
     zero_case = F.when(F.bool_and("all_close"), F.lit(0.0)).otherwise(F.lit(M.INF))
     return dist.groupBy(*by).agg(
-        F.coalesce(_finite_guard("metrics do not accept NaN or infinite values").cast("bigint"), total).alias("observations"),
+        F.coalesce(_finite_guard("a snapshot needs finite actuals and predictions").cast("bigint"), total).alias("observations"),
         (abs_err / total).alias("mae"),
         F.sqrt(F.sum(F.col("r") * F.col("r") * F.col("n")) / total).alias("rmse"),
         M.safe_ratio(abs_err, abs_act, zero_case).alias("wape"),
         (F.sum("smape_sum") / total).alias("smape"),
         (F.sum(F.col("r") * F.col("n")) / total).alias("bias"),
-        (F.percentile(F.abs("r"), F.lit(0.9), F.col("n")) if exact_p90 else F.lit(None).cast("double")).alias(
-            "p90_absolute_error"
-        ),
+        F.lit(None).cast("double").alias("p90_absolute_error"),
     )
 
 

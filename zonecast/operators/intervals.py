@@ -4,11 +4,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
-from zonecast.functions.selection import kth_smallest
+from zonecast.functions.selection import group_sizes, select_ranks
+from zonecast.session import materialize
 
 
 def conformal_radius(
@@ -25,33 +26,30 @@ def conformal_radius(
     ``ceil(level * (n - 1))`` with ``level = min(ceil((n + 1) * coverage) /
     n, 1)`` (NumPy ``method='higher'``), found exactly without sorting
     rows: residuals are reduced to distinct values with multiplicities
-    (map-side combine), then a running count over the distinct values of
-    each group picks the first value whose cumulative count passes the
-    rank (per group). Without groups the rank is found by
-    :func:`zonecast.functions.selection.kth_smallest`, so no task ever
-    holds all residuals. Non-finite inputs raise.
+    (map-side combine), written, and the ranks of all groups are selected
+    together (:func:`zonecast.functions.selection.select_ranks`), so no
+    task ever holds a group's residuals. Non-finite inputs raise, as does
+    an empty frame without groups.
     """
     if not 0.0 < coverage < 1.0:
-        raise ValueError("coverage must be between 0 and 1")
+        raise ValueError(f"coverage is a share between zero and one, not {coverage}")
     a = F.col(actual_column).cast("double")
     p = F.col(prediction_column).cast("double")
-    dist = frame.groupBy(*by, F.abs(a - p).alias("e")).agg(
-        F.count(F.lit(1)).alias("c"), M.non_finite_count(a, p).alias("bad")
-    )
-    if not by:
-        return _global_radius(frame.sparkSession, dist, coverage)
-    group = Window.partitionBy(*by)
-    running = group.orderBy("e").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.sum("c").over(group)
-    level = F.least(F.ceil((n + 1) * F.lit(float(coverage))) / n, F.lit(1.0))
-    rank = F.ceil(level * (n - 1))  # zero-based
-    ranked = dist.withColumns({"_cum": F.sum("c").over(running), "_rank": rank, "_bad": F.sum("bad").over(group)})
-    hit = ranked.filter(F.col("_cum") > F.col("_rank"))
-    guard = F.when(F.max("_bad") > 0, F.raise_error(F.lit("Calibration arrays must be finite")))
-    return hit.groupBy(*by).agg(
-        F.lit(float(coverage)).alias("coverage"),
-        F.coalesce(guard.cast("double"), F.min("e")).alias("radius"),
+    dist = materialize(
+        frame.groupBy(*by, F.abs(a - p).alias("e")).agg(F.count(F.lit(1)).alias("c"), M.non_finite_count(a, p).alias("bad")),
+        name="calibration",
     )
+    if dist.filter(F.col("bad") > 0).limit(1).count():
+        raise ValueError("calibration needs finite actuals and predictions")
+    sizes = group_sizes(dist, F.col("e"), by, F.col("c"))
+    if not by and not sizes:
+        raise ValueError("calibration needs rows")
+    ranks = {g: [conformal_rank(n, coverage)] for g, (n, _, _) in sizes.items()}
+    found = select_ranks(dist, "e", ranks, by=by, weight="c", sizes=sizes)
+    kinds = {f.name: f.dataType.simpleString() for f in dist.schema.fields}
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in by], "coverage double", "radius double"])
+    rows = [(*g, float(coverage), values[ranks[g][0]]) for g, values in found.items()]
+    return frame.sparkSession.createDataFrame(rows, schema)
 
 
 def conformal_rank(n: int, coverage: float) -> int:
@@ -61,21 +59,9 @@ def conformal_rank(n: int, coverage: float) -> int:
     return int(math.ceil(level * (n - 1)))
 
 
-def _global_radius(spark, dist: DataFrame, coverage: float) -> DataFrame:
-    """One interval over all rows: exact selection by histogram narrowing
-    (no single-task sort of the residuals)."""
-    row = dist.agg(F.sum("c").alias("n"), F.sum("bad").alias("bad")).first()
-    if not row["n"]:
-        raise ValueError("Calibration arrays must be non-empty and have equal shapes")
-    if row["bad"]:
-        raise ValueError("Calibration arrays must be finite")
-    radius = kth_smallest(dist, "e", conformal_rank(int(row["n"]), coverage), weight="c")
-    return spark.createDataFrame([(float(coverage), radius)], "coverage double, radius double")
-
-
 def conformal_bounds(prediction: str | Column, radius: str | Column) -> dict[str, Column]:
     """``lower = max(p - r, 0)``, ``upper = p + r``; non-finite predictions raise."""
     p = F.col(prediction) if isinstance(prediction, str) else prediction
     r = F.col(radius) if isinstance(radius, str) else radius
-    checked = F.when(~M.is_finite(p), F.raise_error(F.lit("Predictions must be finite")).cast("double")).otherwise(p)
+    checked = F.when(~M.is_finite(p), F.raise_error(F.lit("an interval needs a finite prediction")).cast("double")).otherwise(p)
     return {"lower": F.greatest(checked - r, F.lit(0.0)), "upper": checked + r}

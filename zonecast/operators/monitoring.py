@@ -4,9 +4,10 @@
   scored window (rows with a null actual or prediction are dropped).
 * ``feature_drift_report``: quantile-binned PSI for many features at once.
   Both windows are unpivoted to ``(feature, value)``, reduced to distinct
-  values with multiplicities, and every step after that is a grouped
-  aggregation or a join against the per-feature edge table (one row per
-  feature, so broadcasting it is bounded by the feature count).
+  values with multiplicities and written once; the quantiles of all features
+  are selected together in a few passes over that table, and every step after
+  that is a grouped aggregation or a join against the per-feature edge table
+  (one row per feature, so broadcasting it is bounded by the feature count).
 """
 from __future__ import annotations
 
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
 from zonecast.functions.status import classify_performance_regression, classify_psi, overall_status, severity_rank
-from zonecast.operators.diagnostics import _replace_quantiles, residual_distribution, snapshot_from_distribution
+from zonecast.functions.selection import quantile_table
+from zonecast.operators.diagnostics import _sketch, absolute_error_quantiles, residual_distribution, snapshot_from_distribution, with_quantiles
 from zonecast.schemas import require_columns
+from zonecast.session import materialize
 
 EPSILON = 1e-6
 
@@ -36,16 +39,15 @@ def performance_snapshot(
     require_columns(frame, {actual_column, prediction_column}, "performance")
     clean = frame.filter(F.col(actual_column).isNotNull() & F.col(prediction_column).isNotNull())
     dist = residual_distribution(clean, actual_column=actual_column, prediction_column=prediction_column, by=by)
-    snap = snapshot_from_distribution(dist, by, exact_p90=not approx_accuracy)
+    if approx_accuracy:
+        quantiles = _sketch(clean, F.abs(M.residual(actual_column, prediction_column)), [0.9], by, approx_accuracy)
+    else:
+        dist = materialize(dist, name="residuals")
+        quantiles = absolute_error_quantiles(dist, [0.9], by)
+    snap = snapshot_from_distribution(dist, by)
     none = F.raise_error(F.lit("no row has both an actual and a prediction")).cast("bigint")
     snap = snap.withColumn("observations", F.when(F.coalesce("observations", F.lit(0)) == 0, none).otherwise(F.col("observations")))
-    if not approx_accuracy:
-        return snap
-    sketch = clean.groupBy(*by).agg(
-        F.percentile_approx(F.abs(M.residual(actual_column, prediction_column)), F.array(F.lit(0.9)),
-                            int(approx_accuracy)).alias("_q")
-    )
-    return _replace_quantiles(snap, sketch, by, {"p90_absolute_error": 0})
+    return with_quantiles(snap, quantiles, by, ["p90_absolute_error"])
 
 
 def performance_by_day(
@@ -78,6 +80,16 @@ def _long(frame: DataFrame, features: Sequence[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull())
 
 
+def _quantile_edges(dist: DataFrame, tagged: DataFrame, steps: Sequence[float], approx_accuracy: int | None) -> DataFrame:
+    """``feature, edges``: the distinct reference quantiles, ascending."""
+    if approx_accuracy:
+        sketch = _sketch(tagged.filter(F.col("_ref")), F.col("value"), steps, ["feature"], approx_accuracy)
+        return sketch.select("feature", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
+    reference = dist.filter(F.col("_ref") & M.is_finite(F.col("value")))
+    found = quantile_table(reference, "value", steps, by=["feature"], weight="c")
+    return dist.sparkSession.createDataFrame([(g[0], sorted(set(q))) for g, q in found.items()], "feature string, edges array<double>")
+
+
 def population_stability(
     reference: DataFrame,
     current: DataFrame,
@@ -89,9 +101,9 @@ def population_stability(
 ) -> DataFrame:
     """``feature, psi`` for every feature.
 
-    ``approx_accuracy`` switches the reference quantiles to Spark's
-    mergeable ``percentile_approx`` sketch (bounded memory per feature,
-    rank error about 1/accuracy); the default is exact.
+    The reference quantiles are exact, whatever the number of distinct values;
+    ``approx_accuracy`` takes them from Spark's mergeable ``percentile_approx``
+    sketch instead (one pass, rank error about 1/accuracy).
 
     Edges are the distinct reference quantiles at 0, 1/bins, ..., 1 (linear
     interpolation), the outer two widened to -inf/+inf; bin of x = number
@@ -100,46 +112,31 @@ def population_stability(
     current value is close to that constant, else +inf.
     """
     if bins < 2:
-        raise ValueError("bins must be at least 2")
+        raise ValueError(f"a drift histogram has two bins or more, not {bins}")
     if epsilon <= 0:
-        raise ValueError("epsilon must be positive")
+        raise ValueError(f"the share floor lies above zero, not at {epsilon}")
     if not features:
-        raise ValueError("feature_names must not be empty")
+        raise ValueError("no feature to monitor")
     for f in features:
         if f not in reference.columns or f not in current.columns:
-            raise ValueError(f"Missing monitored feature: {f}")
+            raise ValueError(f"feature {f} is not in both windows")
 
     # (feature, side, value) -> multiplicity: one aggregation for both windows
     tagged = _long(reference, features).withColumn("_ref", F.lit(True)).unionByName(
         _long(current, features).withColumn("_ref", F.lit(False))
     )
-    dist = tagged.groupBy("feature", "_ref", "value").agg(F.count(F.lit(1)).alias("c"))
+    dist = materialize(tagged.groupBy("feature", "_ref", "value").agg(F.count(F.lit(1)).alias("c")), name="drift")
     ref_c = F.when(F.col("_ref"), F.col("c"))
     cur_c = F.when(~F.col("_ref"), F.col("c"))
-    qs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    bad = F.isnan("value") | (F.abs(F.col("value")) == F.lit(M.INF))
-    # percentile skips null inputs, so only reference values shape the edges
-    if approx_accuracy:
-        sketch = tagged.filter(F.col("_ref")).groupBy("feature").agg(
-            F.percentile_approx("value", qs, int(approx_accuracy)).alias("_q")
-        )
-        counts = dist.groupBy("feature").agg(
-            F.sum(ref_c).alias("n_ref"), F.sum(cur_c).alias("n_cur"), F.count_if(bad).alias("bad")
-        )
-        # both sides hold one row per monitored feature
-        edges = counts.join(F.broadcast(sketch), "feature", "left").select(
-            "feature", F.array_sort(F.array_distinct("_q")).alias("edges"), "n_ref", "n_cur", "bad"
-        )
-    else:
-        edges = dist.groupBy("feature").agg(
-            F.array_sort(F.array_distinct(F.percentile(F.when(F.col("_ref"), F.col("value")), qs, F.col("c")))).alias("edges"),
-            F.sum(ref_c).alias("n_ref"),
-            F.sum(cur_c).alias("n_cur"),
-            F.count_if(bad).alias("bad"),
-        )
+    steps = [i / bins for i in range(bins + 1)]
+    bad = ~M.is_finite(F.col("value"))
+    # one row per monitored feature on either side of the join
+    counts = dist.groupBy("feature").agg(F.sum(ref_c).alias("n_ref"), F.sum(cur_c).alias("n_cur"), F.count_if(bad).alias("bad"))
+    counts = counts.join(F.broadcast(_quantile_edges(dist, tagged, steps, approx_accuracy)), "feature", "left")
+    edges = counts.withColumn("edges", F.coalesce("edges", F.array().cast("array<double>")))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     constant = F.size("edges") < 2
-    lo = F.col("edges")[0]
+    lo = F.get("edges", F.lit(0))
     close = F.abs(F.col("value") - lo) <= F.lit(M.ALLCLOSE_ATOL) + F.lit(M.ALLCLOSE_RTOL) * F.abs(lo)
     # the edge table has one row per monitored feature: broadcast is feature-bounded
     joined = dist.join(F.broadcast(edges), "feature")
@@ -165,7 +162,7 @@ def population_stability(
     # one row per feature that was asked for, also when it has no value at all
     asked = reference.sparkSession.createDataFrame([(f,) for f in dict.fromkeys(features)], "feature string")
     per_feature = asked.join(per_feature, "feature", "left")
-    guard = F.when(F.col("_bad") > 0, F.raise_error(F.lit("drift samples must contain only finite values")))
+    guard = F.when(F.col("_bad") > 0, F.raise_error(F.lit("drift compares finite values only")))
     empty = F.when((F.coalesce("_n_cur", F.lit(0)) == 0) | (F.coalesce("_n_ref", F.lit(0)) == 0), F.raise_error(F.concat(F.lit("no values to compare for feature "), F.col("feature"))))
     psi = F.when(F.col("_constant"), F.when(F.col("_close"), F.lit(0.0)).otherwise(F.lit(M.INF))).otherwise(F.col("_psi"))
     return per_feature.select("feature", F.coalesce(guard.cast("double"), empty.cast("double"), psi).alias("psi"))
