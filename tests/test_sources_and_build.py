@@ -30,7 +30,7 @@ def test_monthly_files_and_window_read(spark, tmp_dir):
     window = read_trip_window(spark, paths, start_time="2024-02-01 00:00:00", end_time="2024-03-01 00:00:00")
     assert window.count() == 1
     assert "PushedFilters: [IsNotNull(tpep_pickup_datetime), GreaterThanOrEqual" in window._jdf.queryExecution().executedPlan().toString()
-    with pytest.raises(ValueError, match="No trip rows"):
+    with pytest.raises(ValueError, match="no trip was picked up"):
         read_trip_window(spark, paths, start_time="2025-01-01 00:00:00", end_time="2025-02-01 00:00:00")
 
 
@@ -93,3 +93,139 @@ def test_aggregate_file_and_eda_report(spark, tmp_dir):
     assert os.path.isdir(os.path.join(tmp_dir, "eda_report"))
     write_parquet(mart, os.path.join(tmp_dir, "copy"))
     assert spark.read.parquet(os.path.join(tmp_dir, "copy")).count() == mart.count()
+
+
+# ---- one scan, month outputs, updates ----------------------------------------------
+def raw_scans(frame, folder):
+    """File scans of ``folder`` in the executed plan."""
+    return frame._jdf.queryExecution().executedPlan().toString().count(f"InMemoryFileIndex(1 paths)[file:{folder}")
+
+
+def month_files(spark, folder):
+    """Parquet copies of the trip view, so that scans can be told apart."""
+    trips = dt.trips(spark, "/root/testdata/sf0.001")
+    shifted = F.when(F.col("PULocationID") % 3 == 0, F.expr("INTERVAL 31 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    moved = trips.withColumns({c: F.col(c) + shifted for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+    moved.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_builds_scan_the_trips_once(spark, tmp_dir, monkeypatch):
+    trips = month_files(spark, os.path.join(tmp_dir, "trips"))
+    written = []
+    real = bd.materialize
+    monkeypatch.setattr(bd, "materialize", lambda frame, name: written.append(raw_scans(frame, os.path.join(tmp_dir, "trips"))) or real(frame, name=name))
+    mart, manifest = bd.build_manifest(trips, "2024-01", "2024-02")
+    assert written == [1] and raw_scans(mart, os.path.join(tmp_dir, "trips")) == raw_scans(manifest, os.path.join(tmp_dir, "trips")) == 0
+    bd.aggregate_file(trips, os.path.join(tmp_dir, "one"))
+    assert written == [1, 1]
+
+
+def test_audit_agrees_with_separate_passes(spark, tmp_dir):
+    from zonecast.operators.mart import aggregate_hourly_demand
+    from zonecast.operators.quality import quality_report
+
+    trips = month_files(spark, os.path.join(tmp_dir, "trips"))
+    tagged = bd.tag_months(trips, "2024-01", "2024-02")
+    audit = bd.audit_trips(tagged, by=["month"])
+    by = lambda frame: sorted(tuple(r) for r in frame.collect())
+    assert by(bd.audit_report(audit, by=["month"])) == by(quality_report(tagged, by=["month"]))
+    assert by(bd.audit_report(bd.audit_trips(trips))) == by(quality_report(trips))
+    assert by(bd.audit_report(bd.audit_trips(trips.limit(0)))) == by(quality_report(trips.limit(0)))
+    columns = ["timestamp", "zone_id", "demand"]
+    assert by(bd.build_manifest(trips, "2024-01", "2024-02")[0].select(*columns)) == by(aggregate_hourly_demand(tagged.drop("month")).select(*columns))
+
+
+def snapshot(spark, folder):
+    mart = sorted(tuple(r) for r in spark.read.parquet(os.path.join(folder, "demand")).select("timestamp", "zone_id", "demand", "month").collect())
+    months = sorted(tuple(r) for r in bd.read_months(spark, folder).collect())
+    names = [c for c in bd.read_manifest(spark, folder).columns if not c.endswith("_output")]
+    return mart, months, sorted(tuple(r) for r in bd.read_manifest(spark, folder).select(*names).collect())
+
+
+def files_of(folder):
+    return {f: os.stat(os.path.join(folder, f)).st_mtime_ns for f in os.listdir(folder)}
+
+
+def test_updated_months_equal_a_full_build(spark, tmp_dir):
+    trips = month_files(spark, os.path.join(tmp_dir, "trips"))
+    out, full = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "full")
+    manifest = bd.build_dataset_range(trips, "2024-01", "2024-02", out).orderBy("month").collect()
+    assert [os.path.basename(r.monthly_output) for r in manifest] == ["month=2024-01", "month=2024-02"]
+    assert all(os.path.isdir(r.monthly_output) and r.merged_output == os.path.join(out, "demand") for r in manifest)
+    january = files_of(bd.month_path(out, "2024-01"))
+    # February loses some trips, and March comes in
+    pickup = F.col("tpep_pickup_datetime")
+    late = F.when((pickup >= "2024-02-20") & (F.col("DOLocationID") % 2 == 0), F.expr("INTERVAL 20 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    changed = trips.withColumns({c: F.col(c) + late for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+    bd.update_months(changed, ["2024-03", "2024-02"], out)
+    bd.build_dataset_range(changed, "2024-01", "2024-03", full)
+    assert snapshot(spark, out) == snapshot(spark, full)
+    assert files_of(bd.month_path(out, "2024-01")) == january
+    # a month whose trips are all gone
+    empty = changed.filter((pickup < "2024-02-01") | (pickup >= "2024-03-01"))
+    bd.update_months(empty, ["2024-02"], out)
+    bd.build_dataset_range(empty, "2024-01", "2024-03", full)
+    assert snapshot(spark, out)[:2] == snapshot(spark, full)[:2]
+    gone = {r.month: r for r in bd.read_manifest(spark, out).collect()}["2024-02"]
+    assert gone.input_rows == 0 and gone.monthly_output is None and gone.valid_share == 0.0
+    with pytest.raises(ValueError):
+        bd.update_months(trips, [], out)
+
+
+def test_files_of_other_months_are_not_opened(spark, tmp_dir):
+    trips = dt.trips(spark, "/root/testdata/sf0.001").select(*[F.col(c) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "trip_distance", "total_amount")])
+    table = trips.toArrow()
+    import pyarrow.parquet as pq
+
+    for label in ("2023-12", "2024-01", "2024-02", "2024-03"):
+        pq.write_table(table, os.path.join(tmp_dir, f"yellow_tripdata_{label}.parquet"), coerce_timestamps="us")
+    with open(os.path.join(tmp_dir, "yellow_tripdata_2024-05.parquet"), "w") as broken:
+        broken.write("no parquet at all")
+    paths = [os.path.join(tmp_dir, f) for f in sorted(os.listdir(tmp_dir)) if f.endswith(".parquet")]
+    read = read_monthly_trips(spark, paths, months=["2024-01", "2024-02"])
+    assert {r.source_month for r in read.select("source_month").distinct().collect()} == {"2024-01", "2024-02"}
+    plan = read._jdf.queryExecution().executedPlan()
+    read.count()
+    scan = plan.collectLeaves().apply(0)
+    scan.executeColumnar() if scan.supportsColumnar() else scan.execute()
+    assert scan.metrics().apply("numFiles").value() == 2
+    manifest = bd.build_from_files(spark, paths, "2024-01", "2024-02", os.path.join(tmp_dir, "out"))
+    assert [r.month for r in manifest.collect()] == ["2024-01"]  # the other file's rows lie in January
+
+
+def test_zone_csv_is_bound_by_name(spark, tmp_dir):
+    from zonecast.sources.zones import read_zone_lookup_csv
+
+    path = os.path.join(tmp_dir, "zones.csv")
+    with open(path, "w") as fh:
+        fh.write("Borough,extra,LocationID,service_zone,Zone\nQueens,x, 7 ,Boro Zone,Astoria\n,y,8,,\n")
+    rows = read_zone_lookup_csv(spark, path).collect()
+    assert [tuple(r) for r in rows] == [(7, "Queens", "Astoria", "Boro Zone"), (8, None, None, None)]
+    with open(path, "w") as fh:
+        fh.write("Borough,Zone,service_zone\na,b,c\n")
+    with pytest.raises(ValueError, match="LocationID"):
+        read_zone_lookup_csv(spark, path)
+    with open(path, "w") as fh:
+        fh.write("LocationID,Borough,Zone,service_zone\nseven,a,b,c\n")
+    with pytest.raises(Exception, match="seven"):
+        read_zone_lookup_csv(spark, path).collect()
+
+
+def test_table_readers_check_what_they_read(spark, tmp_dir):
+    from zonecast.sources import tables as tb
+
+    path = os.path.join(tmp_dir, "t")
+    rows = [(datetime(2024, 1, 1, h), 3, h, h / 2, h * 1.0, "x") for h in range(4)]
+    frame = spark.createDataFrame(rows, "timestamp timestamp_ntz, zone_id long, demand long, demand_lag_1h double, prediction double, note string")
+    frame.withColumn("actual", F.col("demand").cast("int")).write.parquet(path)
+    demand = tb.read_demand(spark, path)
+    assert [f.dataType.simpleString() for f in demand.schema] == ["timestamp_ntz", "smallint", "int"] and demand.count() == 4
+    features = tb.read_features(spark, path, feature_columns=["demand_lag_1h", "demand"])
+    assert features.schema["demand"].dataType.simpleString() == "bigint" and "note" in features.columns
+    window = tb.read_scored_window(spark, [path], feature_columns=["demand_lag_1h"])
+    assert window.columns == ["actual", "prediction", "demand_lag_1h"] and window.agg(F.sum("actual")).first()[0] == 6.0
+    assert "note" not in window._jdf.queryExecution().executedPlan().toString()
+    for call in (lambda: tb.read_features(spark, path, feature_columns=["note"]), lambda: tb.read_scored_window(spark, path, actual_column="target"), lambda: tb.read_features(spark, path, feature_columns=["nowhere"])):
+        with pytest.raises(ValueError):
+            call()
