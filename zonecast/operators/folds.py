@@ -91,17 +91,21 @@ class FoldPlan:
             keep &= F.col("forecast_timestamp") < self.validation_end(f)
         return tagged.filter(keep)
 
+    def first_training_fold(self, *, label_guard: bool = True) -> Column:
+        """The first fold whose validation starts strictly after the row (and,
+        with ``label_guard``, its label): that fold and all later ones train
+        on it. Beyond ``count`` for rows that no fold trains on."""
+        newest = F.greatest(F.col("timestamp"), F.col("forecast_timestamp") if label_guard else F.col("timestamp"))
+        offset = seconds_between(ntz_literal(self.first_validation_start), newest)
+        return F.when(offset < 0, F.lit(1)).otherwise(F.floor(offset / F.lit(self.step_days * DAY)).cast("int") + 2)
+
     def train_counts(self, frame: DataFrame, *, label_guard: bool) -> DataFrame:
         """``fold, train_rows``: rows with ``origin <= timestamp <
         validation_start`` (and, with ``label_guard``, ``forecast_timestamp
         < validation_start``), counted from an hourly pre-aggregate."""
         keys = ["timestamp"] + (["forecast_timestamp"] if label_guard else [])
         hourly = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        newest = F.col("forecast_timestamp") if label_guard else F.col("timestamp")
-        newest = F.greatest(F.col("timestamp"), newest)
-        offset = seconds_between(ntz_literal(self.first_validation_start), newest)
-        # first fold whose validation start is strictly after the row
-        first = F.when(offset < 0, F.lit(1)).otherwise(F.floor(offset / F.lit(self.step_days * DAY)).cast("int") + 2)
+        first = self.first_training_fold(label_guard=label_guard)
         expanded = hourly.filter(first <= self.count).withColumn(
             "fold", F.explode(F.sequence(first, F.lit(self.count)))
         )

@@ -1,4 +1,4 @@
-"""Seasonal-baseline backtests: every fold scored in one job.
+"""Backtests: every fold scored in one job.
 
 The supervised frame is tagged with fold numbers by column arithmetic
 (:class:`zonecast.operators.folds.FoldPlan`), then a single
@@ -8,13 +8,23 @@ grows faster than the supervised frame itself.
 """
 from __future__ import annotations
 
+import json
+import math
+import random
+from collections.abc import Sequence
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
+from zonecast.functions.timecols import ntz_literal
 from zonecast.operators.folds import FoldPlan, plan_expanding_folds
-from zonecast.operators.horizons import attach_direct_seasonal_baseline
-from zonecast.schemas import SEASONAL_PERIOD_HOURS
+from zonecast.operators.horizons import attach_direct_seasonal_baseline, make_horizon_dataset
+from zonecast.plans import fold_glm
+from zonecast.plans.models import DEFAULT_PARAMS, complete_cases, design_column, input_violation_columns, raise_on_violations, train_model
+from zonecast.schemas import SEASONAL_PERIOD_HOURS, infer_feature_columns
+from zonecast.session import materialize
 
 METRIC_NAMES = ("mae", "rmse", "wape", "smape")
 
@@ -66,7 +76,7 @@ def backtest_seasonal_baseline(
         supervised, train_days=train_days, validation_days=validation_days, step_days=step_days
     )
     if plan.count == 0:
-        raise ValueError("Not enough temporal coverage to create a validation fold")
+        raise ValueError(f"the data end before a fold of {train_days} + {validation_days} days does")
     return fold_metrics(supervised, plan, horizon_hours=horizon_hours, train_label_guard=False)
 
 
@@ -76,18 +86,6 @@ def summarize_folds(folds: DataFrame, metrics=METRIC_NAMES) -> DataFrame:
 
 
 # ---- fitted-model backtests -------------------------------------------------------
-import json  # noqa: E402
-import math  # noqa: E402
-import random  # noqa: E402
-from datetime import timedelta  # noqa: E402
-
-from zonecast.functions.timecols import ntz_literal  # noqa: E402
-from zonecast.operators.horizons import make_horizon_dataset  # noqa: E402
-from zonecast.plans.models import complete_cases, train_model  # noqa: E402
-from zonecast.schemas import infer_feature_columns  # noqa: E402
-from zonecast.session import materialize  # noqa: E402
-
-
 def stable(frame: DataFrame) -> DataFrame:
     """Materialise a frame that many jobs reuse (the fold loop) with a
     reliable checkpoint in ``spark.checkpoint.dir``: lineage is cut and a
@@ -112,33 +110,74 @@ def score_folds(
     keep_columns=(),
 ) -> DataFrame:
     """Fit one model per fold on its leakage-guarded training rows and
-    score its validation rows; returns the union of scored folds
-    (``fold``, target, ``model_prediction``, ``keep_columns``).
-
-    Folds without training or validation rows are skipped (their sizes
-    come from one small aggregate over the fold tags)."""
+    score its validation rows; returns all scored folds (``fold``, target,
+    ``model_prediction``, ``keep_columns``).
+
+    Folds without training or validation rows are skipped (their sizes come
+    from one small aggregate over the fold tags). The GLMs of all folds are
+    fitted together (``fold_glm``); tree models fold by fold."""
+    usable = _usable_folds(supervised, plan)
+    if kind == "poisson_glm":
+        scored = _score_glm_folds(supervised, plan, usable, feature_columns, [params or {}], target_column, keep_columns)
+        return scored.drop("trial")
     validation = plan.validation_rows(supervised, label_guard=True)
-    sizes = {r["fold"]: r["n"] for r in validation.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    trains = {r["fold"]: r["train_rows"] for r in plan.train_counts(supervised, label_guard=True).collect()}
-    parts = []
-    for fold in range(1, plan.count + 1):
-        if not sizes.get(fold) or not trains.get(fold):
-            continue
+    out = None
+    for fold in usable:
         model = train_model(
             _fold_train(supervised, plan, fold), feature_columns=feature_columns, target_column=target_column,
             kind=kind, params=params,
         )
         rows = complete_cases(validation.filter(F.col("fold") == fold), [*feature_columns, target_column])
-        scored = model.predict(rows, prediction_column="model_prediction")
-        parts.append(scored.select("fold", target_column, "model_prediction", *keep_columns))
-    if not parts:
-        raise ValueError("All validation folds became empty after leakage safeguards")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        scored = model.predict(rows, prediction_column="model_prediction").select("fold", target_column, "model_prediction", *keep_columns)
+        out = scored if out is None else out.unionByName(scored)
     return out
 
 
+def _usable_folds(supervised: DataFrame, plan: FoldPlan) -> list[int]:
+    validation = plan.validation_rows(supervised, label_guard=True)
+    scored = {r["fold"] for r in validation.select("fold").distinct().collect()}
+    trained = {r["fold"] for r in plan.train_counts(supervised, label_guard=True).collect() if r["train_rows"]}
+    usable = sorted(scored & trained)
+    if not usable:
+        raise ValueError("no fold has both training and validation rows once their labels must lie inside")
+    return usable
+
+
+def _score_glm_folds(
+    supervised: DataFrame,
+    plan: FoldPlan,
+    folds: Sequence[int],
+    feature_columns: Sequence[str],
+    trials: Sequence[dict],
+    target_column: str,
+    keep_columns: Sequence[str] = (),
+) -> DataFrame:
+    """``trial`` (from 1), ``fold``, target, ``model_prediction`` of every
+    trial's parameters on every fold: one fit and one scoring job for all."""
+    for params in trials:
+        if extra := sorted(set(params) - set(DEFAULT_PARAMS)):
+            raise ValueError(f"parameters without a meaning here: {', '.join(extra)}")
+    clean = complete_cases(supervised, [*feature_columns, target_column])
+    raise_on_violations(clean.agg(*input_violation_columns(feature_columns, target_column)).first().asDict())
+    design = [design_column(f) for f in feature_columns]
+    first = plan.first_training_fold(label_guard=True)
+    inside = (first <= plan.count) & (F.col("timestamp") >= ntz_literal(plan.origin))
+    blocks = fold_glm.design_blocks(clean.filter(inside), design, target_column, first)
+    values = [{**DEFAULT_PARAMS, **params} for params in trials]
+    models = fold_glm.fit_folds(
+        blocks, len(design), folds, [v["regParam"] for v in values], max_iter=[v["maxIter"] for v in values], tol=min(v["tol"] for v in values)
+    )
+    if bare := [f for f in folds if (f, 0) not in models]:
+        raise ValueError(f"no complete training row in fold {bare[0]}")
+    span = plan.count + 1
+    keyed = {t * span + f: m for (f, t), m in models.items()}
+    validation = complete_cases(plan.validation_rows(supervised, label_guard=True), [*feature_columns, target_column])
+    rows = validation.filter(F.col("fold").isin(list(folds)))
+    rows = rows.withColumn("trial", F.explode(F.array(*[F.lit(t + 1) for t in range(len(trials))])))
+    prediction = fold_glm.score_column(keyed, design, (F.col("trial") - 1) * span + F.col("fold"))
+    return rows.select("trial", "fold", target_column, prediction.alias("model_prediction"), *keep_columns)
+
+
 def backtest_model(
     feature_frame: DataFrame,
     *,
@@ -160,7 +199,7 @@ def backtest_model(
         supervised = stable(supervised)
     plan = plan_expanding_folds(supervised, train_days=train_days, validation_days=validation_days, step_days=step_days)
     if plan.count == 0:
-        raise ValueError("Not enough temporal coverage to create a validation fold")
+        raise ValueError(f"the data end before a fold of {train_days} + {validation_days} days does")
     features = infer_feature_columns(supervised)
     scored = score_folds(supervised, plan, features, kind=kind, params=params)
     metrics = scored.groupBy("fold").agg(
@@ -193,14 +232,12 @@ def compare_model_to_seasonal_baseline(
     bench = attach_direct_seasonal_baseline(
         feature_frame, horizon_hours=horizon_hours, seasonal_period_hours=seasonal_period_hours
     )
-    from zonecast.plans.models import complete_cases as _cc
-
-    bench = _cc(bench, [*features, "target_demand", "prediction"])
+    bench = complete_cases(bench, [*features, "target_demand", "prediction"])
     if checkpoint:
         bench = stable(bench)
     plan = plan_expanding_folds(bench, train_days=train_days, validation_days=validation_days, step_days=step_days)
     if plan.count == 0:
-        raise ValueError("Not enough temporal coverage to benchmark models")
+        raise ValueError(f"the data end before a fold of {train_days} + {validation_days} days does")
     scored = score_folds(bench, plan, features, kind=kind, params=params, keep_columns=("prediction",))
     folds = scored.groupBy("fold").agg(
         F.count(F.lit(1)).alias("validation_rows"),
@@ -276,10 +313,17 @@ def search_parameters(
     supervised = stable(make_horizon_dataset(feature_frame, horizon_hours=horizon_hours))
     plan = plan_expanding_folds(supervised, train_days=train_days, validation_days=validation_days, step_days=step_days)
     if plan.count == 0:
-        raise ValueError("Not enough temporal coverage to create a validation fold")
+        raise ValueError(f"the data end before a fold of {train_days} + {validation_days} days does")
     features = infer_feature_columns(supervised)
+    trials = parameter_trials(n_trials, seed=seed, kind=kind)
+    if kind == "poisson_glm":
+        scored = _score_glm_folds(supervised, plan, _usable_folds(supervised, plan), features, trials, "target_demand")
+        per_fold = scored.groupBy("trial", "fold").agg(M.wape("target_demand", "model_prediction").alias("wape"))
+        names = F.create_map(*[x for t, params in enumerate(trials, start=1) for x in (F.lit(t), F.lit(json.dumps(params, sort_keys=True)))])
+        results = per_fold.groupBy("trial").agg(F.avg("wape").alias("wape"))
+        return results.select("trial", F.element_at(names, F.col("trial")).alias("params"), "wape").orderBy("wape", "trial")
     results = None
-    for trial, params in enumerate(parameter_trials(n_trials, seed=seed, kind=kind), start=1):
+    for trial, params in enumerate(trials, start=1):
         scored = score_folds(supervised, plan, features, kind=kind, params=params)
         per_fold = scored.groupBy("fold").agg(M.wape("target_demand", "model_prediction").alias("wape"))
         row = per_fold.agg(F.avg("wape").alias("wape")).select(
