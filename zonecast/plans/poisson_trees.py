@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.functions.selection import quantile_table
 from zonecast.session import materialize
@@ -115,7 +116,8 @@ class Forest:
 
     def score(self, frame: DataFrame, column: str) -> DataFrame:
         """Adds the rate; rows with a null input are an error."""
-        forest, names, schema = self, list(self.features), frame.schema.add(column, "double")
+        forest, names = self, list(self.features)
+        schema = T.StructType([*frame.schema.fields, T.StructField(column, T.DoubleType())])
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -124,6 +126,10 @@ class Forest:
 
         return frame.mapInArrow(work, schema)
 
+    def bare(self) -> Forest:
+        """Without trees: what a task needs beside those it is given."""
+        return Forest(self.features, self.base, [])
+
     # -- tables ------------------------------------------------------------------
     def node_table(self, spark: SparkSession) -> DataFrame:
         """One row per node of every tree."""
@@ -227,15 +233,15 @@ def train_forest(frame: DataFrame, features: Sequence[str], target: str, params:
     rng = np.random.default_rng(p["seed"])
     for turn in range(p["rounds"]):
         if len(pending) == WRITE_EVERY:
-            blocks, pending = _with_scores(blocks, forest, width, pending), []
+            blocks, pending = _with_scores(blocks, forest.bare(), width, pending), []
         asked = sorted(rng.choice(width, max(1, round(p["feature_share"] * width)), replace=False).tolist()) if width else []
-        tree, loss = _grow(blocks, forest, width, cuts, pending, asked, p, p["seed"] * 1_000_003 + turn)
+        tree, loss = _grow(blocks, forest.bare(), width, cuts, pending, asked, p, p["seed"] * 1_000_003 + turn)
         forest.losses.append(loss / n)
         if tree is None:
             return forest
         forest.trees.append(tree)
         pending.append(tree)
-    forest.losses.append(_deviance(blocks, forest, width, pending) / n)
+    forest.losses.append(_deviance(blocks, forest.bare(), width, pending) / n)
     return forest
 
 
@@ -402,7 +408,7 @@ class Explanation:
         the features."""
         here, names = self, list(self.forest.features)
         inputs = [f"__x{i}" for i in range(len(names))]
-        schema = frame.select(*keys).schema.add("phi", "array<double>")
+        schema = T.StructType([*frame.select(*keys).schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType()))])
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
