@@ -131,3 +131,42 @@ def test_overlapping_folds_membership(spark):
             if vs <= r.timestamp < ve and r.forecast_timestamp < ve:
                 expected.add((f, r.timestamp))
     assert tagged == expected
+
+
+# ---- time blocks -------------------------------------------------------------
+def grid_of(spark, hours=700, zones=(1, 7, 200)):
+    import random
+
+    rng = random.Random(3)
+    return demand_df(spark, [(D0 + timedelta(hours=h), z, rng.randint(0, 40)) for h in range(hours) for z in zones])
+
+
+@pytest.mark.parametrize("block_hours", [1, 24, 100, 5000])
+def test_blocks_give_the_same_features(spark, block_hours):
+    frame = grid_of(spark)
+    options = {"lags": (1, 24, 168), "windows": (3, 72)}
+    rows = lambda f: sorted(tuple(r) for r in f.collect())
+    want = feat.build_features(frame, **options)
+    got = feat.build_features(frame, block_hours=block_hours, **options)
+    assert got.columns == want.columns and repr(rows(got)) == repr(rows(want))
+    doubles = frame.withColumn("demand", F.col("demand").cast("double"))
+    got, want = feat.build_features(doubles, block_hours=block_hours, **options), feat.build_features(doubles, **options)
+    for a, b in zip(rows(got), rows(want)):
+        assert a[:10] == b[:10] and all(x == pytest.approx(y) for x, y in zip(a[10:], b[10:]))
+
+
+def test_blocks_give_the_same_targets(spark):
+    frame = grid_of(spark)
+    rows = lambda f: sorted(tuple(r) for r in f.collect())
+    for build, options in (
+        (hz.make_horizon_dataset, {"horizon_hours": 24}), (hz.seasonal_naive, {}), (hz.attach_direct_seasonal_baseline, {"horizon_hours": 6}),
+    ):
+        want, got = build(frame, **options), build(frame, block_hours=48, **options)
+        assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_blocks_give_more_tasks_than_zones(spark):
+    out = feat.build_features(grid_of(spark, zones=(5,)), block_hours=24)
+    assert out.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 4
+    with pytest.raises(ValueError):
+        feat.build_features(grid_of(spark), block_hours=-1)
