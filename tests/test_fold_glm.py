@@ -1,4 +1,5 @@
 """All folds together against one Spark ML fit per fold."""
+import json
 import math
 from datetime import datetime, timedelta
 
@@ -88,13 +89,44 @@ def test_no_training_rows(supervised, plan):
         bt.score_folds(supervised, plan, FEATURES, params={"learning": 1})
 
 
+def demand_of(supervised):
+    return supervised.withColumnRenamed("target_demand", "demand").drop("forecast_timestamp")
+
+
+OPTIONS = {"horizon_hours": 6, "train_days": 4, "validation_days": 3, "step_days": 2}
+
+
 def test_search_scores_every_trial_on_every_fold(supervised):
-    frame = supervised.withColumnRenamed("target_demand", "demand").drop("forecast_timestamp")
-    options = {"horizon_hours": 6, "train_days": 4, "validation_days": 3, "step_days": 2}
-    found = bt.search_parameters(frame, n_trials=3, **options).collect()
+    frame = demand_of(supervised)
+    found = bt.search_parameters(frame, n_trials=3, generations=1, keep=1, **OPTIONS).collect()
     assert sorted(r.trial for r in found) == [1, 2, 3] and [r.wape for r in found] == sorted(r.wape for r in found)
-    import json
-
+    assert {r.folds for r in found} == {3}
     worst = found[-1]
-    alone = bt.summarize_folds(bt.backtest_model(frame, params=json.loads(worst.params), **options)).first()
+    alone = bt.summarize_folds(bt.backtest_model(frame, params=json.loads(worst.params), **OPTIONS)).first()
     assert worst.wape == pytest.approx(alone.wape, rel=1e-6)
+
+
+@pytest.mark.parametrize("kind, n", [("poisson_glm", 9), ("poisson_trees", 3)])
+def test_halving_fits_fewer_folds_for_the_same_best(supervised, monkeypatch, kind, n):
+    if kind == "poisson_trees":
+        monkeypatch.setitem(bt.SEARCH_SPACE, kind, {**bt.SEARCH_SPACE[kind], "rounds": ("int", 2, 4), "max_depth": ("int", 1, 3)})
+    frame = demand_of(supervised)
+    full = bt.search_parameters(frame, n_trials=n, generations=1, keep=1, kind=kind, **OPTIONS).collect()
+    halved = bt.search_parameters(frame, n_trials=n, generations=1, keep=3, kind=kind, **OPTIONS).collect()
+    assert sum(r.folds for r in halved) < sum(r.folds for r in full) == 3 * n
+    assert halved[0].folds == 3 and halved[0].wape == pytest.approx(full[0].wape, rel=1e-3)
+    again = bt.search_parameters(frame, n_trials=n, generations=1, keep=3, kind=kind, **OPTIONS).collect()
+    assert again == halved
+
+
+def test_later_trials_lie_around_the_best():
+    space = bt.SEARCH_SPACE["poisson_trees"]
+    first = bt.parameter_trials(40, kind="poisson_trees", seed=1)
+    assert len(space) == 9 and first == bt.parameter_trials(40, kind="poisson_trees", seed=1) != bt.parameter_trials(40, kind="poisson_trees", seed=2)
+    assert all(space[k][1] <= t[k] <= space[k][2] for t in first for k in space)
+    error = lambda t: abs(math.log(t["learning_rate"] / 0.05))
+    later = bt.parameter_trials(40, kind="poisson_trees", seed=1, results=[(error(t), t) for t in first])
+    assert np.mean([error(t) for t in later]) < 0.6 * np.mean([error(t) for t in first])
+    assert all(space[k][1] <= t[k] <= space[k][2] for t in later for k in space)
+    with pytest.raises(ValueError):
+        bt.parameter_trials(0)

@@ -95,6 +95,16 @@ def test_shares_of_rows_and_features(frame):
     assert all(len({f for f in t.feature if f >= 0}) <= 2 for t in one.trees)
 
 
+def test_leaves_and_penalties(frame, forest):
+    few = pt.train_forest(frame, FEATURES, "demand", {**PARAMS, "max_leaves": 3})
+    assert max(t.feature.count(-1) for t in forest.trees) > 3 == max(t.feature.count(-1) for t in few.trees)
+    assert few.trees[0].gain[0] == forest.trees[0].gain[0]
+    shrunk = pt.train_forest(frame, FEATURES, "demand", {**PARAMS, "rounds": 1, "l1": 40.0})
+    leaf = lambda f: np.abs([v for v, k in zip(f.trees[0].value, f.trees[0].feature) if k < 0])
+    assert leaf(shrunk).max() < leaf(forest).max()
+    assert pt.train_forest(frame, FEATURES, "demand", {**PARAMS, "l1": 1e9}).trees == []
+
+
 def test_constant_target_and_bad_parameters(frame):
     flat = pt.train_forest(frame.withColumn("demand", F.lit(3.0)), FEATURES, "demand", PARAMS)
     assert flat.trees == [] and math.exp(flat.base) == pytest.approx(3.0)

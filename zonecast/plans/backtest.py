@@ -13,6 +13,7 @@ import math
 import random
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,15 +109,16 @@ def score_folds(
     params: dict | None = None,
     target_column: str = "target_demand",
     keep_columns=(),
+    folds: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Fit one model per fold on its leakage-guarded training rows and
+    """Fit one model per fold (all, or those of ``folds``) on its leakage-guarded training rows and
     score its validation rows; returns all scored folds (``fold``, target,
     ``model_prediction``, ``keep_columns``).
 
     Folds without training or validation rows are skipped (their sizes come
     from one small aggregate over the fold tags). The GLMs of all folds are
     fitted together (``fold_glm``); tree models fold by fold."""
-    usable = _usable_folds(supervised, plan)
+    usable = list(folds) if folds is not None else _usable_folds(supervised, plan)
     if kind == "poisson_glm":
         scored = _score_glm_folds(supervised, plan, usable, feature_columns, [params or {}], target_column, keep_columns)
         return scored.drop("trial")
@@ -276,25 +278,61 @@ def summarize_benchmark(folds: DataFrame, *, long: bool = False) -> DataFrame:
     ).select("r.*")
 
 
-def parameter_trials(n_trials: int, *, seed: int = 42, kind: str = "poisson_glm") -> list[dict]:
-    """Seeded random parameter sets (log-uniform where the scale spans
-    decades)."""
-    if n_trials <= 0:
-        raise ValueError("n_trials must be positive")
-    rng = random.Random(seed)
-    trials = []
-    for _ in range(n_trials):
-        if kind == "gbt":
-            trials.append({
-                "maxIter": rng.randrange(20, 121, 10),
-                "maxDepth": rng.randint(3, 8),
-                "stepSize": float(10 ** rng.uniform(-2, math.log10(0.3))),
-                "subsamplingRate": rng.uniform(0.65, 1.0),
-                "seed": seed,
-            })
+#: Ranges that a search draws from: (kind of scale, lowest, highest).
+SEARCH_SPACE = {
+    "poisson_glm": {"regParam": ("log", 1e-6, 1e-1), "maxIter": ("int", 25, 100)},
+    "gbt": {"maxIter": ("int", 20, 120), "maxDepth": ("int", 3, 8), "stepSize": ("log", 1e-2, 0.3), "subsamplingRate": ("linear", 0.65, 1.0)},
+    "poisson_trees": {
+        "rounds": ("int", 20, 120), "learning_rate": ("log", 0.01, 0.3), "max_leaves": ("int", 8, 64), "max_depth": ("int", 3, 8), "min_rows": ("int", 10, 120),
+        "row_share": ("linear", 0.65, 1.0), "feature_share": ("linear", 0.65, 1.0), "l1": ("log", 1e-8, 10.0), "l2": ("log", 1e-8, 10.0),
+    },
+}
+#: A later trial lies around an earlier one, this share of a range away.
+NEAR = 0.15
+
+
+def _draw(rng: random.Random, space: dict, around: dict | None = None) -> dict:
+    """One set of parameters: anywhere in the space, or around another."""
+    out = {}
+    for name, (scale, low, high) in space.items():
+        a, b = (math.log(low), math.log(high)) if scale == "log" else (low, high)
+        if around is None:
+            x = rng.uniform(a, b)
         else:
-            trials.append({"regParam": float(10 ** rng.uniform(-6, -1)), "maxIter": rng.choice([25, 50, 100])})
-    return trials
+            centre = math.log(around[name]) if scale == "log" else around[name]
+            x = min(b, max(a, rng.gauss(centre, NEAR * (b - a))))
+        out[name] = min(high, max(low, math.exp(x))) if scale == "log" else round(x) if scale == "int" else x
+    return out
+
+
+def parameter_trials(n_trials: int, *, seed: int = 42, kind: str = "poisson_glm", results: Sequence[tuple[float, dict]] = ()) -> list[dict]:
+    """Seeded parameter sets. Without ``results`` they lie anywhere in the
+    space; with results, pairs of (error, parameters), they lie around the best
+    quarter of those."""
+    if n_trials <= 0:
+        raise ValueError("a search needs at least one trial")
+    space = SEARCH_SPACE[kind]
+    rng = random.Random(f"{seed}/{len(results)}")
+    best = [p for _, p in sorted(results, key=lambda r: r[0])[:max(1, len(results) // 4)]]
+    trials = [_draw(rng, space, best[i % len(best)] if best else None) for i in range(n_trials)]
+    return [{**t, "seed": seed} if kind != "poisson_glm" else t for t in trials]
+
+
+def fold_errors(supervised: DataFrame, plan: FoldPlan, folds: Sequence[int], feature_columns, trials: Sequence[dict], *, kind: str) -> list[list[float]]:
+    """WAPE of each trial on each of ``folds``. The GLMs of all trials and
+    folds are fitted together; tree models one by one, their scores are
+    aggregated in one job."""
+    if kind == "poisson_glm":
+        scored = _score_glm_folds(supervised, plan, folds, feature_columns, trials, "target_demand")
+    else:
+        parts = [
+            score_folds(supervised, plan, feature_columns, kind=kind, params=params, folds=folds).withColumn("trial", F.lit(t + 1))
+            for t, params in enumerate(trials)
+        ]
+        scored = reduce(DataFrame.unionByName, parts)
+    rows = scored.groupBy("trial", "fold").agg(M.wape("target_demand", "model_prediction").alias("wape")).collect()
+    found = {(r["trial"], r["fold"]): r["wape"] for r in rows}
+    return [[found[t + 1, f] for f in folds] for t in range(len(trials))]
 
 
 def search_parameters(
@@ -307,27 +345,42 @@ def search_parameters(
     n_trials: int = 4,
     seed: int = 42,
     kind: str = "poisson_glm",
+    generations: int = 2,
+    keep: int = 3,
 ) -> DataFrame:
-    """Mean expanding-window WAPE per trial, best first: ``trial, params
-    (JSON), wape``. The supervised frame is checkpointed once and shared."""
+    """Adaptive search for the smallest mean expanding-window WAPE, best first:
+    ``trial, params (JSON), wape, folds, generation``.
+
+    Trials come in ``generations``: the first lies anywhere in the space, later
+    ones around the best quarter so far. Within a generation folds are rungs
+    (successive halving): all trials meet the first fold, on each further rung,
+    of twice as many folds, only the best of ``keep`` go on. ``folds`` tells on
+    how many a trial was scored; a trial that met all of them stands before one
+    that did not. ``keep=1`` takes every trial to every fold. The supervised
+    frame is written once and shared."""
+    if n_trials <= 0 or generations <= 0 or keep <= 0:
+        raise ValueError("a search needs at least one trial, one generation and one trial to keep")
     supervised = stable(make_horizon_dataset(feature_frame, horizon_hours=horizon_hours))
     plan = plan_expanding_folds(supervised, train_days=train_days, validation_days=validation_days, step_days=step_days)
     if plan.count == 0:
         raise ValueError(f"the data end before a fold of {train_days} + {validation_days} days does")
     features = infer_feature_columns(supervised)
-    trials = parameter_trials(n_trials, seed=seed, kind=kind)
-    if kind == "poisson_glm":
-        scored = _score_glm_folds(supervised, plan, _usable_folds(supervised, plan), features, trials, "target_demand")
-        per_fold = scored.groupBy("trial", "fold").agg(M.wape("target_demand", "model_prediction").alias("wape"))
-        names = F.create_map(*[x for t, params in enumerate(trials, start=1) for x in (F.lit(t), F.lit(json.dumps(params, sort_keys=True)))])
-        results = per_fold.groupBy("trial").agg(F.avg("wape").alias("wape"))
-        return results.select("trial", F.element_at(names, F.col("trial")).alias("params"), "wape").orderBy("wape", "trial")
-    results = None
-    for trial, params in enumerate(trials, start=1):
-        scored = score_folds(supervised, plan, features, kind=kind, params=params)
-        per_fold = scored.groupBy("fold").agg(M.wape("target_demand", "model_prediction").alias("wape"))
-        row = per_fold.agg(F.avg("wape").alias("wape")).select(
-            F.lit(trial).alias("trial"), F.lit(json.dumps(params, sort_keys=True)).alias("params"), "wape"
-        )
-        results = row if results is None else results.unionByName(row)
-    return results.orderBy("wape", "trial")
+    folds = _usable_folds(supervised, plan)
+    told: list[tuple[dict, list[float], int]] = []
+    sizes = [n_trials // generations + (g < n_trials % generations) for g in range(generations)]
+    for generation, size in enumerate((s for s in sizes if s), start=1):
+        # trials that left early are judged by the folds they met
+        known = [(sum(errors) / len(errors), params) for params, errors, _ in told]
+        trials = parameter_trials(size, seed=seed, kind=kind, results=known)
+        errors: list[list[float]] = [[] for _ in trials]
+        alive, met = list(range(len(trials))), 0
+        while met < len(folds):
+            rung = folds[met:] if keep == 1 else folds[met:max(1, 2 * met)]
+            for i, more in zip(alive, fold_errors(supervised, plan, rung, features, [trials[i] for i in alive], kind=kind)):
+                errors[i] += more
+            met += len(rung)
+            alive = sorted(alive, key=lambda i: (sum(errors[i]) / len(errors[i]), i))[:max(1, -(-len(alive) // keep))] if keep > 1 else alive
+        told += [(params, found, generation) for params, found in zip(trials, errors)]
+    rows = [(t, json.dumps(params, sort_keys=True), float(sum(e) / len(e)), len(e), g) for t, (params, e, g) in enumerate(told, start=1)]
+    rows.sort(key=lambda r: (-r[3], r[2], r[0]))
+    return supervised.sparkSession.createDataFrame(rows, "trial int, params string, wape double, folds int, generation int").coalesce(1)

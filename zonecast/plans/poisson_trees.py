@@ -3,7 +3,9 @@
 The model is ``rate = exp(base + sum of trees)``. Every round fits one tree to
 the gradient ``y - rate`` and the curvature ``rate`` of the Poisson likelihood:
 a node's value is the Newton step ``sum(y - rate) / (sum(rate) + l2)`` times the
-learning rate, a split's gain the drop of the quadratic loss it brings.
+learning rate (the sum above moved towards 0 by ``l1``), a split's gain the drop
+of the quadratic loss it brings. Of a level's splits those of the largest gain
+are made, as long as the tree has fewer than ``max_leaves``.
 
 Features are cut into at most ``bins`` bins at their exact quantiles, found for
 all features together (``functions/selection.py``). Rows are written once as
@@ -45,7 +47,7 @@ from zonecast.session import materialize
 # executors need no installed copy of this module
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-DEFAULTS = {"rounds": 60, "learning_rate": 0.1, "max_depth": 5, "min_rows": 20, "l2": 1.0, "bins": 64, "feature_share": 1.0, "row_share": 1.0, "seed": 42}
+DEFAULTS = {"rounds": 60, "learning_rate": 0.1, "max_depth": 5, "max_leaves": 31, "min_rows": 20, "l1": 0.0, "l2": 1.0, "bins": 64, "feature_share": 1.0, "row_share": 1.0, "seed": 42}
 BLOCK_ROWS = 16_384
 WRITE_EVERY = 10
 
@@ -221,8 +223,8 @@ def train_forest(frame: DataFrame, features: Sequence[str], target: str, params:
     if unknown:
         raise ValueError(f"parameters without a meaning here: {', '.join(unknown)}")
     p = {**DEFAULTS, **(params or {})}
-    if not 2 <= p["bins"] <= 256 or p["max_depth"] < 1 or p["rounds"] < 1 or p["min_rows"] < 1:
-        raise ValueError("bins lie from 2 to 256; rounds, depth and rows of a leaf from 1")
+    if not 2 <= p["bins"] <= 256 or min(p["max_depth"], p["rounds"], p["min_rows"]) < 1 or p["max_leaves"] < 2:
+        raise ValueError("bins lie from 2 to 256, leaves from 2; rounds, depth and rows of a leaf from 1")
     cuts = feature_cuts(frame, features, p["bins"])
     blocks = binned_blocks(frame, features, target, cuts)
     forest = Forest(tuple(features), 0.0, [])
@@ -279,6 +281,11 @@ def _deviance(blocks: DataFrame, forest: Forest, width: int, pending: list[Tree]
     return blocks.mapInArrow(work, "loss double").agg(F.sum("loss")).first()[0]
 
 
+def newton_step(slope, curve, p: dict):
+    """The minimum of the penalised quadratic loss, before the learning rate."""
+    return np.sign(slope) * np.maximum(np.abs(slope) - p["l1"], 0.0) / (curve + p["l2"])
+
+
 def _grow(blocks: DataFrame, forest: Forest, width: int, cuts, pending: list[Tree], asked: list[int], p: dict, seed: int) -> tuple[Tree | None, float]:
     """One tree, level by level, and the deviance before it. None: no split
     brings anything."""
@@ -293,11 +300,12 @@ def _grow(blocks: DataFrame, forest: Forest, width: int, cuts, pending: list[Tre
             node = level[r["place"]]
             tree.rows[node], tree.cover[node] = int(r["rows"]), r["curve"]
             if depth == 0:
-                tree.value[node] = p["learning_rate"] * r["slope"] / (r["curve"] + p["l2"])
+                tree.value[node] = p["learning_rate"] * float(newton_step(r["slope"], r["curve"], p))
             if r["gain"] > 1e-12:
                 best.setdefault(node, r)
+        room = p["max_leaves"] - tree.feature.count(-1)
         level = []
-        for node, r in sorted(best.items()):
+        for node, r in sorted(list(best.items())[:max(room, 0)]):
             feature = int(r["feature"])
             tree.feature[node], tree.bin[node], tree.gain[node] = feature, int(r["bin"]), r["gain"]
             tree.threshold[node] = float(cuts[feature][int(r["bin"])])
@@ -306,7 +314,7 @@ def _grow(blocks: DataFrame, forest: Forest, width: int, cuts, pending: list[Tre
                 (tree.left[node], r["left_slope"], r["left_curve"], r["left_rows"]),
                 (tree.right[node], r["slope"] - r["left_slope"], r["curve"] - r["left_curve"], r["rows"] - r["left_rows"]),
             ):
-                tree.value[child] = p["learning_rate"] * slope / (curve + p["l2"])
+                tree.value[child] = p["learning_rate"] * float(newton_step(slope, curve, p))
                 tree.rows[child], tree.cover[child] = int(n), curve
                 level.append(child)
         if not level:
@@ -346,7 +354,7 @@ def _level_splits(blocks: DataFrame, forest: Forest, width: int, cuts, pending:
         left = np.cumsum(total, axis=2)[:, :, :-1]
         whole = total.sum(axis=2)[:, :, None]
         right = whole - left
-        score = lambda s: s[0] ** 2 / (s[1] + p["l2"])
+        score = lambda s: newton_step(s[0], s[1], p) ** 2 * (s[1] + p["l2"])
         gain = score(left) + score(right) - score(whole)
         gain[(left[2] < p["min_rows"]) | (right[2] < p["min_rows"])] = 0.0
         gain = np.maximum(gain, 0.0)
