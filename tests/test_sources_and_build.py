@@ -229,3 +229,59 @@ def test_table_readers_check_what_they_read(spark, tmp_dir):
     for call in (lambda: tb.read_features(spark, path, feature_columns=["note"]), lambda: tb.read_scored_window(spark, path, actual_column="target"), lambda: tb.read_features(spark, path, feature_columns=["nowhere"])):
         with pytest.raises(ValueError):
             call()
+
+
+# ---- reports -----------------------------------------------------------------------
+def read_report(path):
+    return [json.loads(x) for f in sorted(os.listdir(path)) if f.endswith(".json") for x in open(os.path.join(path, f))]
+
+
+def weekly_mart(spark, hours=24 * 30):
+    from helpers import demand_df
+
+    start = datetime(2024, 3, 1)
+    level = lambda i, z: 4 + z % 5 + (6 if 8 <= i % 24 < 20 else 0) + (i * 7 + z) % 3
+    return demand_df(spark, [(start + timedelta(hours=i), z, level(i, z)) for i in range(hours) for z in (4, 12)])
+
+
+FOLDS = {"horizon_hours": 6, "train_days": 15, "validation_days": 4, "step_days": 4}
+
+
+def test_benchmark_report(spark, tmp_dir):
+    rp.write_benchmark_report(weekly_mart(spark), tmp_dir, **FOLDS)
+    (report,) = read_report(os.path.join(tmp_dir, "benchmark"))
+    assert report["horizon_hours"] == 6 and [f["fold"] for f in report["folds"]] == list(range(1, len(report["folds"]) + 1))
+    for name, mean in report["summary"].items():
+        assert mean == pytest.approx(sum(f[name] for f in report["folds"]) / len(report["folds"]))
+
+
+def test_training_and_explanation_reports(spark, tmp_dir):
+    from zonecast.operators.features import build_features
+    from zonecast.plans.models import load_model_bundle
+
+    bundle, mart = os.path.join(tmp_dir, "bundle"), weekly_mart(spark)
+    for version in (1, 2):
+        report = rp.train_and_report(mart, bundle, tmp_dir, **FOLDS).first()
+        assert report.model_version == version and report.model_dir == bundle
+    model = load_model_bundle(bundle)
+    assert list(report.feature_names) == list(model.feature_names) and model.horizon_hours == report.horizon_hours == 6
+    assert report.summary.wape == pytest.approx(sum(f.wape for f in report.folds) / len(report.folds)) and len(report.folds) >= 2
+    features = build_features(mart)
+    rp.write_explanation_report(bundle, features, tmp_dir, top_n=5)
+    (told,) = read_report(os.path.join(tmp_dir, "explanation"))
+    sizes = [f["mean_abs_contribution"] for f in told["features"]]
+    assert told["horizon_hours"] == 6 and len(sizes) == 5 and sizes == sorted(sizes, reverse=True)
+    assert told["rows_explained"] == features.filter("demand_lag_168h IS NOT NULL").count()
+    with pytest.raises(ValueError):
+        rp.explanation_report(model, features, top_n=0)
+
+
+def test_monitoring_report_file(spark, tmp_dir):
+    rows = [(float(i % 9), float(i % 4), 10.0 + i % 5, 10.0) for i in range(200)]
+    reference = spark.createDataFrame(rows, "a double, b double, actual double, prediction double")
+    current = reference.withColumn("b", F.col("b") + 30)
+    rp.write_monitoring_report(reference, current, tmp_dir, feature_names=["a", "b"])
+    (report,) = read_report(os.path.join(tmp_dir, "monitoring"))
+    assert report["overall_status"] == "critical" and [d["feature"] for d in report["drift"]] == ["b", "a"]
+    assert [d["status"] for d in report["drift"]] == ["drift", "stable"] and report["drift_features"] == 1
+    assert report["max_psi"] == report["drift"][0]["psi"] and report["current_observations"] == 200

@@ -28,12 +28,15 @@ def _resolve(names, seen, order):
         order.append(name)
 
 
-def with_ctes(body: str, *deps: str) -> str:
+def with_ctes(body: str, *deps: str, once: bool = False) -> str:
+    """``body`` after the named tables and all they need; with ``once`` each of
+    them is computed a single time, however often it is named."""
     order: list[str] = []
     _resolve(deps, set(), order)
     if not order:
         return body
-    parts = ",\n".join(f"{name} AS (\n{_CTES[name][0].strip()}\n)" for name in order)
+    how = "AS MATERIALIZED" if once else "AS"
+    parts = ",\n".join(f"{name} {how} (\n{_CTES[name][0].strip()}\n)" for name in order)
     return f"WITH {parts}\n{body}"
 
 

@@ -24,12 +24,13 @@ from zonecast.session import materialize
 from zonecast.sources.sinks import write_json_report
 
 
-def _nested(frame: DataFrame, order: list[str | Column], *, descending: bool = False) -> Column:
-    """The (small, aggregated) frame as an array of its rows, ordered."""
-    names = [c for c in order if isinstance(c, str)]
-    rest = [c for c in frame.columns if c not in names]
-    rows = F.sort_array(F.collect_list(F.struct(*order, *rest)), asc=not descending)
-    return frame.agg(rows.alias("rows")).scalar()
+def _nested(frame: DataFrame, order: Sequence[str], *, largest_first: str | None = None) -> Column:
+    """The (small, aggregated) frame as an array of its rows: by ``order``,
+    after ``largest_first`` where that is given."""
+    keys = ([(-F.col(largest_first)).alias("_first")] if largest_first else []) + list(order)
+    rows = F.sort_array(F.collect_list(F.struct(*keys, *[c for c in frame.columns if c not in order])))
+    plain = F.transform(rows, lambda r: F.struct(*[r[c].alias(c) for c in frame.columns]))
+    return frame.agg(plain.alias("rows")).scalar()
 
 
 def _one_row(frame: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def eda_report(frame: DataFrame, *, top_n: int = 20, zone_lookup: DataFrame | No
         F.struct(*overview.columns).alias("overview"),
         _nested(eda.hourly_profile(frame), ["hour"]).alias("hourly_profile"),
         _nested(eda.weekday_profile(frame), ["weekday"]).alias("weekday_profile"),
-        _nested(top, ["total_demand", "zone_id"], descending=True).alias("top_zones"),
+        _nested(top, ["zone_id"], largest_first="total_demand").alias("top_zones"),
     )
 
 
@@ -139,9 +140,7 @@ def monitoring_payload(
     options = {"feature_names": feature_names, "bins": bins}
     report = monitoring_report(reference, current, actual_column=actual_column, prediction_column=prediction_column, **options)
     drift = feature_drift_report(reference, current, **options)
-    ordered = _nested(drift, [(-F.col("psi")).alias("_order"), "feature"])
-    told = F.transform(ordered, lambda r: F.struct(r["feature"].alias("feature"), r["psi"].alias("psi"), r["status"].alias("status")))
-    return report.withColumn("drift", told)
+    return report.withColumn("drift", _nested(drift, ["feature"], largest_first="psi"))
 
 
 def write_monitoring_report(reference: DataFrame, current: DataFrame, output_dir: str, **kwargs) -> str:
@@ -157,12 +156,11 @@ def explanation_report(model: md.DemandModel, frame: DataFrame, *, top_n: int =
         raise ValueError("a report names at least one feature")
     rows = md.complete_cases(frame, model.feature_names).agg(F.count(F.lit(1))).scalar()
     top = md.global_contributions(model, frame).limit(top_n)
-    ordered = _nested(top, [(-F.col("mean_abs_contribution")).alias("_order"), "feature"])
-    told = F.transform(
-        ordered,
-        lambda r: F.struct(r["feature"].alias("feature"), r["mean_abs_contribution"].alias("mean_abs_contribution"), r["importance_share"].alias("importance_share")),
+    return _one_row(frame).select(
+        F.lit(model.horizon_hours).alias("horizon_hours"),
+        rows.alias("rows_explained"),
+        _nested(top, ["feature"], largest_first="mean_abs_contribution").alias("features"),
     )
-    return _one_row(frame).select(F.lit(model.horizon_hours).alias("horizon_hours"), rows.alias("rows_explained"), told.alias("features"))
 
 
 def write_explanation_report(model_dir: str, frame: DataFrame, output_dir: str, *, top_n: int = 30) -> str:

@@ -6,6 +6,7 @@ the logic lives in the operators, this module only wires parameters.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from zonecast.operators import horizons as hz
 from zonecast.operators import mart as mt
 from zonecast.operators import quality as q
 from zonecast.plans import backtest as bt
+from zonecast.plans import fold_glm as fg
 from zonecast.sources import driver_tables as dt
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +149,12 @@ register(
     O.rounded(O.with_ctes("SELECT * FROM features", "features"), O.ROLL_COLUMNS),
 )(lambda spark, sf: round_doubles(_features(spark, sf)))
 
+BLOCK_HOURS = 96
+register(
+    "build_features_in_blocks",
+    O.rounded(O.with_ctes("SELECT * FROM features", "features"), O.ROLL_COLUMNS),
+)(lambda spark, sf: round_doubles(feat.build_features(_mart(spark, sf), block_hours=BLOCK_HOURS)))
+
 # ---- horizons and baselines ---------------------------------------------------
 for _h in (1, 6, 24):
     register(
@@ -172,6 +180,11 @@ register(
     O.with_ctes(f"SELECT * FROM bbase{HORIZON}", f"bbase{HORIZON}"),
 )(lambda spark, sf: _baseline(spark, sf))
 
+register(
+    "direct_seasonal_baseline_in_blocks",
+    O.with_ctes(f"SELECT * FROM bbase{HORIZON}", f"bbase{HORIZON}"),
+)(lambda spark, sf: hz.attach_direct_seasonal_baseline(_mart(spark, sf), horizon_hours=HORIZON, block_hours=BLOCK_HOURS))
+
 # ---- folds and backtests --------------------------------------------------------
 O.fold_ctes(f"bbase{HORIZON}", TRAIN_DAYS, VALIDATION_DAYS, STEP_DAYS, "bfolds")
 
@@ -294,7 +307,7 @@ from zonecast.functions import metrics as M  # noqa: E402
 from zonecast.functions.status import classify_performance_regression  # noqa: E402
 from zonecast.sources.trips import month_windows  # noqa: E402
 from zonecast.functions.timecols import ntz_literal  # noqa: E402
-from zonecast.session import materialize  # noqa: E402
+from zonecast.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 
 def _lookup(spark, sf):
@@ -525,6 +538,23 @@ FROM scored""",
     ),
 )(lambda spark, sf: round_doubles(dg.residual_summary(_scored(spark, sf))))
 
+register(
+    "residual_summary_by_zone",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT zone_id, avg(actual - prediction) AS bias,
+       quantile_cont(abs(actual - prediction), 0.5) AS median_absolute_error,
+       quantile_cont(abs(actual - prediction), 0.9) AS p90_absolute_error,
+       avg(CAST(actual - prediction > 0 AS DOUBLE)) AS underprediction_share,
+       avg(CAST(actual - prediction < 0 AS DOUBLE)) AS overprediction_share
+FROM scored GROUP BY zone_id""",
+            "scored",
+        ),
+        RS_COLS,
+    ),
+)(lambda spark, sf: round_doubles(dg.residual_summary(_scored(spark, sf), by=["zone_id"])))
+
 register(
     "error_rows",
     O.rounded(
@@ -675,14 +705,31 @@ register("conformal_radius", O.rounded(O.with_ctes("SELECT * FROM radius", "radi
 )
 
 
+register(
+    "conformal_radius_by_zone",
+    O.rounded(
+        O.with_ctes(
+            """
+SELECT zone_id, 0.9 AS coverage, e AS radius FROM (
+  SELECT zone_id, e, row_number() OVER (PARTITION BY zone_id ORDER BY e) - 1 AS k, count(*) OVER (PARTITION BY zone_id) AS n
+  FROM (SELECT zone_id, abs(actual - prediction) AS e FROM ref_window))
+WHERE k = CAST(ceil(least(ceil((n + 1) * 0.9) / n, 1.0) * (n - 1)) AS BIGINT)""",
+            "ref_window",
+        ),
+        ["coverage", "radius"],
+    ),
+)(lambda spark, sf: round_doubles(iv.conformal_radius(_windows(spark, sf)[0], coverage=0.9, by=["zone_id"])))
+
+
 @register(
     "conformal_bounds",
     O.rounded(
         O.with_ctes(
-            "SELECT timestamp, zone_id, actual, prediction, greatest(prediction - (SELECT radius FROM radius), 0.0) AS lower, "
-            "prediction + (SELECT radius FROM radius) AS upper FROM cur_window",
+            "SELECT c.timestamp, c.zone_id, c.actual, c.prediction, greatest(c.prediction - r.radius, 0.0) AS lower, "
+            "c.prediction + r.radius AS upper FROM cur_window c CROSS JOIN radius r",
             "cur_window",
             "radius",
+            once=True,
         ),
         ["prediction", "lower", "upper"],
     ),
@@ -778,7 +825,27 @@ FROM tflags GROUP BY month""",
     )
 )
 
-# ---- fitted models (no SQL oracle: rows-only check + own tests) -------------------------
+O.cte(
+    "tgrid",
+    """
+SELECT h.timestamp, z.zone_id, CAST(coalesce(c.demand, 0) AS INTEGER) AS demand
+FROM (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp FROM tcounts) h
+CROSS JOIN (SELECT DISTINCT zone_id FROM tcounts) z
+LEFT JOIN tcounts c ON c.timestamp = h.timestamp AND c.zone_id = z.zone_id""",
+    "tcounts",
+)
+
+
+@register("month_update", O.with_ctes("SELECT strftime(timestamp, '%Y-%m') AS month, * FROM tgrid", "tgrid", once=True))
+def _month_update(spark, sf):
+    """The month is built from its first half, then brought up to date."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zonecast-tables/build-{uuid.uuid4().hex}"
+    bd.build_dataset_range(dt.trips(spark, sf, None, MERGE_SPLIT), BUILD_START, BUILD_END, folder)
+    bd.update_months(_trips(spark, sf), [BUILD_END], folder)
+    return spark.read.parquet(f"{folder}/demand").select(F.col("month").cast("string"), "timestamp", "zone_id", "demand")
+
+
+# ---- fitted models (rows-only where SQL cannot fit them, identities where it can check them) ----
 from zonecast.plans import models as md  # noqa: E402
 
 MODEL_SPLIT = "2024-01-21 00:00:00"
@@ -810,6 +877,95 @@ def _importance(spark, sf):
     return md.feature_importance_frame(_fitted(spark, sf)[0])
 
 
+def _fitted_trees(spark, sf):
+    train, score = _model_frames(spark, sf)
+    model = md.train_model(train, target_column="target_demand", kind="poisson_trees", params=TREE_PARAMS, horizon_hours=HORIZON)
+    return model, score
+
+
+TREE_PARAMS = {"rounds": 12, "max_depth": 4, "learning_rate": 0.3, "bins": 32}
+
+
+@register("train_score_poisson_trees")
+def _train_score_trees(spark, sf):
+    model, score = _fitted_trees(spark, sf)
+    return model.predict(score).select("timestamp", "zone_id", "target_demand", "prediction")
+
+
+@register("tree_split_counts")
+def _tree_splits(spark, sf):
+    return md.split_counts(_fitted_trees(spark, sf)[0])
+
+
+@register("tree_global_contributions")
+def _tree_global(spark, sf):
+    model, score = _fitted_trees(spark, sf)
+    return md.global_contributions(model, score)
+
+
+O.cte(
+    "supervised",
+    f"SELECT * FROM (SELECT f.*, lead(demand, {HORIZON}) OVER ({O.W}) AS target_demand, "
+    f"timestamp + INTERVAL {HORIZON} HOUR AS forecast_timestamp FROM features f) WHERE target_demand IS NOT NULL",
+    "features",
+)
+COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in ("demand_lag_168h", *O.ROLL_COLUMNS))
+
+
+@register(
+    "contribution_identity",
+    O.with_ctes(
+        f"SELECT kind, count(*) AS scored, CAST(0 AS BIGINT) AS unexplained FROM supervised, (VALUES ('poisson_glm'), ('poisson_trees')) AS k(kind) "
+        f"WHERE timestamp >= TIMESTAMP '{MODEL_SPLIT}' AND {COMPLETE} GROUP BY kind",
+        "supervised",
+    ),
+)
+def _contribution_identity(spark, sf):
+    """For both kinds of model: in how many of the scored rows base and
+    contributions do not add up to the logarithm of the prediction."""
+    parts = []
+    for kind, (model, score) in (("poisson_glm", _fitted(spark, sf)), ("poisson_trees", _fitted_trees(spark, sf))):
+        told = md.local_contributions(model, score).select("timestamp", "zone_id", "explained_value")
+        both = model.predict(score).select("timestamp", "zone_id", "prediction").join(told, ["timestamp", "zone_id"])
+        off = F.abs(F.ln("prediction") - F.col("explained_value")) > 1e-6
+        parts.append(both.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("scored"), F.count_if(off).alias("unexplained")))
+    return parts[0].unionByName(parts[1])
+
+
+O.fold_ctes("supervised", TRAIN_DAYS, VALIDATION_DAYS, STEP_DAYS, "sfolds")
+
+
+@register(
+    "glm_fold_totals",
+    O.with_ctes(
+        f"""
+SELECT f.fold, count(*) AS train_rows, CAST(sum(s.target_demand) AS BIGINT) AS target_total, TRUE AS balanced
+FROM supervised s JOIN sfolds f ON s.timestamp >= f.train_start AND s.timestamp < f.train_end AND s.forecast_timestamp < f.validation_start
+WHERE {COMPLETE} GROUP BY f.fold""",
+        "supervised",
+        "sfolds",
+        once=True,
+    ),
+)
+def _glm_fold_totals(spark, sf):
+    """The fits of all folds: at the maximum of the likelihood the fitted rates
+    of a fold's training rows add up to its targets."""
+    supervised = materialize(hz.make_horizon_dataset(_features(spark, sf), horizon_hours=HORIZON))
+    plan = _fold_plan(supervised)
+    features = md.infer_feature_columns(supervised)
+    clean = md.complete_cases(supervised, [*features, "target_demand"]).withColumn("first", plan.first_training_fold()).filter(F.col("first") <= plan.count)
+    design = [md.design_column(f) for f in features]
+    blocks = fg.design_blocks(clean, design, "target_demand", "first")
+    models = fg.fit_folds(blocks, len(design), range(1, plan.count + 1), [1e-4])
+    rows = clean.withColumn("fold", F.explode(F.sequence("first", F.lit(plan.count))))
+    rate = fg.score_column({f: m for (f, _), m in models.items()}, design, "fold")
+    totals = rows.select("fold", "target_demand", rate.alias("rate")).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("train_rows"), F.sum("target_demand").alias("target_total"), F.sum("rate").alias("fitted")
+    )
+    balanced = F.abs(F.col("fitted") - F.col("target_total")) <= 1e-5 * F.col("target_total")
+    return totals.select(F.col("fold").cast("int").alias("fold"), "train_rows", "target_total", balanced.alias("balanced"))
+
+
 @register("batch_forecast")
 def _batch(spark, sf):
     model, score = _fitted(spark, sf)
