@@ -373,6 +373,26 @@ def test_quality_held_out_accuracy(spark):
     assert quality_ngrams.train_quality(docs, labels.limit(0)).weights is None
 
 
+def test_quality_of_few_labels_and_several_texts(spark):
+    """Five labels of each class always give a model, and the same one whatever
+    the order of the rows of a repeated id."""
+    rng = np.random.default_rng(12)
+    for seed in range(6):
+        ids = rng.choice(10**6, 10, replace=False).tolist()
+        rows = [(int(d), ("good words here " if i % 2 else "BAD!! TEXT$$ ") * 10) for i, d in enumerate(ids)]
+        rows += [(int(ids[0]), "another text"), (int(ids[0]), "a third text")]
+        labels = spark.createDataFrame([(int(d), i % 2) for i, d in enumerate(ids)], "doc_id long, quality int")
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        sample = quality_ngrams.labelled_sample(docs, labels)
+        assert sorted(tuple(r) for r in sample.collect()) == sorted(tuple(r) for r in quality_ngrams.labelled_sample(docs.orderBy("text"), labels).collect())
+        held = [(r["label"], r["held"]) for r in sample.collect()]
+        assert all(held.count((c, True)) == 1 and held.count((c, False)) == 4 for c in (0.0, 1.0))
+        if seed == 0:
+            model = quality_ngrams.train_quality(docs, labels)
+            assert model.weights is not None
+            assert quality_ngrams.train_quality(docs, labels.limit(9)).weights is None
+
+
 # ---- op9 ---------------------------------------------------------------------
 @pytest.mark.parametrize("hot", [fm_dedup.HOT, 0])
 def test_substring_dedup(docs, pairs, nothing, monkeypatch, hot):

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.llm.common import Words, byte_slices, documents_view, store, texts_of
@@ -166,8 +166,9 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """``doc_id``, ``text``, ``label``, ``held``: at most ``per_class``
-    labelled documents of each class, those whose id hashes lowest; a fifth
-    of them is held out of the fit."""
+    labelled documents of each class, those whose id hashes lowest; of each
+    class every fifth, from the first on, is held out of the fit. An id with
+    several texts counts with the one whose hash is smallest."""
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0))
@@ -181,10 +182,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
         # the classes' rows with the lowest hashes: a bounded top-k each
         few = marks.where(F.col("label") == label).orderBy("_zc_h", "doc_id").limit(per_class)
         picked = few if picked is None else picked.unionByName(few)
-    # at most 2 * per_class rows of three numbers: bounded by the parameter
+    # at most 2 * per_class rows of a few numbers: bounded by the parameter
+    place = F.row_number().over(Window.partitionBy("label").orderBy("_zc_h", "doc_id"))
+    picked = picked.select("doc_id", "label", (place % 5 == 1).alias("held"))
     texts = documents_view(docs).join(F.broadcast(picked), "doc_id")
-    texts = texts.dropDuplicates(["doc_id"])
-    return texts.select("doc_id", "text", "label", (F.pmod("_zc_h", F.lit(5)) == 0).alias("held"))
+    text = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return texts.groupBy("doc_id", "label", "held").agg(text).select("doc_id", "text", "label", "held")
 
 
 class SparseRows:
@@ -285,8 +288,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE
             slots, lengths = _flat_column(batch.column("slots"), "<i4")
             parts.append((slots, _flat_column(batch.column("shares"), "<f4")[0], lengths))
         y, out = np.array(label), np.array(held, dtype=bool)
-        if min(sum(y == 0), sum(y == 1)) < MIN_CLASS or len(set(y[out])) < 2 or len(set(y[~out])) < 2:
-            return
+        if min(sum(y == 0), sum(y == 1)) < MIN_CLASS:
+            return  # with so many of each class, both parts have both
         x = SparseRows(parts)
         parts.clear()
         weights, intercept = fit_logistic(x, y, ~out, reg, max_iter)
