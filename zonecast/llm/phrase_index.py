@@ -151,18 +151,25 @@ def search_index(index: DataFrame, items: list[tuple[str, bytes]], *, window: in
         raise ValueError(f"slop must be from 0 to {GAP - 1}")
     named, windows = item_windows(items, window)
     terms = hashes_of(named)
+    # places of each window's terms side by side; short ones are filled with a
+    # place behind the last term, which counts as there in every segment
+    longest = max((len(w) for _, w in windows), default=1)
+    table = np.full((len(windows), longest), len(named), dtype=np.int32)
+    for i, (_, places) in enumerate(windows):
+        table[i, :len(places)] = places
+    owners, sizes = [name for name, _ in windows], np.array([len(w) for _, w in windows], dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                yield _search_segment(batch.slice(row, 1).to_pylist()[0], terms, windows, slop)
+                yield _search_segment(batch.slice(row, 1).to_pylist()[0], terms, owners, table, sizes, slop)
 
     return index.mapInArrow(
         run, "segment long, nth int, doc_id long, n_words long, item_ids array<string>, spans array<struct<a:long,b:long>>"
     )
 
 
-def _search_segment(seg: dict, terms: np.ndarray, windows: list[tuple[str, np.ndarray]], slop: int) -> pa.RecordBatch:
+def _search_segment(seg: dict, terms: np.ndarray, owners: list[str], table: np.ndarray, sizes: np.ndarray, slop: int) -> pa.RecordBatch:
     postings = np.frombuffer(seg["postings"], "<u4").astype(np.int64)
     ends = np.frombuffer(seg["list_ends"], "<u4").astype(np.int64)
     begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
@@ -177,18 +184,21 @@ def _search_segment(seg: dict, terms: np.ndarray, windows: list[tuple[str, np.nd
     hits: list[tuple[np.ndarray, int]] = []
     names: dict[int, set[str]] = {}
     cache: dict[int, np.ndarray] = {}
-    for name, window in windows:
-        codes = here[window]
-        if (codes < 0).any():
-            continue
+    # windows of which a term is not in the segment go all together
+    there = np.append(here >= 0, True)
+    possible = np.arange(len(table))
+    for column in range(table.shape[1]):
+        possible = possible[there[table[possible, column]]]
+    for w in possible.tolist():
+        name, size = owners[w], int(sizes[w])
         lists = []
-        for c in codes.tolist():
+        for c in here[table[w, :size]].tolist():
             if c not in cache:
                 cache[c] = postings[begins[c]:ends[c]]
             lists.append(cache[c])
         starts = find_phrase(lists, slop)
         if len(starts):
-            hits.append((starts, len(window)))
+            hits.append((starts, size))
             for d in np.unique(np.searchsorted(firsts, starts, side="right") - 1).tolist():
                 names.setdefault(d, set()).add(name)
     spans: list[list[dict]] = [[] for _ in range(docs)]
