@@ -37,7 +37,7 @@ THRESHOLD = 0.5
 SAMPLE_PER_CLASS = 2000
 MIN_CLASS = 5
 #: Hashed feature space, and n-gram orders of words and of bytes.
-DIMS = 1 << 15
+DIMS = 1 << 16
 WORD_ORDERS = (1, 2)
 CHAR_ORDERS = (3, 4, 5)
 
