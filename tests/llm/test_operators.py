@@ -78,11 +78,11 @@ def test_cuckoo_filter():
 
 # ---- op3 ---------------------------------------------------------------------
 def test_suffix_tree_base(docs, pairs, nothing):
-    got = rows(suffix_tree_lm.score_documents(docs), "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
+    got = rows(suffix_tree_lm.score_documents(docs, max_words=2), "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
     want = plain.unigram(pairs)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5] for g in got], [w[5] for w in want])
-    assert suffix_tree_lm.score_documents(nothing).count() == 0
+    assert suffix_tree_lm.score_documents(nothing, max_words=2).count() == 0
 
 
 def chained_texts(n=400):
@@ -102,7 +102,7 @@ def test_suffix_tree_learns_and_sums_to_one(spark):
     counts = suffix_tree_lm.word_counts(docs)
     heavy = suffix_tree_lm.heavy_words(counts)
     corpus = suffix_tree_lm.encode_corpus(docs, heavy)
-    tree = suffix_tree_lm.grow_tree(corpus, heavy)
+    tree = suffix_tree_lm.grow_tree(corpus, heavy, max_words=2)
     assert not np.isnan(tree.word_rest).all()
     r = suffix_tree_lm.score_corpus(corpus, counts, tree).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > 0.7 * r[1]  # negative: the tree explains far more
@@ -125,7 +125,7 @@ def test_suffix_tree_learns_and_sums_to_one(spark):
 
 @pytest.mark.parametrize("penalty", [0.0, 0.2, 1.0])
 def test_suffix_tree_scores(spark, docs, pairs, penalty):
-    options = {"min_context": 5, "min_symbol": 2, "penalty": penalty}
+    options = {"min_context": 5, "min_symbol": 2, "penalty": penalty, "max_words": 2}
     cases = [(docs, pairs), (spark.createDataFrame(rows3 := list(enumerate(chained_texts(60))), "doc_id long, text string").repartition(4), rows3)]
     for frame, texts in cases:
         got = rows(suffix_tree_lm.score_documents(frame, **options), "doc_id", "score")
@@ -133,7 +133,7 @@ def test_suffix_tree_scores(spark, docs, pairs, penalty):
 
 
 def test_suffix_tree_of_small_segments_and_full_bit_sets(spark, docs, pairs, monkeypatch):
-    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1}
+    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1, "max_words": 2}
     want = [s for _, s in plain.suffix_tree(pairs, **options)]
     counts = suffix_tree_lm.word_counts(docs)
     heavy = suffix_tree_lm.heavy_words(counts)
@@ -148,14 +148,14 @@ def test_suffix_tree_grows_with_the_corpus(spark):
         texts = [" ".join(f"w{i}{x}" for x in "ab") + " " + " ".join(f"w{i}{x}" for x in "abc") for i in range(n) for _ in range(40)]
         docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
         heavy = suffix_tree_lm.heavy_words(suffix_tree_lm.word_counts(docs))
-        return suffix_tree_lm.grow_tree(suffix_tree_lm.encode_corpus(docs, heavy), heavy).pairs.count()
+        return suffix_tree_lm.grow_tree(suffix_tree_lm.encode_corpus(docs, heavy), heavy, max_words=2).pairs.count()
 
     assert size(40) >= 3.5 * size(10) > 0
 
 
 def test_suffix_tree_does_not_depend_on_the_share_of_a_word(spark, docs, pairs, monkeypatch):
     """Words below ``HEAVY`` of all tokens are contexts and symbols like any other."""
-    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1}
+    options = {"min_context": 5, "min_symbol": 2, "penalty": 0.1, "max_words": 2}
     phrase = [(1000 + i, "foo bar baz qux") for i in range(60)]
     frame = docs.select("doc_id", "text").union(spark.createDataFrame(phrase, "doc_id long, text string"))
     want = [s for _, s in plain.suffix_tree(pairs + phrase, **options)]
@@ -181,6 +181,19 @@ def test_suffix_tree_has_contexts_of_more_than_two_words(spark):
     assert len(tree.levels) > 2
 
 
+def test_suffix_tree_of_any_length(spark):
+    """No bound on the contexts, against all contexts of up to eight words."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(6)]
+    texts = [" ".join([*rng.choice(words, 3), *(["a b c d e"] if i % 2 else ["z b c d f"]), *rng.choice(words, 2)]) for i in range(60)]
+    pairs = list(enumerate(texts))
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    options = {"min_context": 6, "min_symbol": 3, "penalty": 0.3}
+    got = rows(suffix_tree_lm.score_documents(docs, **options), "doc_id", "score")
+    assert np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(pairs, **options, max_words=8)])
+    assert not np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(pairs, **options, max_words=2)])
+
+
 def plain_hash(word):
     from zonecast.llm.common import hashes_of
 

@@ -53,9 +53,9 @@ def unigram(docs):
              sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tk)) for d, tk in tokens]
 
 
-def suffix_tree(docs, min_context, min_symbol, penalty, discount=0.75):
-    """log10 probability of each text: contexts of two words, one, none."""
-    counts = {k: collections.Counter() for k in (1, 2, 3)}
+def suffix_tree(docs, min_context, min_symbol, penalty, max_words, discount=0.75):
+    """log10 probability of each text: contexts of up to ``max_words`` words."""
+    counts = {k: collections.Counter() for k in range(1, max_words + 2)}
     tokens = [(d, words(low(t)) + [None]) for d, t in docs]
     for d, tk in tokens:
         if zlib.crc32(str(d).encode()) % 7 != 2:
@@ -72,7 +72,7 @@ def suffix_tree(docs, min_context, min_symbol, penalty, discount=0.75):
         shares, factor = states[ctx]
         return shares[w] if w in shares else factor * p(ctx[1:], w)
 
-    for size in (1, 2):
+    for size in range(1, max_words + 1):
         found = {}
         for key, c in counts[size + 1].items():
             if c >= min_symbol and counts[size][key[:-1]] >= min_context:
@@ -85,7 +85,7 @@ def suffix_tree(docs, min_context, min_symbol, penalty, discount=0.75):
             gain = sum(c * math.log(shares[w] / upper[w]) for w, c in listed.items()) + (total - sum(listed.values())) * math.log(factor)
             if gain > penalty * 0.5 * math.log(max(n, 2)) * (len(listed) + 1):
                 states[ctx] = (shares, factor)
-    return [(d, sum(math.log10(p(tuple(tk[max(0, i - 2):i]), w)) for i, w in enumerate(tk))) for d, tk in tokens]
+    return [(d, sum(math.log10(p(tuple(tk[max(0, i - max_words):i]), w)) for i, w in enumerate(tk))) for d, tk in tokens]
 
 
 def decontaminate(docs, items, size=10):
