@@ -194,6 +194,25 @@ def test_suffix_tree_of_any_length(spark):
     assert not np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(pairs, **options, max_words=2)])
 
 
+def test_suffix_tree_dealt_in_many_buckets_and_rounds(spark, monkeypatch):
+    """Contexts split further before dealing, several buckets, and contexts that
+    are open where the words dealt end: the scores stay those of the brute force."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(5)]
+    texts = [" ".join([*rng.choice(words, 3), ("a" if i % 2 else "z") + f" b c d e g h {i % 2}", *rng.choice(words, 2)]) for i in range(90)]
+    pairs = list(enumerate(texts))
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
+    options = {"min_context": 6, "min_symbol": 3, "penalty": 0.3}
+    want = [s for _, s in plain.suffix_tree(pairs, **options, max_words=9)]
+    for dealt, bucket, history, share in ((1 << 19, 1 << 10, 1, 0.0), (40, 1 << 12, 2, 0.0), (40, 1 << 23, 1, 0.02)):
+        monkeypatch.setattr(suffix_tree_lm, "DEALT", dealt)
+        monkeypatch.setattr(suffix_tree_lm, "BUCKET_WORDS", bucket)
+        monkeypatch.setattr(suffix_tree_lm, "HISTORY", history)
+        monkeypatch.setattr(suffix_tree_lm.heavy_words, "__defaults__", (share,))
+        got = rows(suffix_tree_lm.score_documents(docs, **options), "doc_id", "score")
+        assert np.allclose([g[1] for g in got], want)
+
+
 def plain_hash(word):
     from zonecast.llm.common import hashes_of
 
