@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import tests_llm_plain as plain
 from zonecast.llm import (
-    fm_dedup, html_blocks, license_scan, line_dedup, phrase_index, quality_ngrams, queries, simhash_pivots, simple8b, source_mix, suffix_tree_lm,
+    fm_dedup, html_blocks, line_dedup, phrase_index, quality_ngrams, queries, simhash_pivots, simple8b, source_mix, suffix_tree_lm,
 )
 from zonecast.llm.components import connected_components
 
@@ -342,42 +342,6 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert connected_components(frame.limit(0)).count() == 0
 
 
-# ---- op7 ---------------------------------------------------------------------
-def test_license_scan(spark):
-    files = spark.createDataFrame([
-        ("a/LICENSE", "Released under the MIT License."), ("a/b/x", "plain text"), ("a/b/c/LICENSE", "Licensed under the Apache License, Version 2.0."),
-        ("a/b/c/d/y", None), ("z/y", ""), ("top", "words\nThis work is licensed under the GNU General Public License, version 3.\nwords"), (None, "nothing"),
-        ("a/b/x", "plain text"),
-    ], "path string, text string")
-    scanned = license_scan.scan_own(files)
-    got = rows(license_scan.inherit(scanned, F.col("path").endswith("LICENSE")), "path", "own", "licence", "origin")
-    assert got == [
-        ("a/LICENSE", "MIT", "MIT", "own"), ("a/b/c/LICENSE", "Apache-2.0", "Apache-2.0", "own"), ("a/b/c/d/y", None, "Apache-2.0", "a/b/c"),
-        ("a/b/x", None, "MIT", "a"), ("a/b/x", None, "MIT", "a"), ("top", "GPL-3.0", "GPL-3.0", "own"), ("z/y", None, None, None), (None, None, None, None),
-    ]
-    assert license_scan.inherit(license_scan.scan_own(files.limit(0)), F.lit(True)).count() == 0
-
-
-def test_license_cosines_by_hand(spark):
-    texts = ["Released under the MIT License", "the the the river", "licence plate"]
-    files = spark.createDataFrame(list(enumerate(texts)), "path long, text string").select(F.col("path").cast("string").alias("path"), "text")
-    vectors = license_scan.fit_templates(files)
-    idf = lambda n: np.log(4 / (n + 1)) + 1
-    assert vectors.idf[b"the"] == pytest.approx(idf(2)) and vectors.idf[b"mit"] == pytest.approx(idf(1)) and vectors.other == pytest.approx(idf(0))
-    score, name = license_scan.best_template([b"mit", b"license", b"plate"], vectors)
-    t = {w: idf(n) for w, n in ((b"released", 1), (b"under", 1), (b"the", 2), (b"mit", 1), (b"license", 1))}
-    v = {b"mit": idf(1), b"license": idf(1), b"plate": idf(0)}
-    others = [score_of(v, x, vectors) for x in license_scan.TEMPLATES]
-    assert score == pytest.approx(max(others)) and name == "MIT"
-    assert score >= sum(t[w] * v[w] for w in t if w in v) / np.sqrt(sum(x * x for x in t.values()) * sum(x * x for x in v.values())) - 1e-12
-
-
-def score_of(v, template, vectors):
-    words = phrase_index.index_words(template[1].encode())
-    t = {w: words.count(w) * vectors.idf[w] for w in words}
-    return sum(t[w] * v[w] for w in t if w in v) / np.sqrt(sum(x * x for x in t.values()) * sum(x * x for x in v.values()))
-
-
 # ---- op8 ---------------------------------------------------------------------
 def test_quality_measures(docs, pairs, nothing):
     model = quality_ngrams.QualityModel(None, 0.0, 1.0, 0.0)

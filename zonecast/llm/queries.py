@@ -17,7 +17,7 @@ from zonecast.llm import (
     fm_dedup, html_blocks, impact_search, license_scan, line_dedup, periodic_runs, phrase_index, phrase_mining, quality_ngrams, simhash_pivots,
     simple8b, source_mix, suffix_tree_lm,
 )
-from zonecast.llm.common import documents_view, texts_of
+from zonecast.llm.common import documents_view, store, texts_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -67,18 +67,18 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_files(docs: DataFrame) -> DataFrame:
     """Documents as files: a folder per source, in it one per language other
-    than English."""
-    parts = [F.col("source"), F.when(F.col("lang") != "en", F.col("lang")), F.col("doc_id").cast("string")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat_ws("/", *parts).alias("path"), F.col("text").cast("string").alias("text"))
+    than English; a document without a source has a folder of its own."""
+    parts = [F.coalesce("source", F.concat(F.lit("unsourced-"), F.col("doc_id").cast("string"))), F.when(F.col("lang") != "en", F.col("lang")), F.col("doc_id").cast("string")]
+    path = F.when(F.col("source").isNotNull() | F.col("doc_id").isNotNull(), F.concat_ws("/", *parts))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), F.col("text").cast("string").alias("text"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = license_scan.scan_own(document_files(_table(spark, sf_dir, "documents")))
-    from zonecast.llm.common import store
-
     files = store(scanned, "scanned-files")
-    # a document that repeats a notice nearly word for word stands for its folder
-    return license_scan.inherit(files, F.col("similarity") >= 0.9).select("doc_id", "path", "own", "licence", "origin", F.round("similarity", 6).alias("similarity"))
+    # a licence file is a document that holds hardly anything but the licence; a notice in running text speaks for that text alone
+    found = license_scan.inherit(files, F.col("coverage") >= 0.8)
+    return found.select("doc_id", "path", "own", "licence", "origin", F.round("similarity", 6).alias("similarity"), F.round("coverage", 6).alias("coverage"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
