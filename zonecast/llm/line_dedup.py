@@ -1,13 +1,18 @@
 """Reversible line dedup: sharded cuckoo filters over exact reference counts.
 
-State is two tables and one derived one. *Postings* say which document holds
-which line key how often; inserting documents appends their rows with sign +1,
-deleting documents appends the same rows with sign -1. *Reference counts* are
-the postings summed per key: documents that hold it and the smallest of them.
-From the counts come the *filters*: shard by shard a cuckoo filter with a
-fingerprint for every key held by two documents or more. When a count crosses
-two in either direction the fingerprint is inserted or deleted, so a deletion
-undoes an insertion exactly.
+State is three tables. *Postings* say which document holds which line key how
+often; inserting documents appends their rows with sign +1, deleting documents
+appends the same rows with sign -1. *Counts* are the postings summed per key
+held by two documents or more: lines, smallest and largest document. *Filters*
+hold, shard by shard, a fingerprint for each of these keys in a cuckoo filter.
+
+A batch changes only the shards that its keys fall into: their counts are
+taken anew for the batch's keys from the postings of those shards (postings
+are written in key order, so a shard is a range of each file), and where a key
+crosses two documents its fingerprint is inserted into, or deleted from, the
+shard's filter, which is read, changed and written back by one task. A filter
+that overflows is built anew from its shard's counts. So a deletion undoes an
+insertion exactly.
 
 Finding what to drop: postings are dealt to the shards and probe their filter;
 what the filter does not know is unshared for certain and ends there, the rest
@@ -18,8 +23,10 @@ lower-cased, as a 128-bit hash; keys below ``MIN_CHARS`` code points are never
 shared.
 
 Defined cases: a null or empty text is one empty line; rows with the same id
-are one document (each row loses its own lines); a null id is one document
-after all others; an empty table gives no rows; other columns are ignored.
+are one document (each row loses its own lines); null ids are one document
+after all others, whose rows are told apart by a hash of their text, so they
+never meet in one group; an empty table gives no rows; other columns are
+ignored.
 """
 from __future__ import annotations
 
@@ -33,10 +40,14 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import ASCII_SPACE, NULL_ID, byte_slices, documents_view, store, texts_of
 
 MIN_CHARS = 10
-#: Keys a shard's filter is sized for (2 bytes each at most half full), and
-#: the number of tasks that share the rows of one shard.
+#: Keys a shard's filter is sized for (2 bytes each at most half full), the
+#: least number of tasks that share the rows of one shard, and the rows of
+#: shared keys for which a shard gets one more of them.
 SHARD_KEYS = 200_000
 SALTS = 8
+TASK_ROWS = 500_000
+#: Ranges of keys that a read names; more are read as one.
+MAX_RANGES = 200
 
 
 def line_key(line: bytes) -> bytes:
@@ -58,14 +69,23 @@ def keyed_lines(text: bytes) -> list[bytes | None]:
     return out
 
 
+def row_hash(text: bytes) -> int:
+    """What tells rows of one id apart: 31 bits of a hash of the text. Texts
+    of one id that share it are treated as one row, with the same result."""
+    from xxhash import xxh32_intdigest
+
+    return xxh32_intdigest(text) >> 1
+
+
 def line_postings(docs: DataFrame) -> DataFrame:
     """``hi``, ``lo`` (the key hash), ``doc`` (id, null as the largest),
-    ``lines``: one row per document row and key."""
+    ``row`` (hash of the text), ``lines``: one row per document row and key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches):
             keys: list[bytes] = []
             doc: list[int] = []
+            row: list[int] = []
             lines: list[int] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
                 counts: dict[bytes, int] = {}
@@ -75,12 +95,13 @@ def line_postings(docs: DataFrame) -> DataFrame:
                 keys += counts
                 lines += counts.values()
                 doc += [NULL_ID if doc_id is None else doc_id] * len(counts)
+                row += [row_hash(text)] * len(counts)
             halves = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_pydict({
-                "hi": pa.array(halves[:, 0]), "lo": pa.array(halves[:, 1]), "doc": pa.array(doc, pa.int64()), "lines": pa.array(lines, pa.int32()),
+                "hi": pa.array(halves[:, 0]), "lo": pa.array(halves[:, 1]), "doc": pa.array(doc, pa.int64()), "row": pa.array(row, pa.int32()), "lines": pa.array(lines, pa.int32()),
             })
 
-    return documents_view(docs).mapInArrow(run, "hi long, lo long, doc long, lines int")
+    return documents_view(docs).mapInArrow(run, "hi long, lo long, doc long, row int, lines int")
 
 
 # ---- cuckoo filter -----------------------------------------------------------
@@ -177,15 +198,38 @@ class CuckooFilter:
             capacity *= 2
 
 
-def shard_of(shards: int):
-    return F.pmod(F.col("lo"), F.lit(shards)).cast("int")
+def shard_of(bits: int):
+    """Shard of a key: the top ``bits`` of ``lo``, a range of keys."""
+    return F.shiftrightunsigned("lo", 64 - bits).cast("int") if bits else F.lit(0)
+
+
+def in_shards(shards: list[int], bits: int):
+    """Whether a row's key is in one of the shards, as ranges of ``lo`` that
+    reach the scan; many shards are read as the ranges' hull and checked."""
+    if not bits:
+        return F.lit(bool(shards))
+    width = 1 << (64 - bits)
+    lows = sorted((s << (64 - bits)) - (1 << 64 if s >> (bits - 1) else 0) for s in shards)
+    merged: list[list[int]] = []
+    for low in lows:
+        if merged and merged[-1][1] == low:
+            merged[-1][1] = low + width
+        else:
+            merged.append([low, low + width])
+    lo = F.col("lo")
+    if len(merged) > MAX_RANGES:
+        return lo.between(merged[0][0], merged[-1][1] - 1) & shard_of(bits).isin(shards)
+    out = F.lit(False)
+    for low, high in merged:
+        out = out | lo.between(low, high - 1)
+    return out
 
 
 def _as_keys(column: pa.Array) -> np.ndarray:
     return column.to_numpy().view(np.uint64)
 
 
-def build_filters(shared: DataFrame, shards: int) -> DataFrame:
+def build_filters(shared: DataFrame, bits: int) -> DataFrame:
     """``shard``, ``blob``: a filter for each shard of the shared keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,19 +255,69 @@ def build_filters(shared: DataFrame, shards: int) -> DataFrame:
         if held:
             yield done()
 
-    rows = shared.select(shard_of(shards).alias("shard"), "hi").repartition("shard").sortWithinPartitions("shard")
+    rows = shared.select(shard_of(bits).alias("shard"), "hi").repartition("shard").sortWithinPartitions("shard")
     return rows.mapInArrow(run, "shard int, blob binary")
 
 
-def probe_filters(postings: DataFrame, filters: DataFrame, shards: int, salts: int = SALTS) -> DataFrame:
+def update_filters(filters: DataFrame, changes: DataFrame) -> DataFrame:
+    """``shard``, ``blob`` of the shards in ``changes`` (``shard``, ``hi``,
+    ``add``): fingerprints are deleted and inserted, a blob is null where
+    they no longer fit. One task at a time holds one shard's filter."""
+    none = F.lit(None)
+    blobs = filters.join(changes.select("shard").distinct(), "shard", "left_semi")
+    rows = blobs.select("shard", "blob", none.cast("long").alias("hi"), none.cast("boolean").alias("add")).unionByName(
+        changes.select("shard", none.cast("binary").alias("blob"), "hi", "add"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known, added, gone = None, None, [], []
+
+        def done():
+            new = np.concatenate([np.zeros(0, np.uint64), *added])
+            if known is None:
+                blob = CuckooFilter.of(new).to_bytes()
+            else:
+                known.delete(np.concatenate([np.zeros(0, np.uint64), *gone]))
+                blob = known.to_bytes() if known.insert(new) else None
+            return pa.RecordBatch.from_pydict({"shard": pa.array([current], pa.int32()), "blob": pa.array([blob], pa.binary())})
+
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]))
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                if a == b:
+                    continue
+                if shard[a] != current:
+                    if current is not None:
+                        yield done()
+                    current, known, added, gone = int(shard[a]), None, [], []
+                piece = batch.slice(a, b - a)
+                if piece.column("blob")[0].is_valid:
+                    known = CuckooFilter.from_bytes(piece.column("blob")[0].as_py())
+                    piece = piece.slice(1)
+                if piece.num_rows:
+                    keys, add = _as_keys(piece.column("hi")), piece.column("add").to_numpy(zero_copy_only=False).astype(bool)
+                    added.append(keys[add])
+                    gone.append(keys[~add])
+        if current is not None:
+            yield done()
+
+    return rows.repartition("shard").sortWithinPartitions("shard", F.col("blob").isNull()).mapInArrow(run, "shard int, blob binary")
+
+
+def probe_filters(postings: DataFrame, filters: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
     """Postings whose key may be shared, by their shard's filter. A shard's
-    rows go to ``salts`` tasks, each of which gets the filter as its first
-    row; a task holds one filter and streams the rest."""
-    salted = F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
+    rows go to ``SALTS`` tasks, to more if its shared keys have many rows;
+    each task gets the filter as its first row and streams the rest."""
+    rows_of = shared.groupBy(shard_of(bits).alias("shard")).agg(F.sum("refs").alias("refs"))
+    salts = rows_of.select("shard", F.greatest(F.lit(SALTS), F.ceil(F.col("refs") / TASK_ROWS)).cast("int").alias("salts"))
+    salts = store(salts, "line-salts")  # a row per shard
+    salted = F.pmod(F.xxhash64("doc", "row"), F.col("salts")).cast("int")
     none = F.lit(None)
-    blobs = filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "blob",
-                           none.cast("long").alias("hi"), none.cast("long").alias("lo"), none.cast("long").alias("doc"))
-    rows = postings.select(shard_of(shards).alias("shard"), salted.alias("salt"), none.cast("binary").alias("blob"), "hi", "lo", "doc")
+    blobs = filters.join(salts, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "blob",
+        none.cast("long").alias("hi"), none.cast("long").alias("lo"), none.cast("long").alias("doc"), none.cast("int").alias("row"))
+    rows = postings.withColumn("shard", shard_of(bits)).join(salts, "shard").select(
+        "shard", salted.alias("salt"), none.cast("binary").alias("blob"), "hi", "lo", "doc", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, known = None, None
@@ -241,49 +335,90 @@ def probe_filters(postings: DataFrame, filters: DataFrame, shards: int, salts: i
                     piece = piece.slice(1)
                 if known is not None and piece.num_rows:
                     hit = known.contains(_as_keys(piece.column("hi")))
-                    yield piece.select(["hi", "lo", "doc"]).filter(pa.array(hit))
+                    yield piece.select(["hi", "lo", "doc", "row"]).filter(pa.array(hit))
 
     dealt = rows.unionByName(blobs).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("blob").isNull())
-    return dealt.mapInArrow(run, "hi long, lo long, doc long")
+    return dealt.mapInArrow(run, "hi long, lo long, doc long, row int")
 
 
 # ---- index -------------------------------------------------------------------
 class LineIndex:
     """Line keys of a changing set of documents.
 
-    ``insert`` and ``delete`` each add one written batch of postings; counts
-    and filters are derived from all batches. A batch pays for its own
-    documents when it is added; ``shared_lines`` reads all postings once.
+    ``insert`` and ``delete`` return the index after the batch; the one before
+    stays usable, as tables are never changed in place. The first batch builds
+    everything; later ones read and write the shards of their keys only.
     """
 
-    def __init__(self, postings: DataFrame | None = None):
-        self.postings = postings
+    def __init__(self, postings: DataFrame | None = None, counts: DataFrame | None = None, filters: DataFrame | None = None, bits: int = 0,
+                 signed: bool = False, layers: int = 0):
+        self.postings, self.counts, self.filters, self.bits, self.signed, self.layers = postings, counts, filters, bits, signed, layers
 
-    def _add(self, rows: DataFrame) -> "LineIndex":
-        return LineIndex(rows if self.postings is None else self.postings.unionByName(rows))
+    @staticmethod
+    def _write(rows: DataFrame, sign: int) -> DataFrame:
+        """A batch of postings, each file in key order."""
+        return store(rows.withColumn("sign", F.lit(sign).cast("byte")).sortWithinPartitions("lo"), "line-postings")
 
     def insert(self, docs: DataFrame) -> "LineIndex":
-        return self._add(store(line_postings(docs).withColumn("sign", F.lit(1).cast("byte")), "line-postings"))
+        return self._after(self._write(line_postings(docs), 1), self.signed)
 
     def delete(self, doc_ids: DataFrame) -> "LineIndex":
-        """Take back all rows of the documents in ``doc_ids`` (``doc_id``)."""
+        """Take back all rows of the documents in ``doc_ids`` (``doc_id``).
+        Their rows are looked up by id in one pass over the postings."""
         if self.postings is None:
             return self
         gone = doc_ids.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc")).distinct()
-        net = self._net(self.postings.join(gone, "doc", "left_semi"))
-        return self._add(store(net.withColumn("sign", F.lit(-1).cast("byte")), "line-postings"))
+        return self._after(self._write(self._net(self.postings.join(gone, "doc", "left_semi")), -1), True)
+
+    def _after(self, batch: DataFrame, signed: bool) -> "LineIndex":
+        if self.postings is None:
+            return LineIndex(batch, signed=signed).rebuilt()
+        out = LineIndex(self.postings.unionByName(batch), self.counts, self.filters, self.bits, signed, self.layers + 1)
+        keys = store(batch.select("hi", "lo").distinct(), "line-batch")
+        touched = sorted(r[0] for r in keys.select(shard_of(self.bits).alias("s")).distinct().collect())  # numbers of shards
+        if not touched:
+            return out
+        mine, held = in_shards(touched, self.bits), ["hi", "lo"]
+        live = out.live(out.postings.where(mine).join(keys, held, "left_semi"))
+        after = store(self.reference_counts(live).where("first_doc < last_doc"), "line-counts-of-batch")
+        before = self.counts.where(mine).join(keys, held, "left_semi").select(*held)
+        changes = (
+            after.select(*held).join(before, held, "left_anti").select(shard_of(self.bits).alias("shard"), "hi", F.lit(True).alias("add"))
+            .unionByName(before.join(after, held, "left_anti").select(shard_of(self.bits).alias("shard"), "hi", F.lit(False).alias("add")))
+        )
+        changes = store(changes, "line-crossings")
+        rest = self.counts.where(mine).join(keys, held, "left_anti")
+        out.counts = self.counts.where(~mine).unionByName(store(rest.unionByName(after), "line-counts"))
+        changed = store(update_filters(self.filters, changes), "line-filters")
+        full = [r[0] for r in changed.where("blob is null").select("shard").collect()]  # numbers of shards
+        if full:
+            again = build_filters(out.counts.where(in_shards(full, self.bits)), self.bits)
+            changed = store(changed.where("blob is not null").unionByName(again), "line-filters")
+        kept = self.filters.join(changed.select("shard"), "shard", "left_anti")
+        out.filters = kept.unionByName(changed)
+        if out.layers >= 16:  # short plans again, every shard one table
+            out.counts, out.filters, out.layers = store(out.counts, "line-counts"), store(out.filters, "line-filters"), 0
+            if out.counts.count() > 4 * SHARD_KEYS << self.bits:
+                return out.rebuilt()
+        return out
+
+    def rebuilt(self) -> "LineIndex":
+        """Counts, number of shards and filters from all postings."""
+        counts = store(self.reference_counts(self.live()).where("first_doc < last_doc"), "line-counts")
+        bits = max(0, -(-counts.count() // SHARD_KEYS) - 1).bit_length()
+        return LineIndex(self.postings, counts, store(build_filters(counts, bits), "line-filters"), bits, self.signed)
 
     @staticmethod
     def _net(postings: DataFrame) -> DataFrame:
-        """Rows that remain when signs are summed, per document and key."""
+        """Rows that remain when signs are summed, per document row and key."""
         return (
-            postings.groupBy("hi", "lo", "doc").agg(F.sum(F.col("lines") * F.col("sign")).cast("int").alias("lines")).where("lines > 0")
+            postings.groupBy("hi", "lo", "doc", "row").agg(F.sum(F.col("lines") * F.col("sign")).cast("int").alias("lines")).where("lines > 0")
         )
 
-    def live(self) -> DataFrame:
+    def live(self, postings: DataFrame | None = None) -> DataFrame:
         """Postings in force. Without deletions every written row is."""
-        signs = [r[0] for r in self.postings.select("sign").distinct().collect()]  # at most two values
-        return self.postings if signs in ([], [1]) else self._net(self.postings)
+        postings = self.postings if postings is None else postings
+        return self._net(postings) if self.signed else postings
 
     def reference_counts(self, live: DataFrame) -> DataFrame:
         """``hi``, ``lo``, ``refs`` (lines), ``first_doc`` and ``last_doc``:
@@ -292,19 +427,24 @@ class LineIndex:
             F.sum("lines").alias("refs"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")
         )
 
-    def shared_lines(self) -> tuple[DataFrame, DataFrame, int]:
-        """(shared keys with their counts, filters, shards)."""
-        shared = store(self.reference_counts(self.live()).where("first_doc < last_doc"), "line-counts")
-        shards = max(1, -(-shared.count() // SHARD_KEYS))
-        return shared, store(build_filters(shared, shards), "line-filters"), shards
-
     def drops(self) -> DataFrame:
-        """``doc``, ``keys``: per document the line keys it loses."""
-        shared, filters, shards = self.shared_lines()
-        likely = probe_filters(self.live(), filters, shards)
-        exact = likely.join(shared.select("hi", "lo", "first_doc"), ["hi", "lo"]).where(F.col("doc") > F.col("first_doc"))
-        # grouped per document, so bounded by its lines; a document with repeated rows lists a key once
-        return exact.groupBy("doc").agg(F.collect_set(F.struct("hi", "lo")).alias("keys"))
+        """``doc``, ``row``, ``keys``: per document row the line keys it loses."""
+        likely = probe_filters(self.live(), self.filters, self.counts, self.bits)
+        exact = likely.join(self.counts.select("hi", "lo", "first_doc"), ["hi", "lo"]).where(F.col("doc") > F.col("first_doc"))
+        # grouped per document row, so bounded by its lines; equal rows of an id list a key once
+        return exact.groupBy("doc", "row").agg(F.collect_set(F.struct("hi", "lo")).alias("keys"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Documents with the ``doc`` and ``row`` of their postings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches):
+            doc = [NULL_ID if x is None else x for x in batch.column("doc_id").to_pylist()]
+            row = pa.array([row_hash(t) for t in texts_of(batch)], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(doc, pa.int64()), row], names=["doc_id", "text", "doc", "row"])
+
+    return documents_view(docs).mapInArrow(run, "doc_id long, text string, doc long, row int")
 
 
 def dedup_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
@@ -313,8 +453,7 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
     ``docs`` when not given."""
     index = index or LineIndex().insert(docs)
     drops = index.drops()
-    view = documents_view(docs).withColumn("doc", F.coalesce("doc_id", F.lit(NULL_ID)))
-    joined = view.join(drops, "doc", "left").select("doc_id", "text", "keys")
+    joined = numbered(docs).join(drops, ["doc", "row"], "left").select("doc_id", "text", "keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches):
