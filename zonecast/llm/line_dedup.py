@@ -200,14 +200,12 @@ class CuckooFilter:
 
 def shard_of(bits: int):
     """Shard of a key: the top ``bits`` of ``lo``, a range of keys."""
-    return F.shiftrightunsigned("lo", 64 - bits).cast("int") if bits else F.lit(0)
+    return F.shiftrightunsigned("lo", 64 - bits).cast("int")
 
 
 def in_shards(shards: list[int], bits: int):
     """Whether a row's key is in one of the shards, as ranges of ``lo`` that
     reach the scan; many shards are read as the ranges' hull and checked."""
-    if not bits:
-        return F.lit(bool(shards))
     width = 1 << (64 - bits)
     lows = sorted((s << (64 - bits)) - (1 << 64 if s >> (bits - 1) else 0) for s in shards)
     merged: list[list[int]] = []
@@ -350,7 +348,7 @@ class LineIndex:
     everything; later ones read and write the shards of their keys only.
     """
 
-    def __init__(self, postings: DataFrame | None = None, counts: DataFrame | None = None, filters: DataFrame | None = None, bits: int = 0,
+    def __init__(self, postings: DataFrame | None = None, counts: DataFrame | None = None, filters: DataFrame | None = None, bits: int = 1,
                  signed: bool = False, layers: int = 0):
         self.postings, self.counts, self.filters, self.bits, self.signed, self.layers = postings, counts, filters, bits, signed, layers
 
@@ -405,7 +403,7 @@ class LineIndex:
     def rebuilt(self) -> "LineIndex":
         """Counts, number of shards and filters from all postings."""
         counts = store(self.reference_counts(self.live()).where("first_doc < last_doc"), "line-counts")
-        bits = max(0, -(-counts.count() // SHARD_KEYS) - 1).bit_length()
+        bits = max(1, (-(-counts.count() // SHARD_KEYS) - 1).bit_length())  # two shards at least, so that joins have a key
         return LineIndex(self.postings, counts, store(build_filters(counts, bits), "line-filters"), bits, self.signed)
 
     @staticmethod
