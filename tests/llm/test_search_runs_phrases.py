@@ -277,3 +277,38 @@ def test_trie_counts_what_occurs(phrases):
     trie = phrase_mining.DoubleArrayTrie.from_bytes(trie.to_bytes())
     got = sum(np.bincount(trie.matches(phrase_mining.Segment(batch, i), 4), minlength=len(asked)) for i in range(batch.num_rows))
     assert got.tolist() == [want[x] for x in asked]
+
+
+def test_phrases_across_the_blocks_of_a_segment(phrase_docs, phrases, monkeypatch):
+    """Phrases that begin in one block of positions and end in the next."""
+    monkeypatch.setattr(phrase_mining, "BLOCK", 5)
+    batch = phrase_mining.segments_of(pa.array(["en"]), pa.array(["a b c, a b c d. " * 9]))
+    segment, every = phrase_mining.Segment(batch, 0), np.full(1 << (phrase_mining.BITS - 3), 255, np.uint8)
+    for k, n in ((1, 63), (2, 45), (3, 27), (4, 9)):
+        at, hashes = phrase_mining.phrase_hashes(segment, k, [every] * (k - 1))
+        assert len(at) == n and at.tolist() == sorted(set(at.tolist()))
+        assert len(set(hashes.tolist())) == {1: 4, 2: 3, 3: 2, 4: 1}[k]
+    trie = phrase_mining.DoubleArrayTrie(pa.array(["en"] * 4), pa.array(["a b", "b c d", "a b c d", "d"]))
+    assert np.bincount(trie.matches(segment, 4), minlength=4).tolist() == [18, 9, 9, 9]
+
+
+def test_trie_of_a_broadcast_is_not_copied():
+    data = phrase_mining.DoubleArrayTrie(pa.array(["en", "fr"]), pa.array(["a b", "c"])).to_bytes()
+    trie, held = phrase_mining.DoubleArrayTrie.from_bytes(data), np.frombuffer(data, np.uint8)
+    assert all(np.shares_memory(x, held) for x in (trie.base, trie.check, trie.accept, trie.table.keys))
+
+
+def test_segments_reach_workers_a_few_at_a_time(phrase_docs, phrases, monkeypatch):
+    """Large rows would pile up in buffers; the session's setting comes back."""
+    spark, name, rows = phrase_docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before, plain_store = spark.conf.get(name), phrase_mining.store
+    monkeypatch.setattr(phrase_mining, "store", lambda frame, at: (rows.setdefault(at, int(spark.conf.get(name))), plain_store(frame, at))[1])
+    assert mined(phrase_mining.mine_phrases(phrase_docs)) == plain_mining(phrases)
+    assert all(rows[x] == phrase_mining.SEGMENT_ROWS for x in ("frequent-1", "frequent-2", "frequent-3", "candidates", "trie-counts"))
+    assert rows["segments"] == phrase_mining.TEXT_ROWS and spark.conf.get(name) == before
+
+
+def test_batches_are_put_together():
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(["ab", None, ""])}) for _ in range(7)]
+    got = list(phrase_mining.gathered(iter(batches), limit=5))
+    assert [b.num_rows for b in got] == [6, 6, 6, 3] and not list(phrase_mining.gathered(iter([])))

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import HashTable, byte_slices, hash_ranges, hashes_of, store
+from zonecast.llm.common import HashTable, arrow_rows, byte_slices, gathered, hash_ranges, hashes_of, released, store
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -57,6 +57,10 @@ BITS = 27
 TRIE_PHRASES = 1 << 19
 #: Words of text for each range of hashes that is summed in one task.
 PART_WORDS = 1 << 22
+#: Texts and segments that a worker gets at once.
+TEXT_ROWS, SEGMENT_ROWS = 1 << 9, 1 << 2
+#: Positions of a segment that are worked on at once.
+BLOCK = 1 << 17
 #: Symbols of a word's code, a power of two.
 SYMBOLS = 64
 
@@ -72,8 +76,10 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     those that lie in a longer one of ``covered`` percent of their count."""
     if min_count < 1 or max_words < 2:
         raise ValueError("phrases have two words and one occurrence at least")
-    segments = store(encode_texts(docs), "segments")
-    candidates = find_candidates(segments, min_count, max_words)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        segments = store(encode_texts(docs), "segments")
+    with arrow_rows(docs.sparkSession, SEGMENT_ROWS):
+        candidates = find_candidates(segments, min_count, max_words)
     counts = store(count_candidates(segments, candidates, max_words).where(F.col("f") >= min_count), "counts")
     return rank_phrases(segments, counts, keep, covered)
 
@@ -83,7 +89,7 @@ def encode_texts(docs: DataFrame) -> DataFrame:
     """Segments of about 8 MB of text; ``n`` counts a segment's words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches):
+        for batch in released(byte_slices(gathered(batches))):
             yield segments_of(batch.column("lang"), batch.column("text"))
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -154,7 +160,7 @@ class Segment:
         self.words = batch.column("words")[i].values
         self.hashes = np.append(np.uint64(0), array_hashes(self.words))
         kind = np.uint16 if len(self.words) < 1 << 16 else np.uint32
-        self.codes = np.frombuffer(batch.column("codes")[i].as_buffer(), kind).astype(np.int64)
+        self.codes = np.frombuffer(batch.column("codes")[i].as_buffer(), kind).astype(np.int32)
         self.counts = batch.column("counts")[i].values.to_numpy() if "counts" in batch.schema.names else None
 
 
@@ -181,16 +187,23 @@ def phrase_hashes(segment: Segment, k: int, bits: list[np.ndarray]) -> tuple[np.
     by the bit sets of shorter ones."""
     lang = np.full(1, hashes_of([segment.lang.encode()])[0])
     of_word = mixed(np.broadcast_to(lang, len(segment.hashes)), segment.hashes)
-    at = np.flatnonzero(segment.codes)
-    hashes = of_word[segment.codes[at]]
-    for size in range(2, k + 1):
-        held = has_bits(bits[size - 2], hashes)
-        at, hashes = at[held], hashes[held]
-        # the phrase without its first word begins at the next position
-        follows = np.flatnonzero(at[1:] == at[:-1] + 1) if len(at) else at
-        at = at[follows]
-        hashes = mixed(hashes[follows], segment.hashes[segment.codes[at + size - 1]])
-    return at, hashes
+    found = []
+    for begin in range(0, len(segment.codes), BLOCK):
+        # a phrase that begins in the block ends k - 1 positions behind it at most
+        codes = segment.codes[begin:begin + BLOCK + k - 1]
+        at = np.flatnonzero(codes)
+        hashes = of_word[codes[at]]
+        for size in range(2, k + 1):
+            held = has_bits(bits[size - 2], hashes)
+            at, hashes = at[held], hashes[held]
+            # the phrase without its first word begins at the next position
+            follows = np.flatnonzero(at[1:] == at[:-1] + 1) if len(at) else at
+            at = at[follows]
+            hashes = mixed(hashes[follows], segment.hashes[codes[at + size - 1]])
+        mine = at < BLOCK
+        found.append((at[mine] + begin, hashes[mine]))
+    at, hashes = zip(*found) if found else ([np.zeros(0, np.int64)], [np.zeros(0, np.uint64)])
+    return np.concatenate(at), np.concatenate(hashes)
 
 
 # ---- candidates --------------------------------------------------------------
@@ -233,7 +246,7 @@ def frequent_hashes(segments: DataFrame, bits: list[bytes], k: int, min_count: i
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [np.frombuffer(b, np.uint8) for b in shared.value]
-        for batch in batches:
+        for batch in released(batches):
             for i in range(batch.num_rows):
                 segment = Segment(batch, i)
                 if k == 1:
@@ -280,7 +293,7 @@ def name_phrases(segments: DataFrame, wanted: DataFrame, bits: list[bytes]) -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [np.frombuffer(b, np.uint8) for b in shared.value]
-        for batch in batches:
+        for batch in released(batches):
             for i in range(batch.num_rows):
                 segment = Segment(batch, i)
                 asked = batch.column("asked")[i].values
@@ -339,13 +352,22 @@ class DoubleArrayTrie:
         self.accept[slot[last]] = np.arange(len(size))
 
     def to_bytes(self) -> bytes:
-        """Plain arrays: workers need no installed copy of this class."""
-        return pickle.dumps(self.__dict__ | {"table": self.table.__dict__})
+        """Plain arrays behind one another, last what says where they lie:
+        workers need no installed copy of this class."""
+        blobs: list[pickle.PickleBuffer] = []
+        rest = pickle.dumps(self.__dict__ | {"table": self.table.__dict__}, protocol=5, buffer_callback=blobs.append)
+        blobs = [b.raw() for b in blobs]
+        head = pickle.dumps((rest, [len(b) for b in blobs]))
+        return b"".join([*blobs, head, len(head).to_bytes(8, "little")])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> DoubleArrayTrie:
+        """The arrays are views of ``data``, which is not copied."""
         out, table = cls.__new__(cls), HashTable.__new__(HashTable)
-        out.__dict__.update(pickle.loads(data))
+        data = memoryview(data)
+        rest, sizes = pickle.loads(data[-8 - int.from_bytes(data[-8:], "little"):-8])
+        ends = np.cumsum(sizes).tolist()
+        out.__dict__.update(pickle.loads(rest, buffers=[data[b - n:b] for b, n in zip(ends, sizes)]))
         table.__dict__.update(out.table)
         out.table = table
         return out
@@ -365,20 +387,24 @@ class DoubleArrayTrie:
         if root is None:
             return np.zeros(0, dtype=np.int32)
         known = np.append(-1, self.table.get(segment.hashes[1:]))
-        code = np.append(known[segment.codes], -1)
         # the first word's states, once for each word of the segment
         words = np.flatnonzero(known >= 0)
         words, states = self.advance(words, np.full(len(words), root), known[words])
         after = np.full(len(known), -1)
         after[words] = states
-        at = np.flatnonzero(after[segment.codes] >= 0)
-        states, found = after[segment.codes[at]], []
-        for length in range(1, max_words + 1):
-            numbers = self.accept[states]
-            found.append(numbers[numbers >= 0])
-            if length < max_words:
-                live = code[at + length] >= 0
-                at, states = self.advance(at[live], states[live], code[at[live] + length])
+        found = [np.zeros(0, dtype=np.int32)]
+        for begin in range(0, len(segment.codes), BLOCK):
+            codes = segment.codes[begin:begin + BLOCK + max_words - 1]
+            code = np.append(known[codes], np.full(max_words - 1, -1))  # nothing follows the last word
+            states = after[codes[:BLOCK]]
+            at = np.flatnonzero(states >= 0)
+            states = states[at]
+            for length in range(1, max_words + 1):
+                numbers = self.accept[states]
+                found.append(numbers[numbers >= 0])
+                if length < max_words:
+                    live = code[at + length] >= 0
+                    at, states = self.advance(at[live], states[live], code[at[live] + length])
         return np.concatenate(found)
 
 
@@ -446,7 +472,9 @@ def build_trie(table: pa.Table) -> pa.Table:
     """One slice's trie; the phrase ``id`` has the number ``id``."""
     table = table.sort_by("id").combine_chunks()
     lang, phrase = (pa.concat_arrays(table.column(c).chunks) for c in ("lang", "phrase"))
-    return pa.table({"slice": table.column("slice")[:1], "trie": pa.array([DoubleArrayTrie(lang, phrase).to_bytes()], pa.binary())})
+    trie = DoubleArrayTrie(lang, phrase).to_bytes()
+    pa.default_memory_pool().release_unused()
+    return pa.table({"slice": table.column("slice")[:1], "trie": pa.array([trie], pa.binary())})
 
 
 def trie_counts(spark: SparkSession, segments: DataFrame, row: DataFrame, max_words: int) -> DataFrame:
@@ -459,13 +487,14 @@ def trie_counts(spark: SparkSession, segments: DataFrame, row: DataFrame, max_wo
             return
         trie = DoubleArrayTrie.from_bytes(shared.value)
         counts = np.zeros(int(trie.accept.max()) + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in released(batches):
             for i in range(batch.num_rows):
                 counts += np.bincount(trie.matches(Segment(batch, i), max_words), minlength=len(counts))
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts[found])], ["id", "n"])
 
-    counted = store(segments.drop("n", "counts").mapInArrow(work, "id int, n long"), "trie-counts")
+    with arrow_rows(spark, SEGMENT_ROWS):
+        counted = store(segments.drop("n", "counts").mapInArrow(work, "id int, n long"), "trie-counts")
     shared.unpersist()
     return counted
 
