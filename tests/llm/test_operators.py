@@ -1,6 +1,8 @@
 """Every operator against its brute-force version, on odd rows and on none."""
 from __future__ import annotations
 
+import re
+import time
 import zlib
 
 import numpy as np
@@ -85,6 +87,19 @@ def test_suffix_tree_base(docs, pairs, nothing):
     assert suffix_tree_lm.score_documents(nothing, max_words=2).count() == 0
 
 
+def test_shuffles_of_a_stored_table_are_gone_once_it_is_written(spark, docs):
+    """They would lie on the executors' disks until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = lambda: set(re.findall(r"shuffle_\d+", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    before, found = spark.conf.get(name), held()
+    counts = suffix_tree_lm.word_counts(docs)
+    end = time.time() + 20
+    while held() - found and time.time() < end:
+        time.sleep(0.2)
+    assert not held() - found and counts.count() and spark.conf.get(name) == before
+
+
+
 def chained_texts(n=400):
     rng = np.random.default_rng(1)
     follows = {"a": "b", "b": "c", "c": "a"}
