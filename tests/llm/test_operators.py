@@ -209,6 +209,38 @@ def test_suffix_tree_of_any_length(spark):
     assert not np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(pairs, **options, max_words=2)])
 
 
+def test_suffix_tree_context_that_also_starts_texts(spark):
+    """"q" stands before "a b" wherever a word does, but half of its occurrences start a text."""
+    pairs = list(enumerate(["q a b c", "a b d"] * 40))
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    options = {"min_context": 16, "min_symbol": 4, "penalty": 0.5}
+    got = rows(suffix_tree_lm.score_documents(docs, **options), "doc_id", "score")
+    assert np.allclose([g[1] for g in got], [s for _, s in plain.suffix_tree(pairs, **options, max_words=4)])
+
+
+def test_bit_set_of_few_keys_lets_few_others_through(spark):
+    """What it lets through is dealt with all its words."""
+    keys = np.random.default_rng(5).integers(-2**63, 2**63, 101_000)
+    bits = suffix_tree_lm.bit_set(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"))
+    assert suffix_tree_lm.may_hold(bits, keys[:1000]).all()
+    assert suffix_tree_lm.may_hold(bits, keys[1000:]).mean() < 0.002
+    assert not suffix_tree_lm.bit_set(spark.createDataFrame([], "key long")).any()
+
+
+def test_positions_of_one_passage_are_dealt_in_few_bytes(spark):
+    passage = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, f"{passage} z{i % 2}") for i in range(400)], "doc_id long, text string").coalesce(1)
+    heavy = suffix_tree_lm.heavy_words(suffix_tree_lm.word_counts(docs))
+    corpus = suffix_tree_lm.encode_corpus(docs, heavy)
+    t = suffix_tree_lm.unpacked(corpus.first().asDict())
+    on = np.flatnonzero(t.train & (t.offset > 2)) - 1
+    keys = spark.createDataFrame([(int(k),) for k in set(suffix_tree_lm.runs(t.codes(heavy), 2)[on].tolist())], "key long")
+    share = lambda value: suffix_tree_lm.broadcast_object(spark, value)
+    dealt = suffix_tree_lm.deal_positions(corpus, share(heavy), share((suffix_tree_lm.bit_set(keys), None)), 2, 35, 1, 32).collect()
+    assert sum(suffix_tree_lm.unpack(r["times"]).sum() for r in dealt) == len(on)
+    assert sum(len(r["words"]) for r in dealt) < len(on) * 33 * 4 / 20
+
+
 def test_suffix_tree_dealt_in_many_buckets_and_rounds(spark, monkeypatch):
     """Contexts split further before dealing, several buckets, and contexts that
     are open where the words dealt end: the scores stay those of the brute force."""
