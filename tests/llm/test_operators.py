@@ -235,8 +235,8 @@ def test_positions_of_one_passage_are_dealt_in_few_bytes(spark):
     t = suffix_tree_lm.unpacked(corpus.first().asDict())
     on = np.flatnonzero(t.train & (t.offset > 2)) - 1
     keys = spark.createDataFrame([(int(k),) for k in set(suffix_tree_lm.runs(t.codes(heavy), 2)[on].tolist())], "key long")
-    share = lambda value: suffix_tree_lm.broadcast_object(spark, value)
-    dealt = suffix_tree_lm.deal_positions(corpus, share(heavy), share((suffix_tree_lm.bit_set(keys), None)), 2, 35, 1, 32).collect()
+    shared, gates = suffix_tree_lm.broadcast_object(spark, heavy), suffix_tree_lm.share_sets(spark, (suffix_tree_lm.bit_set(keys), None))
+    dealt = suffix_tree_lm.deal_positions(corpus, shared, gates, 2, 35, 1, 32).collect()
     assert sum(suffix_tree_lm.unpack(r["times"]).sum() for r in dealt) == len(on)
     assert sum(len(r["words"]) for r in dealt) < len(on) * 33 * 4 / 20
 
